@@ -91,7 +91,7 @@ def vocabulary_stages(tokens: str, k: int = 100) -> list[tuple[str, Column]]:
     ``array<struct<rank:int, word:string, n:int>>``.
     """
     t = F.col(tokens)
-    z_expr = F.array_sort(F.transform(t, lambda w, i: F.struct(w.alias("w"), i.alias("p"))))
+    z_expr = F.sort_array(F.transform(t, lambda w, i: F.struct(w.alias("w"), i.alias("p"))))
     z = F.col("_z")
     n = F.size(t)
     starts_expr = F.filter(
@@ -107,7 +107,7 @@ def vocabulary_stages(tokens: str, k: int = 100) -> list[tuple[str, Column]]:
             z[s]["w"].alias("w"),
         ),
     )
-    top = F.slice(F.array_sort(F.col("_runs")), 1, k)
+    top = F.slice(F.sort_array(F.col("_runs")), 1, k)
     letters = F.filter(top, lambda x: x["w"].rlike(r"^\p{L}+$"))
     vocab_expr = F.transform(
         letters,

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from linkweave.operators import wordgraph as wg
 from linkweave.operators.ids import assign_ids, edges_with_ids, export_nodes
+from linkweave.sources.tables import read_table
 from linkweave.operators.text import (
     bigrams_long,
     content_words_long,
@@ -17,7 +18,7 @@ from linkweave.operators.text import (
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    return read_table(spark, sf_dir, "documents", ["doc_id", "text"], spread_rows=True)
 
 
 def _tokens(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from linkweave.plans import oracle_text, queries_text
+from linkweave.plans import oracle_links, oracle_text, queries_links, queries_text
 
 
 def queries():
     out = {}
     out.update(queries_text.QUERIES)
+    out.update(queries_links.QUERIES)
     return out
 
 
 def oracle_sql():
     out = {}
     out.update(oracle_text.oracle_sql())
+    out.update(oracle_links.oracle_sql())
     return out
