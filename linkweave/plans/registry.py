@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from linkweave.plans import oracle_links, oracle_text, queries_links, queries_text
+from linkweave.plans import oracle_graph, oracle_links, oracle_text, queries_graph, queries_links, queries_text
 
 
 def queries():
     out = {}
     out.update(queries_text.QUERIES)
     out.update(queries_links.QUERIES)
+    out.update(queries_graph.QUERIES)
     return out
 
 
@@ -16,4 +17,5 @@ def oracle_sql():
     out = {}
     out.update(oracle_text.oracle_sql())
     out.update(oracle_links.oracle_sql())
+    out.update(oracle_graph.oracle_sql())
     return out

@@ -62,3 +62,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for written intermediate tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+def materialize(df, name: str | None = None):
+    """Write ``df`` once as parquet under the shared checkpoint folder and read
+    it back: cuts the lineage, survives executor loss (files, not executor
+    memory), and unlike ``checkpoint()`` computes the plan only once."""
+    import uuid
+
+    spark = df.sparkSession
+    path = scratch_path(spark, f"tables/{name or 't'}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
