@@ -64,21 +64,22 @@ def page_links(
 
 def api_links(
     accepted: DataFrame,
-    base_url: str,
+    base_url: str | None,
     marker: str = DEFAULT_MARKER,
     title_col: str = "link_titles",
 ) -> DataFrame:
     """H3: ``(source, target)`` from the titles of accepted API payloads:
     each title must pass U2, the URL is built by U4 from the base's root and
-    must pass U3.  Set semantics per page."""
+    must pass U3.  Set semantics per page.  ``base_url=None``: each page's own
+    site is its base."""
     titles = accepted.select(F.col("url").alias("source"), F.explode_outer(title_col).alias("title")).filter(
         F.col("title").isNotNull()
     )
     titles = with_title_validity(titles, "title", "_tok").filter(F.col("_tok"))
-    root = url_root(F.lit(base_url))
-    built = titles.withColumn("target", build_article_url(root, F.col("title")))
+    base = F.lit(base_url) if base_url is not None else url_root("source")
+    built = titles.withColumn("_base", base).withColumn("target", build_article_url(url_root("_base"), F.col("title")))
     return (
-        with_url_validity(built, "target", F.lit(base_url), marker, "_ok")
+        with_url_validity(built, "target", F.col("_base"), marker, "_ok")
         .filter(F.col("_ok"))
         .select("source", "target")
         .distinct()

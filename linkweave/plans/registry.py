@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from linkweave.plans import oracle_graph, oracle_links, oracle_text, queries_graph, queries_links, queries_text
+from linkweave.plans import oracle_api, oracle_graph, queries_api, oracle_links, oracle_text, queries_graph, queries_links, queries_text
 
 
 def queries():
@@ -10,6 +10,7 @@ def queries():
     out.update(queries_text.QUERIES)
     out.update(queries_links.QUERIES)
     out.update(queries_graph.QUERIES)
+    out.update(queries_api.QUERIES)
     return out
 
 
@@ -18,4 +19,5 @@ def oracle_sql():
     out.update(oracle_text.oracle_sql())
     out.update(oracle_links.oracle_sql())
     out.update(oracle_graph.oracle_sql())
+    out.update(oracle_api.oracle_sql())
     return out
