@@ -136,8 +136,28 @@ def with_ctes(body: str, graph: bool = False) -> str:
     return f"WITH {ctes}\n{body}"
 
 
+ENTITY_BODY = """,
+alltok AS (SELECT doc_id, t, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY p) - 1 AS BIGINT) AS i FROM tok WHERE t <> ''),
+grams AS (
+  SELECT doc_id, i, t || ' ' || lead(t) OVER (PARTITION BY doc_id ORDER BY i) AS g FROM alltok
+),
+hits AS (SELECT doc_id, i, g FROM grams WHERE g IN (SELECT bigram FROM topb)),
+runs AS (
+  SELECT *, i - row_number() OVER (PARTITION BY doc_id ORDER BY i) AS grp FROM hits
+),
+chosen AS (
+  SELECT doc_id, i, g, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS k FROM (
+    SELECT *, min(i) OVER (PARTITION BY doc_id, grp) AS start FROM runs
+  ) WHERE (i - start) % 2 = 0
+),
+nw AS (SELECT doc_id, count(*) AS n FROM cw GROUP BY doc_id)
+SELECT c.doc_id, CAST(coalesce(nw.n, 0) + c.k - 1 AS BIGINT) AS pos, c.g AS entity
+FROM chosen c LEFT JOIN nw USING (doc_id)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "entity_tokens": f"WITH {text_ctes()}{ENTITY_BODY}",
         "normalised_text": "SELECT doc_id, regexp_replace(lower(text), '[^a-zA-Z\\s]', '', 'g') AS text FROM documents",
         "content_words": with_ctes("SELECT doc_id, pos, word FROM cw"),
         "doc_vocabulary": with_ctes("SELECT doc_id, rank, word, CAST(n AS BIGINT) AS n FROM voc"),

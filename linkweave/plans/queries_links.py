@@ -86,6 +86,24 @@ def q_clean_labels(spark, sf_dir):
     return nodes.withColumn("Label", clean_label(F.col("Label"), url_root("Label"), MARKER))
 
 
+def q_greedy_communities(spark, sf_dir):
+    """C2 on the pruned link network (taken as undirected): ``(Id, community)``."""
+    from linkweave.operators.community import as_simple_graph, greedy_communities
+
+    nodes, edges = link_graph(spark, sf_dir)
+    n, e = as_simple_graph(nodes.select("Id"), edges)
+    return greedy_communities(n, e)
+
+
+def q_greedy_modularity(spark, sf_dir):
+    """C3 of the C2 partition (unweighted graph, weighted score)."""
+    from linkweave.operators.community import as_simple_graph, greedy_communities, modularity
+
+    nodes, edges = link_graph(spark, sf_dir)
+    n, e = as_simple_graph(nodes.select("Id"), edges)
+    return modularity(e, greedy_communities(n, e), weight="w").select(F.round("modularity", 6).alias("modularity"))
+
+
 def q_unprocessed_hosts(spark, sf_dir):
     links = _links(spark, sf_dir)
     pages = read_table(spark, sf_dir, "pages", ["url"])
@@ -102,4 +120,6 @@ QUERIES = {
     "link_edges": q_link_edges,
     "clean_labels": q_clean_labels,
     "unprocessed_hosts": q_unprocessed_hosts,
+    "greedy_communities": q_greedy_communities,
+    "greedy_modularity": q_greedy_modularity,
 }

@@ -112,6 +112,29 @@ def q_word_graph_edges(spark, sf_dir):
     return word_graph(spark, sf_dir)[1]
 
 
+def q_entity_tokens(spark, sf_dir):
+    """Entities found in each document from a phrase list (the corpus's
+    top bigrams, a table of at most top_n rows) appended after its words:
+    ``(doc_id, pos, entity)`` with ``pos`` counted after the last word."""
+    from linkweave.operators.text import append_entities, document_words, phrase_entities
+
+    docs = _docs(spark, sf_dir)
+    top = wg.top_bigrams(text_pipeline(docs))
+    phrases = [r[0] for r in top.select("bigram").collect()]  # bounded by top_n
+    ents = phrase_entities(docs, phrases)
+    tok = append_entities(document_words(docs), ents)
+    return _entity_rows(tok, ents)
+
+
+def _entity_rows(tok, ents):
+    joined = tok.select("doc_ord", F.size("words").alias("_nw")).join(ents, "doc_ord")
+    return (
+        joined.select("doc_ord", "_nw", F.posexplode_outer("entities").alias("i", "entity"))
+        .filter(F.col("entity").isNotNull())
+        .select(F.col("doc_ord").alias("doc_id"), (F.col("i") + F.col("_nw")).cast("long").alias("pos"), "entity")
+    )
+
+
 QUERIES = {
     "normalised_text": q_normalised_text,
     "content_words": q_content_words,
@@ -128,4 +151,5 @@ QUERIES = {
     "word_graph_unpruned_nodes": q_word_graph_unpruned_nodes,
     "word_graph_nodes": q_word_graph_nodes,
     "word_graph_edges": q_word_graph_edges,
+    "entity_tokens": q_entity_tokens,
 }
