@@ -258,9 +258,15 @@ def build_word_graph(
     min_edge_weight: int = DEFAULT_MIN_EDGE_WEIGHT,
     node_prune_percentile: float = DEFAULT_NODE_PRUNE_PERCENTILE,
     min_node_freq: int = DEFAULT_MIN_NODE_FREQ,
+    write_intermediate: bool = True,
 ) -> tuple[DataFrame, DataFrame]:
     """G1-G8, then (if enabled) G9 before G10.  Returns labelled
-    ``(nodes, edges)``; see :mod:`linkweave.operators.ids` for numbering."""
+    ``(nodes, edges)``; see :mod:`linkweave.operators.ids` for numbering.
+
+    With pruning, the merged node and edge tables are each read by a
+    percentile aggregate and by the filters; ``write_intermediate`` writes them
+    once to the shared checkpoint folder rather than recomputing the pair
+    aggregation (a shuffle of ``window_size - 1`` rows per token) per reader."""
     words = word_frequencies(doc_tokens)
     top_n = max(top_n_bigrams, 0)
     top = top_bigrams(doc_tokens, top_n)
@@ -268,6 +274,10 @@ def build_word_graph(
     cooc = word_edges(cooccurrence(doc_tokens, window_size))
     edges = merge_edges(cooc, contains_edges(top, nodes, top_n), bigram_edges(top), top_n=top_n)
     if enable_pruning:
+        if write_intermediate:
+            from linkweave.session import materialize
+
+            nodes, edges = materialize(nodes, "word_nodes"), materialize(edges, "word_edges")
         edges = prune_edges(edges, edge_prune_percentile, min_edge_weight)
         nodes, edges = prune_nodes(nodes, edges, node_prune_percentile, min_node_freq)
     return nodes, edges

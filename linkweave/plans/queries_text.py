@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from linkweave.operators import wordgraph as wg
 from linkweave.operators.ids import assign_ids, edges_with_ids, export_nodes
+from linkweave.session import materialize
 from linkweave.sources.tables import read_table
 from linkweave.operators.text import (
     bigrams_long,
@@ -99,7 +100,10 @@ def q_word_graph_unpruned_nodes(spark, sf_dir):
 
 
 def word_graph(spark, sf_dir):
-    nodes, edges = wg.build_word_graph(_tokens(spark, sf_dir))
+    # The per-document table feeds five branches (words, pairs, bigrams and
+    # both thresholds): write it once instead of re-tokenising for each.
+    tokens = materialize(_tokens(spark, sf_dir).select("doc_ord", "tokens", "bigrams"), "tokens")
+    nodes, edges = wg.build_word_graph(tokens)
     ided = assign_ids(nodes, ["k1", "k2", "k3"])
     return export_nodes(ided), edges_with_ids(edges, ided, directed=False)
 
