@@ -1,0 +1,68 @@
+"""Structured Streaming form of the page-side operators.
+
+The reference processes pages one at a time as its crawl fetches them; here a
+growing folder of page files (parquet, ``url, html``) is the stream.  Parsing
+and link extraction (H1, H2, U1-U6) are stateless per page, so the batch
+operators run unchanged inside ``foreachBatch``; the in-frequency of link
+targets (the count behind T3) is a streaming aggregation whose state is kept
+by Spark in the query's checkpoint location.  Sinks are parquet folders
+(append) and a complete-mode count table rewritten each trigger.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from linkweave.functions.fixed import DEFAULT_MARKER
+from linkweave.operators.links import page_links
+
+PAGE_SCHEMA = "url string, html string"
+
+
+def page_stream(spark: SparkSession, source_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Pages arriving as parquet files in ``source_dir``."""
+    reader = spark.readStream.schema(PAGE_SCHEMA)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.parquet(source_dir)
+
+
+def stream_page_links(
+    pages: DataFrame,
+    sink_dir: str,
+    checkpoint_dir: str,
+    base_url: str | None = None,
+    marker: str = DEFAULT_MARKER,
+    trigger_available_now: bool = True,
+) -> StreamingQuery:
+    """H2 per micro-batch, appended to a parquet link table ``(source, target)``.
+
+    Each batch's links are distinct per page, and a page arrives once, so the
+    appended table is the batch operator's result over all pages so far."""
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        page_links(batch, base_url=base_url, marker=marker).withColumn("batch_id", F.lit(batch_id)).write.mode(
+            "append"
+        ).parquet(sink_dir)
+
+    writer = pages.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_dir)
+    writer = writer.trigger(availableNow=True) if trigger_available_now else writer.trigger(processingTime="10 seconds")
+    return writer.start()
+
+
+def stream_target_counts(links: DataFrame, query_name: str, checkpoint_dir: str) -> StreamingQuery:
+    """In-frequency of each link target over a stream of ``(source, target)``
+    rows (a stateful streaming count, partial per task), kept in a memory table
+    ``query_name`` for inspection; T3 keeps targets whose count reaches the
+    threshold."""
+    counts = links.groupBy("target").agg(F.count(F.lit(1)).alias("n"))
+    return (
+        counts.writeStream.outputMode("complete")
+        .format("memory")
+        .queryName(query_name)
+        .option("checkpointLocation", checkpoint_dir)
+        .trigger(availableNow=True)
+        .start()
+    )

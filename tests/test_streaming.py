@@ -1,0 +1,29 @@
+import tempfile
+
+from linkweave.operators.links import page_links
+from linkweave.streaming.pages import page_stream, stream_page_links, stream_target_counts
+
+
+def test_streamed_links_equal_batch_links(spark):
+    d = tempfile.mkdtemp(prefix="lw-stream-", dir="/tmp")
+    pages = spark.createDataFrame(
+        [
+            ("https://a.test/1", '<p>x</p><a href="/wiki/B">b</a><a href="/wiki/C">c</a>'),
+            ("https://a.test/2", '<a href="/wiki/C">c</a><a href="/wiki/Help:X">h</a>'),
+        ],
+        "url string, html string",
+    )
+    # Two files arrive: one page each.
+    pages.filter("url LIKE '%/1'").write.parquet(f"{d}/in/part1")
+    pages.filter("url LIKE '%/2'").write.parquet(f"{d}/in/part2")
+    stream = page_stream(spark, f"{d}/in/*")
+    q = stream_page_links(stream, f"{d}/links", f"{d}/ckpt", base_url="https://a.test")
+    q.awaitTermination()
+    got = {(r.source, r.target) for r in spark.read.parquet(f"{d}/links").collect()}
+    want = {(r.source, r.target) for r in page_links(pages, base_url="https://a.test").collect()}
+    assert got == want and len(got) == 3
+    links_stream = spark.readStream.schema("source string, target string, batch_id long").parquet(f"{d}/links")
+    q2 = stream_target_counts(links_stream, "lw_target_counts", f"{d}/ckpt2")
+    q2.awaitTermination()
+    counts = {r.target: r.n for r in spark.sql("SELECT * FROM lw_target_counts").collect()}
+    assert counts == {"https://a.test/wiki/B": 1, "https://a.test/wiki/C": 2}
