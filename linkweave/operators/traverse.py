@@ -8,17 +8,20 @@ page's links are taken in url order.  With ``max_articles`` the level is cut
 at the remaining quota (a top-k, not a sort of everything).  Each level is
 written as a table in the shared checkpoint folder, so the plan does not grow
 with the depth and a lost executor does not lose the visited set; the driver
-gets one count per level.
+gets one count per level.  Links to pages without content are dropped once,
+before the first level, and the rest is hash-partitioned by source once, so
+each level shuffles only its frontier.
 """
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linkweave.functions.fixed import DEFAULT_MAX_ARTICLES, DEFAULT_MAX_DEPTH
 from linkweave.operators.ids import assign_ids
-from linkweave.session import materialize
+from linkweave.session import ensure_checkpoint_dir, materialize
 
 
 def traverse(
@@ -34,15 +37,28 @@ def traverse(
     Unavailable pages are neither visited nor counted; ``None`` means no limit.
     """
     spark = links.sparkSession
+    ensure_checkpoint_dir(spark)
+    n_part = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Only links to pages with content matter: filter them once (not per
+    # level), write the result once, then hash-partition it by source and keep
+    # it cached.  A cached table reports its partitioning, so each level's join
+    # shuffles only the frontier; a lost cached block is recomputed from the
+    # written table, deterministically.
     avail = available.select("url").distinct()
-    edges = links.select("source", "target")
+    usable = materialize(
+        links.select("source", "target").join(avail.withColumnRenamed("url", "target"), "target", "left_semi"),
+        "usable_links",
+    )
+    edges = _partitioned_cache(usable, n_part, "source")
     seed_df = spark.createDataFrame([(seed,)], "url string").join(avail, "url", "left_semi")
     empty = spark.createDataFrame([], "url string, depth int, ord long")
     if max_articles is not None and max_articles <= 0:
+        edges.unpersist()
         return empty
     level = materialize(seed_df.select("url", F.lit(0).alias("depth"), F.lit(0).cast("long").alias("ord")), "level")
     n = level.count()
     if n == 0:
+        edges.unpersist()
         return empty
     levels = [level]
     visited_count = n
@@ -57,7 +73,6 @@ def traverse(
             level.select(F.col("url").alias("source"), F.col("ord").alias("parent_ord"))
             .join(edges, "source")
             .select(F.col("target").alias("url"), "parent_ord")
-            .join(avail, "url", "left_semi")
             .join(seen, "url", "left_anti")
             .groupBy("url")
             .agg(F.min("parent_ord").alias("parent_ord"))
@@ -79,12 +94,32 @@ def traverse(
         levels.append(level)
         visited_count += n
         depth += 1
+    edges.unpersist()
     out = levels[0]
     for lv in levels[1:]:
         out = out.unionByName(lv)
     return out
 
 
+def _partitioned_cache(df: DataFrame, n: int, key: str) -> DataFrame:
+    """``df`` hash-partitioned by ``key`` and cached, with the partitioning
+    visible to later joins (AQE may otherwise re-plan a cached plan's output
+    partitioning, which hides it)."""
+    spark = df.sparkSession
+    conf = "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning"
+    before = spark.conf.get(conf, None)
+    spark.conf.set(conf, "false")
+    try:
+        out = df.repartition(n, key).persist(StorageLevel.MEMORY_AND_DISK)
+        out.count()
+    finally:
+        if before is None:
+            spark.conf.unset(conf)
+        else:
+            spark.conf.set(conf, before)
+    return out
+
+
 def visited_list(visited: DataFrame) -> DataFrame:
     """S7 content: visited URLs sorted ascending (code point order)."""
     return visited.select("url").orderBy("url")
