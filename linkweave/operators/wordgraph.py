@@ -31,7 +31,6 @@ from linkweave.functions.fixed import (
     TYPE_COOCCURS,
     TYPE_UNDIRECTED,
 )
-from linkweave.functions.text import cooccurrence_pair_array
 
 # Top bigram tables up to this many rows are broadcast (their size is bounded
 # by the top_n parameter, not by the data).
@@ -56,14 +55,46 @@ def word_frequencies(doc_tokens: DataFrame, col: str = "tokens") -> DataFrame:
     )
 
 
+def cooccurrence_pairs(doc_tokens: DataFrame, window_size: int = DEFAULT_WINDOW_SIZE, col: str = "tokens") -> DataFrame:
+    """G2 before aggregation: one row ``(a, b, w)`` per pair of positions
+    ``p < q < p + W`` of a document, ends sorted, ``w`` = the number of windows
+    holding both: ``least(p, n-W) - greatest(0, q-W+1) + 1`` (closed form).
+
+    Built from compiled expressions only: the document's tokens zipped with
+    their shifts (``arrays_zip`` of slices, once per document), one row per
+    position (``posexplode``), then ``W-1`` pair rows per position (``stack``).
+    Documents shorter than ``W`` give nothing."""
+    w = window_size
+    if w < 2:
+        return doc_tokens.sparkSession.createDataFrame([], "a string, b string, w bigint")
+    t = F.col(col)
+    base = doc_tokens.select(t.alias("_t"), F.size(t).alias("_n")).filter(F.col("_n") >= w)
+    shifted = base.select("_n", *[F.slice("_t", d + 1, F.col("_n")).alias(f"s{d}") for d in range(w)])
+    zipped = shifted.select("_n", F.posexplode_outer(F.arrays_zip(*[F.col(f"s{d}") for d in range(w)])).alias("_p", "_z"))
+    zipped = zipped.filter(F.col("_z").isNotNull())
+    p, n = F.col("_p"), F.col("_n")
+    parts = []
+    for d in range(1, w):
+        x, y = F.col("_z.s0"), F.col(f"_z.s{d}")
+        # least/greatest skip nulls: no partner (past the end) must stay null.
+        has = y.isNotNull()
+        parts += [
+            F.when(has, F.least(x, y)),
+            F.when(has, F.greatest(x, y)),
+            (F.least(p, n - w) - F.greatest(F.lit(0), p + d - w + 1) + 1).cast("long"),
+        ]
+    stacked = zipped.select(F.stack(F.lit(w - 1), *parts).alias("a", "b", "w"))
+    return stacked.filter(F.col("b").isNotNull())
+
+
 def cooccurrence(doc_tokens: DataFrame, window_size: int = DEFAULT_WINDOW_SIZE, col: str = "tokens") -> DataFrame:
     """``(w1, w2, Weight)`` with ``w1 <= w2``; a pair counts once per
-    window of ``window_size`` consecutive tokens holding both."""
+    window of ``window_size`` consecutive tokens holding both.  Partial
+    aggregation per task first, so a hot pair is combined before the shuffle."""
     return (
-        doc_tokens.select(F.explode_outer(cooccurrence_pair_array(F.col(col), window_size)).alias("e"))
-        .filter(F.col("e").isNotNull())
-        .groupBy(F.col("e.a").alias("w1"), F.col("e.b").alias("w2"))
-        .agg(F.sum("e.w").alias("Weight"))
+        cooccurrence_pairs(doc_tokens, window_size, col)
+        .groupBy(F.col("a").alias("w1"), F.col("b").alias("w2"))
+        .agg(F.sum("w").alias("Weight"))
     )
 
 
@@ -224,14 +255,12 @@ def edge_threshold(edges: DataFrame, percentile: float = DEFAULT_EDGE_PRUNE_PERC
     return edges.select(F.percentile(F.col("Weight").cast("double"), F.lit(percentile / 100.0)).alias("threshold"))
 
 
-def prune_nodes(
+def kept_nodes(
     nodes: DataFrame,
-    edges: DataFrame,
     percentile: float = DEFAULT_NODE_PRUNE_PERCENTILE,
     min_freq: int = DEFAULT_MIN_NODE_FREQ,
-) -> tuple[DataFrame, DataFrame]:
-    """Same rule on ``Attribute`` over word nodes only; removed nodes take
-    their edges along; bigram nodes are never pruned."""
+) -> DataFrame:
+    """G10 on the node table alone (it does not depend on the edges)."""
     is_word = F.col("Group") == F.lit(GROUP_WORD)
     threshold = (
         nodes.filter(is_word)
@@ -239,14 +268,39 @@ def prune_nodes(
         .scalar()
     )
     keep = (~is_word) | ((F.col("Attribute") >= threshold) & (F.col("Attribute") >= F.lit(min_freq)))
-    kept_nodes = nodes.filter(keep)
-    names = kept_nodes.select("node")
+    return nodes.filter(keep)
+
+
+def prune_nodes(
+    nodes: DataFrame,
+    edges: DataFrame,
+    percentile: float = DEFAULT_NODE_PRUNE_PERCENTILE,
+    min_freq: int = DEFAULT_MIN_NODE_FREQ,
+) -> tuple[DataFrame, DataFrame]:
+    """Same rule on ``Attribute`` over word nodes only; removed nodes take
+    their edges along; bigram nodes are never pruned."""
+    kept = kept_nodes(nodes, percentile, min_freq)
+    names = kept.select("node")
     # Every edge end is a node, so "both ends kept" is two semi-joins; AQE
     # turns them into broadcasts when the kept vocabulary is small.
     kept_edges = edges.join(names.withColumnRenamed("node", "a"), "a", "left_semi").join(
         names.withColumnRenamed("node", "b"), "b", "left_semi"
     )
-    return kept_nodes, kept_edges.select("a", "b", "Type", "Weight")
+    return kept, kept_edges.select("a", "b", "Type", "Weight")
+
+
+def build_word_nodes(
+    doc_tokens: DataFrame,
+    top_n_bigrams: int = DEFAULT_TOP_N_BIGRAMS,
+    enable_pruning: bool = True,
+    node_prune_percentile: float = DEFAULT_NODE_PRUNE_PERCENTILE,
+    min_node_freq: int = DEFAULT_MIN_NODE_FREQ,
+) -> DataFrame:
+    """The node table of G11 without computing any edge (G9 removes edges
+    only, and G10 reads node attributes only)."""
+    top_n = max(top_n_bigrams, 0)
+    nodes = merge_nodes(word_frequencies(doc_tokens), top_bigrams(doc_tokens, top_n), top_n)
+    return kept_nodes(nodes, node_prune_percentile, min_node_freq) if enable_pruning else nodes
 
 
 def build_word_graph(

@@ -109,7 +109,9 @@ def word_graph(spark, sf_dir):
 
 
 def q_word_graph_nodes(spark, sf_dir):
-    return word_graph(spark, sf_dir)[0]
+    tokens = materialize(_tokens(spark, sf_dir).select("doc_ord", "tokens", "bigrams"), "tokens")
+    nodes = materialize(wg.build_word_nodes(tokens), "word_nodes")
+    return export_nodes(assign_ids(nodes, ["k1", "k2", "k3"]))
 
 
 def q_word_graph_edges(spark, sf_dir):
