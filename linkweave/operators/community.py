@@ -127,6 +127,7 @@ def greedy_communities(
     mode: str = "parallel",
     max_rounds: int | None = None,
     absorb: bool = True,
+    small_every: int = 4,
 ) -> DataFrame:
     """Agglomerative greedy modularity on the unweighted simple graph.
 
@@ -173,17 +174,17 @@ def greedy_communities(
         rounds += 1
         d1 = deg.select(F.col("c").alias("c1"), F.col("d").alias("d1"))
         d2 = deg.select(F.col("c").alias("c2"), F.col("d").alias("d2"))
-        gains = cedges.join(d1, "c1").join(d2, "c2").select(
+        gains = materialize(cedges.join(d1, "c1").join(d2, "c2").select(
             "c1", "c2",
             F.round(F.col("w") / F.lit(float(m)) - F.col("d1") * F.col("d2") / F.lit(2.0 * m * m), 12).alias("g"),
-        )
+        ), "gains")
         key = F.struct(F.col("g"), (-F.col("c1")).alias("n1"), (-F.col("c2")).alias("n2"))
         if mode == "exact":
             best = gains.select(F.max(key).alias("k")).select("k.g", (-F.col("k.n1")).alias("c1"), (-F.col("k.n2")).alias("c2"))
             merges = best.filter(F.col("g") >= 0).select(F.col("c2").alias("c"), F.col("c1").alias("to"))
         else:
             pair_ends = gains.select(F.explode(F.array(F.col("c1"), F.col("c2"))).alias("c"), key.alias("k"))
-            best = pair_ends.groupBy("c").agg(F.max("k").alias("k"))
+            best = materialize(pair_ends.groupBy("c").agg(F.max("k").alias("k")), "best")
             b1 = best.select(F.col("c").alias("c1"), F.col("k").alias("k1"))
             b2 = best.select(F.col("c").alias("c2"), F.col("k").alias("k2"))
             mutual = (
@@ -218,8 +219,13 @@ def greedy_communities(
         cedges = moved.filter(F.col("x") != F.col("y")).groupBy(
             F.least("x", "y").alias("c1"), F.greatest("x", "y").alias("c2")
         ).agg(F.sum("w").alias("w"))
-        deg, cedges = materialize(deg, "deg"), materialize(cedges, "cedges")
-        labels = materialize(labels, "labels")
+        # The community edge table is written every round (it is the large
+        # one, read by the next round's joins).  The degree and label tables
+        # grow their lineage by one small join per round, so they are written
+        # every few rounds only.
+        cedges = materialize(cedges, "cedges")
+        if rounds % small_every == 0:
+            deg, labels = materialize(deg, "deg"), materialize(labels, "labels")
     assign = ids.select("Id", F.col("Id").alias("c"))
     if labels is not None:
         assign = assign.join(labels, assign["c"] == labels["c"], "left").select(
