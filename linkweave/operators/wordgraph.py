@@ -298,8 +298,11 @@ def build_word_nodes(
 ) -> DataFrame:
     """The node table of G11 without computing any edge (G9 removes edges
     only, and G10 reads node attributes only)."""
+    from linkweave.session import materialize
+
     top_n = max(top_n_bigrams, 0)
-    nodes = merge_nodes(word_frequencies(doc_tokens), top_bigrams(doc_tokens, top_n), top_n)
+    top = materialize(top_bigrams(doc_tokens, top_n), "top_bigrams")
+    nodes = merge_nodes(word_frequencies(doc_tokens), top, top_n)
     return kept_nodes(nodes, node_prune_percentile, min_node_freq) if enable_pruning else nodes
 
 
@@ -322,16 +325,21 @@ def build_word_graph(
     once to the shared checkpoint folder rather than recomputing the pair
     aggregation (a shuffle of ``window_size - 1`` rows per token) per reader."""
     words = word_frequencies(doc_tokens)
+    from linkweave.session import materialize
+
     top_n = max(top_n_bigrams, 0)
     top = top_bigrams(doc_tokens, top_n)
+    if write_intermediate:
+        # Read by the node union and by both bigram edge kinds (at most top_n rows).
+        top = materialize(top, "top_bigrams")
     nodes = merge_nodes(words, top, top_n)
+    if write_intermediate:
+        nodes = materialize(nodes, "word_nodes")
     cooc = word_edges(cooccurrence(doc_tokens, window_size))
     edges = merge_edges(cooc, contains_edges(top, nodes, top_n), bigram_edges(top), top_n=top_n)
     if enable_pruning:
         if write_intermediate:
-            from linkweave.session import materialize
-
-            nodes, edges = materialize(nodes, "word_nodes"), materialize(edges, "word_edges")
+            edges = materialize(edges, "word_edges")
         edges = prune_edges(edges, edge_prune_percentile, min_edge_weight)
         nodes, edges = prune_nodes(nodes, edges, node_prune_percentile, min_node_freq)
     return nodes, edges
