@@ -28,8 +28,11 @@ def assign_ids(
     """``df`` plus ``id_col`` = 1..n by ``order_cols`` (which should be unique)."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols).checkpoint(eager=True)
+    # Without an explicit count the range exchange is sized by AQE to the data
+    # (coalesced when small), so a small table is not spread over hundreds of
+    # tasks and a large one still gets the session's full parallelism.
+    ranged = df.repartitionByRange(num_partitions, *order_cols) if num_partitions else df.repartitionByRange(*order_cols)
+    ordered = ranged.sortWithinPartitions(*order_cols).checkpoint(eager=True)
     tagged = ordered.withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id())
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_m0"))
     # One row per partition: a window over it is bounded by the partition count.
