@@ -166,7 +166,8 @@ def phrase_entities(
 
 
 def document_vocabulary(tokens: DataFrame, k: int = DEFAULT_VOCABULARY_SIZE) -> DataFrame:
-    """N5 + N6 in-row: adds ``vocab`` (array of (rank, word, n)) and ``bigrams``."""
+    """N5 + N6 in-row: adds ``vocab`` (array of (rank, word, n)), ``bigrams``
+    and ``word_stats`` (array of (neg_n, first, w): each distinct token)."""
     out = tokens
     stages = vocabulary_stages("tokens", k)
     for name, expr in stages:
@@ -174,6 +175,9 @@ def document_vocabulary(tokens: DataFrame, k: int = DEFAULT_VOCABULARY_SIZE) ->
     return (
         out.withColumn("vocab", F.col("_vocab"))
         .withColumn("bigrams", rank_bigram_array(F.col("_vocab")))
+        # Every distinct token of the document with its count and first
+        # position: the per-document half of the word counts (G1).
+        .withColumn("word_stats", F.col("_runs"))
         .drop(*[name for name, _ in stages])
     )
 

@@ -42,7 +42,19 @@ def _maybe_broadcast(df: DataFrame, bound: int) -> DataFrame:
 
 
 def word_frequencies(doc_tokens: DataFrame, col: str = "tokens") -> DataFrame:
-    """G1: ``(word, freq, first_doc, first_pos)`` over all documents."""
+    """G1: ``(word, freq, first_doc, first_pos)`` over all documents.
+
+    From the per-document ``word_stats`` when present: one row per distinct
+    word and document, summed with a hash aggregate; the first position is
+    ``min_by(first, doc)``, exact because a word has one row per document.
+    Otherwise from the tokens themselves."""
+    if "word_stats" in doc_tokens.columns and col == "tokens":
+        rows = doc_tokens.select("doc_ord", F.inline_outer("word_stats")).filter(F.col("w").isNotNull())
+        return rows.groupBy(F.col("w").alias("word")).agg(
+            (-F.sum("neg_n")).cast("long").alias("freq"),
+            F.min("doc_ord").alias("first_doc"),
+            F.min_by("first", "doc_ord").cast("long").alias("first_pos"),
+        )
     return (
         doc_tokens.select("doc_ord", F.posexplode_outer(col).alias("pos", "word"))
         .filter(F.col("word").isNotNull())
@@ -106,9 +118,11 @@ def bigram_document_counts(doc_tokens: DataFrame) -> DataFrame:
         .groupBy("bigram")
         .agg(
             F.count(F.lit(1)).alias("n"),
-            F.min(F.struct(F.col("doc_ord"), F.col("rank").cast("long").alias("rank"))).alias("_first"),
+            # A bigram occurs at most once per document (its words are distinct
+            # rank neighbours), so min_by over the document is exact.
+            F.min("doc_ord").alias("first_doc"),
+            F.min_by(F.col("rank").cast("long"), F.col("doc_ord")).alias("first_rank"),
         )
-        .select("bigram", "n", F.col("_first.doc_ord").alias("first_doc"), F.col("_first.rank").alias("first_rank"))
     )
 
 

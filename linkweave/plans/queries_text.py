@@ -102,14 +102,14 @@ def q_word_graph_unpruned_nodes(spark, sf_dir):
 def word_graph(spark, sf_dir):
     # The per-document table feeds five branches (words, pairs, bigrams and
     # both thresholds): write it once instead of re-tokenising for each.
-    tokens = materialize(_tokens(spark, sf_dir).select("doc_ord", "tokens", "bigrams"), "tokens")
+    tokens = materialize(_tokens(spark, sf_dir).select("doc_ord", "tokens", "bigrams", "word_stats"), "tokens")
     nodes, edges = wg.build_word_graph(tokens)
     ided = assign_ids(nodes, ["k1", "k2", "k3"])
     return export_nodes(ided), edges_with_ids(edges, ided, directed=False)
 
 
 def q_word_graph_nodes(spark, sf_dir):
-    tokens = materialize(_tokens(spark, sf_dir).select("doc_ord", "tokens", "bigrams"), "tokens")
+    tokens = materialize(_tokens(spark, sf_dir).select("doc_ord", "tokens", "bigrams", "word_stats"), "tokens")
     nodes = materialize(wg.build_word_nodes(tokens), "word_nodes")
     return export_nodes(assign_ids(nodes, ["k1", "k2", "k3"]))
 
