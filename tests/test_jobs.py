@@ -51,3 +51,13 @@ def test_community_summary(spark):
     open(p, "w").write("Id,Label,degree,modularity_class\n1,alpha,5,0\n2,beta,3,0\n3,gamma,7,1\n")
     rows = community_summary(spark, p, top_n=2).collect()
     assert [(r["rank"], r.modularity_class, r.Label) for r in rows] == [(1, 0, "alpha"), (1, 0, "beta"), (2, 1, "gamma")]
+
+
+def test_build_networks_with_no_content_still_exports(spark):
+    d = tempfile.mkdtemp(prefix="lw-j1e-", dir="/tmp")
+    pages = spark.createDataFrame([("https://w.test/wiki/Other", "<p>x</p>")], "url string, html string")
+    cfg = NetworkConfig(base_url="https://w.test", seed_article="Missing")
+    counts = build_networks(pages, None, d, cfg)
+    assert counts == {"visited": 0, "word_nodes": 0, "link_nodes": 0}
+    for sub in ("words/nodes", "words/edges", "links/nodes", "links/edges"):
+        assert glob.glob(f"{d}/{sub}/_SUCCESS")
