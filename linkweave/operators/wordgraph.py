@@ -80,7 +80,10 @@ def cooccurrence_pairs(doc_tokens: DataFrame, window_size: int = DEFAULT_WINDOW_
     if w < 2:
         return doc_tokens.sparkSession.createDataFrame([], "a string, b string, w bigint")
     t = F.col(col)
-    base = doc_tokens.select(t.alias("_t"), F.size(t).alias("_n")).filter(F.col("_n") >= w)
+    # No filter on size(tokens) here: Catalyst would push it into the scan and
+    # tokenise every document twice.  Documents shorter than W give weights
+    # <= 0 below and are dropped after the generator instead.
+    base = doc_tokens.select(t.alias("_t"), F.size(t).alias("_n"))
     shifted = base.select("_n", *[F.slice("_t", d + 1, F.col("_n")).alias(f"s{d}") for d in range(w)])
     zipped = shifted.select("_n", F.posexplode_outer(F.arrays_zip(*[F.col(f"s{d}") for d in range(w)])).alias("_p", "_z"))
     zipped = zipped.filter(F.col("_z").isNotNull())
@@ -96,7 +99,8 @@ def cooccurrence_pairs(doc_tokens: DataFrame, window_size: int = DEFAULT_WINDOW_
             (F.least(p, n - w) - F.greatest(F.lit(0), p + d - w + 1) + 1).cast("long"),
         ]
     stacked = zipped.select(F.stack(F.lit(w - 1), *parts).alias("a", "b", "w"))
-    return stacked.filter(F.col("b").isNotNull())
+    # For n >= W every kept pair has weight >= 1; for n < W all weights are <= 0.
+    return stacked.filter(F.col("b").isNotNull() & (F.col("w") > 0))
 
 
 def cooccurrence(doc_tokens: DataFrame, window_size: int = DEFAULT_WINDOW_SIZE, col: str = "tokens") -> DataFrame:
