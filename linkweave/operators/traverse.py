@@ -30,6 +30,7 @@ def traverse(
     seed: str,
     max_depth: int | None = DEFAULT_MAX_DEPTH,
     max_articles: int | None = DEFAULT_MAX_ARTICLES,
+    salt_buckets: int = 8,
 ) -> DataFrame:
     """``(url, depth, ord)`` of the visited pages; ``ord`` 0-based visit order.
 
@@ -49,7 +50,11 @@ def traverse(
         links.select("source", "target").join(avail.withColumnRenamed("url", "target"), "target", "left_semi"),
         "usable_links",
     )
-    edges = _partitioned_cache(usable, n_part, "source")
+    # Salt: a hub page's links are spread over ``salt_buckets`` partitions by
+    # a hash of the target; each frontier row is repeated once per bucket, so
+    # the join still pairs it with every link of its page.
+    salted = usable.withColumn("_salt", F.pmod(F.xxhash64("target"), F.lit(salt_buckets)))
+    edges = _partitioned_cache(salted, n_part, ["source", "_salt"])
     seed_df = spark.createDataFrame([(seed,)], "url string").join(avail, "url", "left_semi")
     empty = spark.createDataFrame([], "url string, depth int, ord long")
     if max_articles is not None and max_articles <= 0:
@@ -69,9 +74,11 @@ def traverse(
         seen = levels[0].select("url")
         for lv in levels[1:]:
             seen = seen.unionByName(lv.select("url"))
+        front = level.select(F.col("url").alias("source"), F.col("ord").alias("parent_ord")).withColumn(
+            "_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1)).cast("array<bigint>"))
+        )
         cand = (
-            level.select(F.col("url").alias("source"), F.col("ord").alias("parent_ord"))
-            .join(edges, "source")
+            front.join(edges, ["source", "_salt"])
             .select(F.col("target").alias("url"), "parent_ord")
             .join(seen, "url", "left_anti")
             .groupBy("url")
@@ -101,7 +108,7 @@ def traverse(
     return out
 
 
-def _partitioned_cache(df: DataFrame, n: int, key: str) -> DataFrame:
+def _partitioned_cache(df: DataFrame, n: int, key) -> DataFrame:
     """``df`` hash-partitioned by ``key`` and cached, with the partitioning
     visible to later joins (AQE may otherwise re-plan a cached plan's output
     partitioning, which hides it)."""
@@ -110,7 +117,8 @@ def _partitioned_cache(df: DataFrame, n: int, key: str) -> DataFrame:
     before = spark.conf.get(conf, None)
     spark.conf.set(conf, "false")
     try:
-        out = df.repartition(n, key).persist(StorageLevel.MEMORY_AND_DISK)
+        keys = [key] if isinstance(key, str) else list(key)
+        out = df.repartition(n, *keys).persist(StorageLevel.MEMORY_AND_DISK)
         out.count()
     finally:
         if before is None:
