@@ -109,20 +109,23 @@ def link_nodes(links: DataFrame, sources: DataFrame | None = None, ord_col: str
     with insertion keys: a source at ``(ord, 0, '')``, its targets at
     ``(ord, 1, url)``; a node keeps its earliest key.  ``sources`` adds pages
     without links (``(url, src_ord)``, used when pruning is off)."""
-    as_src = links.select(F.col("source").alias("node"), F.struct(F.col(ord_col).cast("long").alias("k2"), F.lit(0).cast("long").alias("k3"), F.lit("").alias("k4")).alias("_k"))
-    as_dst = links.select(F.col("target").alias("node"), F.struct(F.col(ord_col).cast("long").alias("k2"), F.lit(1).cast("long").alias("k3"), F.col("target").alias("k4")).alias("_k"))
+    # A node's key is (ord, 0, '') as a source and (ord, 1, its own url) as a
+    # target, so the url part is fixed by the role: the minimum over
+    # appearances is min(2*ord + role), a hash-aggregatable long.
+    as_src = links.select(F.col("source").alias("node"), (F.col(ord_col).cast("long") * 2).alias("_k"))
+    as_dst = links.select(F.col("target").alias("node"), (F.col(ord_col).cast("long") * 2 + 1).alias("_k"))
     allk = as_src.unionByName(as_dst)
     if sources is not None:
-        allk = allk.unionByName(
-            sources.select(F.col("url").alias("node"), F.struct(F.col(ord_col).cast("long").alias("k2"), F.lit(0).cast("long").alias("k3"), F.lit("").alias("k4")).alias("_k"))
-        )
-    return allk.groupBy("node").agg(F.min("_k").alias("_k")).select(
+        allk = allk.unionByName(sources.select(F.col("url").alias("node"), (F.col(ord_col).cast("long") * 2).alias("_k")))
+    first = allk.groupBy("node").agg(F.min("_k").alias("_k"))
+    role = F.col("_k") % 2
+    return first.select(
         "node",
         F.lit(GROUP_LINK).alias("Group"),
         F.lit(0).cast("long").alias("Attribute"),
-        F.col("_k.k2").alias("k2"),
-        F.col("_k.k3").alias("k3"),
-        F.col("_k.k4").alias("k4"),
+        F.floor(F.col("_k") / 2).cast("long").alias("k2"),
+        role.cast("long").alias("k3"),
+        F.when(role == 1, F.col("node")).otherwise(F.lit("")).alias("k4"),
     )
 
 
