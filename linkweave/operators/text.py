@@ -89,11 +89,12 @@ def _document_words_by_join(base: DataFrame, stops: list[str], lexicon: DataFram
     tok = base.select(
         "doc_ord", F.posexplode_outer(F.filter("_tok", lambda t: ~t.isin(stops) & (F.length(t) >= min_length))).alias("pos", "_s")
     ).filter(F.col("_s").isNotNull())
-    joined = tok.join(lex, "_s", "left").filter(
-        ~((F.col("_pos") == "VERB") & F.col("_lemma").isin(list(LOW_INFORMATION_VERBS)))
-    )
+    # Tokens without a lexicon entry have a null tag: keep them (the verb test
+    # must be false, not null).
+    low_info = F.coalesce((F.col("_pos") == "VERB") & F.col("_lemma").isin(list(LOW_INFORMATION_VERBS)), F.lit(False))
+    joined = tok.join(lex, "_s", "left").filter(~low_info)
     words = joined.groupBy("doc_ord").agg(
-        F.array_sort(F.collect_list(F.struct("pos", F.coalesce("_lemma", "_s").alias("w")))).alias("_pw")
+        F.sort_array(F.collect_list(F.struct("pos", F.coalesce("_lemma", "_s").alias("w")))).alias("_pw")
     )
     return base.select("doc_ord").join(words, "doc_ord", "left").select(
         "doc_ord", F.coalesce(F.transform("_pw", lambda x: x["w"]), F.array().cast("array<string>")).alias("words")

@@ -73,3 +73,20 @@ def test_long_format_positions(spark):
     tok = text_pipeline(docs_df(spark, ["alpha beta gamma", "delta"]))
     rows = sorted((r.doc_ord, r.pos, r.word) for r in content_words_long(tok).collect())
     assert rows == [(0, 0, "alpha"), (0, 1, "beta"), (0, 2, "gamma"), (1, 0, "delta")]
+
+
+def test_large_lexicon_join_path_equals_literal_path(spark):
+    from linkweave.operators.text import _document_words_by_join, document_words
+    from linkweave.functions.fixed import default_stop_words
+    from linkweave.functions.text import normalise_text, split_tokens
+
+    texts = ["Dogs were running and he said the dogs ran home", "the cats used the doors", ""]
+    lex_rows = [("dogs", "dog", "NOUN"), ("running", "run", "VERB"), ("said", "say", "VERB"), ("cats", "cat", "NOUN"), ("used", "use", "VERB")]
+    docs = docs_df(spark, texts)
+    literal = {r.doc_ord: list(r.words) for r in document_words(docs, lexicon=lex_rows).collect()}
+    lex_df = spark.createDataFrame(lex_rows, "surface string, lemma string, pos_tag string")
+    base = docs.select(F.col("doc_id").alias("doc_ord"), split_tokens(normalise_text("text")).alias("_tok"))
+    joined = {r.doc_ord: list(r.words) for r in _document_words_by_join(base, list(default_stop_words()), lex_df, 3).collect()}
+    assert literal == joined
+    # "said" and "used" are low-information verbs and go; "running" maps to "run", which is kept.
+    assert literal[0] == ["dog", "run", "dog", "ran", "home"] and literal[1] == ["cat", "doors"] and literal[2] == []
