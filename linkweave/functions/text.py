@@ -128,32 +128,3 @@ def rank_bigram_array(vocab: Column) -> Column:
             lambda i: F.concat_ws(" ", vocab[i - 1]["word"], vocab[i]["word"]),
         )
     )
-
-
-def cooccurrence_pair_array(tokens: Column, window_size: int = 5) -> Column:
-    """G2 on one document, closed form.
-
-    Positions p < q with q - p < W are held together by
-    ``least(p, n-W) - greatest(0, q-W+1) + 1`` of the overlapping windows of
-    ``W`` tokens; documents shorter than ``W`` give nothing.  Emits at most
-    ``W-1`` pairs per token, ends sorted, as ``array<struct<a, b, w>>``.
-    """
-    w = window_size
-    n = F.size(tokens)
-
-    def per_offset(d):
-        return F.transform(
-            F.sequence(F.lit(0), n - 1 - d),
-            lambda i: F.struct(
-                F.least(tokens[i], tokens[i + d]).alias("a"),
-                F.greatest(tokens[i], tokens[i + d]).alias("b"),
-                (F.least(i, n - w) - F.greatest(F.lit(0), i + d - w + 1) + 1).cast("long").alias("w"),
-            ),
-        )
-
-    if w < 2:
-        return F.array().cast("array<struct<a:string,b:string,w:bigint>>")
-    pairs = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(w - 1)), per_offset))
-    return F.when(n >= w, pairs).otherwise(
-        F.array().cast("array<struct<a:string,b:string,w:bigint>>")
-    )
