@@ -23,6 +23,13 @@ def word_array(text: Column) -> Column:
     return F.when(trimmed != "", F.split(trimmed, f"[{SPACE}]+")).otherwise(F.array().cast("array<string>"))
 
 
+def fenced(df: DataFrame, *columns: Column | str) -> DataFrame:
+    """``select`` whose result may be filtered: a filter on a plain projection is pushed below it, with the column's
+    expression in place of its name, and a chain of staged columns would be repeated over and over.  Filters on a
+    generator's output stay above it."""
+    return df.select(F.explode_outer(F.array(F.struct(*columns))).alias("_row")).select("_row.*")
+
+
 def word_count(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(f"[^{SPACE}]+")).cast("long")
 

@@ -10,11 +10,11 @@ regions are only formed where distances can be below 1:
 3. A region picks a pivot and measures all its points against it, which finds the pivot's links.  The region then
    parts into the ball around the pivot and the rest: within 2r of the pivot, and beyond r.  By the triangle inequality linked
    points lie in the same part; those in the window between r and 2r are replicated into both.
-4. Parts are joined in the same way, without the pivot, as long as they hold points of different components.  When
-   what is left is no more than a few pairs a point, all of these pairs are measured at once.
+4. Parts are joined in the same way, without the pivot, as long as they hold points not yet known to be connected. In parts of
+   a few points all pairs are measured at once.
 
 Region rows never meet in one task: pivots are minima (aggregates), measurements are joins.  Steps repeat until no
-region has two components, so no link is lost whatever a region's size.
+region is open, so no link between components is lost whatever a region's size.
 
 Defined results: a null or blank text has an empty set and links with nothing; a text shorter than a
 shingle is one shingle; repeated rows and equal sets are linked, each with its own row; a null id keeps its row and is
@@ -36,8 +36,9 @@ from linkweave.session import materialize
 
 #: Bits of the map of wanted keys that every task gets (8 MB, whatever the input).
 MAP_BITS = 1 << 26
-#: What is left is measured pair by pair when that makes at most so many pairs a point.
-PAIRS_A_POINT = 16
+#: In regions of at most so many points all pairs are measured at once; twice as many at every further step, so that steps are
+#: few (the logarithm of a region's size) even where regions do not shrink.
+SMALL = 12
 
 
 def least_common(n, percent: int):
@@ -136,50 +137,62 @@ def _measured(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
-    """Labels after the links ``(node, pivot)``."""
+    """Labels after one star step along the links ``(node, pivot)``: what is around a pivot takes the smallest label there.
+    Equal labels always mean linked points; that not all linked points have equal labels yet costs work, never a link."""
     one = labels.select("node", F.col("label").alias("u"))
-    two = labels.select(F.col("node").alias("pivot"), F.col("label").alias("v"))
-    roots = components(links.join(one, "node").join(two, "pivot").select("u", "v"))
-    joined = labels.join(roots.select(F.col("u").alias("label"), F.col("label").alias("_root")), "label", "left")
-    return materialize(joined.select("node", F.coalesce("_root", "label").alias("label")), "jaccard-labels")
+    two = labels.select(F.col("node").alias("pivot"), F.col("label").alias("p"))
+    arcs = links.join(one, "node").join(two, "pivot").filter("u != p").select("u", "p").distinct()
+    least = arcs.groupBy("p").agg(F.min("u").alias("_u")).select("p", F.least("p", "_u").alias("m"))
+    told = arcs.join(least, "p").select("u", "m").union(least.select("p", "m")).groupBy("u").agg(F.min("m").alias("_m"))
+    joined = labels.join(told.withColumnRenamed("u", "label"), "label", "left")
+    return materialize(joined.select("node", F.least("label", F.coalesce("_m", "label")).alias("label")), "jaccard-labels")
 
 
-def _body_hash(text: str) -> Column:
-    return F.xxhash64(F.col(text), F.col(text).isNull())
-
-
-def _grouped(docs: DataFrame, percent: int, width: int, key: str, text: str) -> DataFrame:
-    """``(id, body, n, least, group)`` for every row: the smallest id of its component, and a name of the component (null without words)."""
-    slim = docs.select(F.col(key).alias("id"), F.col(text).alias("text"), _body_hash(text).alias("body"))
-    rows = materialize(_prefixes(slim, width, percent), "jaccard-rows")
-    classes, sets, cells = _points(slim, rows, width, percent)
+def _links(sets: DataFrame, cells: DataFrame, percent: int) -> DataFrame:
+    """Links ``(u, v)`` that connect all points which linked pairs connect, from regions ``(cell, node)``."""
     labels = materialize(sets.select("node", F.col("node").alias("label")), "jaccard-labels")
-    turn = 0
+    found, turn = [], 0
     while True:
         turn += 1
-        state = cells.join(labels, "node").select("cell", "node", "label")
-        state = materialize(state, "jaccard-state")
-        order = F.xxhash64(F.lit(turn), "node")
+        state = materialize(cells.join(labels, "node").select("cell", "node", "label"), "jaccard-state")
         pivots = state.groupBy("cell").agg(
-            F.min_by("node", order).alias("pivot"), F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("size")
+            F.min_by("node", F.xxhash64(F.lit(turn), "node")).alias("pivot"), F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("size")
         )
-        open_cells = materialize(pivots.filter("low != high").select("cell", "pivot", "size"), "jaccard-pivots")
-        left = open_cells.agg(F.count(F.lit(1)).alias("cells"), F.sum(F.col("size") * (F.col("size") - 1) / 2).alias("pairs"), F.sum("size").alias("points")).first()
-        if not left["cells"]:
+        open_cells = materialize(pivots.filter("low != high").select("cell", "pivot", (F.col("size") <= SMALL << (turn - 1)).alias("small")), "jaccard-open")
+        left = {r["small"]: r["count"] for r in open_cells.groupBy("small").count().collect()}
+        if not left:
             break
         state = state.join(open_cells, "cell")
-        if left["pairs"] <= PAIRS_A_POINT * left["points"]:
-            one = state.select("cell", "node", "label")
-            two = state.select("cell", F.col("node").alias("pivot"), F.col("label").alias("other"))
-            pairs = one.join(two, "cell").filter("node < pivot and label != other").select("node", "pivot")
-            labels = _merged(labels, _measured(pairs, sets, percent).filter("near"))
+        large = state.filter("not small and node != pivot").select("cell", "node", "pivot")
+        pairs = large.select("node", "pivot")
+        if True in left:
+            small = state.filter("small").select("cell", "node", "label")
+            other = small.select("cell", F.col("node").alias("pivot"), F.col("label").alias("other"))
+            pairs = pairs.union(small.join(other, "cell").filter("node < pivot and label != other").select("node", "pivot"))
+        measured = _measured(pairs, sets, percent)
+        found.append(measured.filter("near").select(F.col("node").alias("u"), F.col("pivot").alias("v")))
+        if False not in left:
             break
-        met = state.filter("node != pivot")
-        measured = _measured(met.select("node", "pivot"), sets, percent)
-        labels = _merged(labels, measured.filter("near"))
+        labels = _merged(labels, measured.filter("near").select("node", "pivot"))
         parts = F.when(F.col("near"), F.array(F.lit(0))).when(F.col("ring"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(1)))
-        parted = met.join(measured, ["node", "pivot"]).select("node", "cell", F.explode(parts).alias("part"))
-        cells = materialize(parted.select(F.xxhash64("cell", "part").alias("cell"), "node"), "jaccard-cells")
+        cells = large.join(measured, ["node", "pivot"]).select("node", "cell", F.explode(parts).alias("part")).select(F.xxhash64("cell", "part").alias("cell"), "node")
+    out = sets.sparkSession.createDataFrame([], "u bigint, v bigint")
+    for links in found:
+        out = out.union(links)
+    return out
+
+
+def _body_hash(text: str) -> Column:
+    return F.xxhash64(F.col(text), F.col(text).isNull())
+
+
+def _grouped(docs: DataFrame, percent: int, width: int, key: str, text: str) -> DataFrame:
+    """``(id, body, n, least, group)`` for every row: the smallest id of its component, and a name of the component (null without words)."""
+    slim = docs.select(F.col(key).alias("id"), F.col(text).alias("text"), _body_hash(text).alias("body"))
+    rows = materialize(_prefixes(slim, width, percent), "jaccard-rows")
+    classes, sets, cells = _points(slim, rows, width, percent)
+    roots = components(_links(sets, cells, percent))
+    labels = sets.select("node").join(roots.withColumnRenamed("u", "node"), "node", "left").select("node", F.coalesce("label", "node").alias("label"))
     labelled = materialize(sets.join(labels, "node").select("print", "id", "label"), "jaccard-labelled")
     least = labelled.groupBy("label").agg(F.min("id").alias("_least"))
     reached = labelled.join(least, "label").select("print", "label", "_least")

@@ -19,6 +19,8 @@ from collections import defaultdict
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from linkweave.llm.common import fenced
+
 SHINGLE = 5
 BANDS = 32
 CONTAINMENT = 80
@@ -102,4 +104,4 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", templates: di
             out, F.expr(f"flatten(transform({signed}, x -> transform(filter({told}, t -> {agree} and {holds}), t -> named_struct('word', x.word, 'name', t.name))))")
         )
         parts.append(out)
-    return found.select(F.col("_key").alias(key), F.expr(f"array_sort(concat({', '.join(parts)}))").alias("licenses"))
+    return fenced(found, F.col("_key").alias(key), F.expr(f"array_sort(concat({', '.join(parts)}))").alias("licenses"))

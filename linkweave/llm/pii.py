@@ -26,6 +26,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from linkweave.llm.common import fenced
 from linkweave.session import materialize
 
 
@@ -183,8 +184,7 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text", documents: i
     """Trees and thresholds from at most so many rows and candidates, taken by hash; None when only one label occurs."""
     step = max(1, docs.count() // documents)
     picked = docs.select(F.coalesce(F.col(text), F.lit("")).alias("_text"), F.xxhash64(key).alias("_h")).filter(F.pmod("_h", F.lit(step)) == 0).limit(2 * documents)
-    # Outer: the filter that a plain explode implies would be pushed below the staged columns and repeat them.
-    exploded = _with_spans(picked).select("_h", F.explode_outer("_candidates").alias("c")).filter("c is not null").limit(candidates)
+    exploded = fenced(_with_spans(picked), "_h", "_candidates").select("_h", F.explode("_candidates").alias("c")).limit(candidates)
     features = _features("c")
     rows = exploded.selectExpr("_h", "c.k as k", f"cast({_label('c')} as double) as label", *[f"{v} as {n}" for n, v in features.items()])
     # Every third row, by hash, calibrates.
@@ -225,7 +225,8 @@ def find(docs: DataFrame, key: str = "doc_id", text: str = "text", model: Model
         probability = model.probability.replace("f.", "x.f.")
         added = F.expr(f"transform(filter(_scored, x -> {probability} >= {bound}), x -> named_struct('s', x.c.s, 'k', x.c.k, 'e', x.c.e))")
     found = found.withColumn("_added", added)
-    return found.select(
+    return fenced(
+        found,
         F.col("_key").alias(key),
         F.col("_base").alias("base_spans"),
         F.expr("array_sort(array_distinct(concat(_base, _added)))").alias("spans"),

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linkweave.llm.common import SPACE, SPACE_CHARS, word_array
+from linkweave.llm.common import SPACE, SPACE_CHARS, fenced, word_array
 
 SYMBOLS = "#*$%&|<>"
 #: Frequent function words of the supported languages (fixed values).
@@ -121,7 +121,8 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", rules=RULES)
     """``(key, counts, base_failed, kept)`` for every row."""
     failed, kept = verdict(rules)
     counted = with_counts(docs.select(F.col(key).alias("_q_key"), F.col(text).alias("_q_text")), "_q_text")
-    return counted.select(
+    return fenced(
+        counted,
         F.col("_q_key").alias(key),
         "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_stop_words", "n_lines",
         failed.alias("base_failed"),
@@ -132,6 +133,5 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", rules=RULES)
 def passing(docs: DataFrame, text: str = "text", rules=RULES) -> DataFrame:
     """The rows of ``docs`` that pass all rules, with their own columns only."""
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_q_row"), F.col(text).alias("_q_text"))
-    kept = F.when(verdict(rules)[1], F.array("_q_row"))
-    # A filter on the verdict would be pushed below the staged columns and repeat them; one on a generator's output stays.
-    return with_counts(packed, "_q_text").select(F.explode_outer(kept).alias("_q_kept")).filter("_q_kept is not null").select("_q_kept.*")
+    kept = verdict(rules)[1].alias("_q_kept")
+    return fenced(with_counts(packed, "_q_text"), F.col("_q_row"), kept).filter("_q_kept").select("_q_row.*")
