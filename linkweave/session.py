@@ -7,8 +7,11 @@ file; on a cluster the caller's session (and its ``spark.checkpoint.dir``) is us
 
 from __future__ import annotations
 
+import gc
 import os
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -43,8 +46,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the session.
 
-    A cluster names it in ``spark.checkpoint.dir``; only when it is unset (local
-    tests) do we make a fresh scratch folder of our own.
+    A cluster names it in ``spark.checkpoint.dir``.  Where it is unset, a local master (tests, the bench) gets a
+    fresh scratch folder; on any other master that is an error, since executors would each write to their own disk.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -52,12 +55,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not is_local_master(sc.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="linkweave-ckpt-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
+def is_local_master(master: str) -> bool:
+    return re.fullmatch(r"local(\[.*\])?", master) is not None
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for written intermediate tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
@@ -67,10 +76,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def materialize(df, name: str | None = None):
     """Write ``df`` once as parquet under the shared checkpoint folder and read
     it back: cuts the lineage, survives executor loss (files, not executor
-    memory), and unlike ``checkpoint()`` computes the plan only once."""
-    import uuid
-
+    memory), and unlike ``checkpoint()`` computes the plan only once.  ``discard`` deletes it."""
     spark = df.sparkSession
     path = scratch_path(spark, f"tables/{name or 't'}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    out.written_path = path
+    return out
+
+
+def discard(*tables) -> None:
+    """Delete tables that ``materialize`` wrote and nothing reads any more, and let Spark's cleaner
+    remove the shuffle files of finished queries (it acts when the driver's garbage is collected)."""
+    for table in tables:
+        sc = table.sparkSession.sparkContext
+        path = sc._jvm.org.apache.hadoop.fs.Path(table.written_path)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+    if tables:
+        gc.collect()
+        tables[0].sparkSession.sparkContext._jvm.System.gc()
