@@ -6,7 +6,8 @@ regions are only formed where distances can be below 1:
 
 1. Documents with equal sets are one point.  Points are ordered by the hashes of their shingles; two points that
    link share several of their first shingles, so a point with too few shared ones links with nothing.
-2. Each shared first shingle is a region of the space: the points that have it.  Linked points share a region.
+2. Among the rest, each of a point's rarest shared shingles is a region of the space: the points that have it.  Linked points share
+   a region.
 3. A region picks a pivot and measures all its points against it, which finds the pivot's links.  The region then
    parts into the ball around the pivot and the rest: within 2r of the pivot, and beyond r.  By the triangle inequality linked
    points lie in the same part; those in the window between r and 2r are replicated into both.
@@ -27,12 +28,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from linkweave.llm.connect import components
 from linkweave.llm.shingles import fingerprint, shingle_set
-from linkweave.session import materialize
+from linkweave.session import discard, materialize
 
 #: Bits of the map of wanted keys that every task gets (8 MB, whatever the input).
 MAP_BITS = 1 << 26
@@ -104,8 +105,8 @@ def _wanted_sets(docs: DataFrame, points: DataFrame, width: int) -> DataFrame:
     return keyed.mapInArrow(run, "print binary, set array<bigint>")
 
 
-def _points(docs: DataFrame, rows: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """All classes of equal sets ``(print, id)``; ``(node, id, print, set)`` of those that may link; their regions ``(cell, node)``."""
+def _may_link(docs: DataFrame, rows: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """All classes of equal sets ``(print, id)``, and ``(node, id, print, n, set)`` of those with enough shared first shingles."""
     classes = materialize(
         rows.filter("n > 0")
         .groupBy("print")
@@ -115,13 +116,31 @@ def _points(docs: DataFrame, rows: DataFrame, width: int, percent: int) -> tuple
     )
     firsts = classes.select("node", F.explode("first").alias("cell"))
     shared = firsts.groupBy("cell").count().filter("count > 1").select("cell")
-    cells = materialize(firsts.join(shared, "cell").select("cell", "node"), "jaccard-cells")
+    counts = firsts.join(shared, "cell").groupBy("node").count()
     needed = F.expr(f"(n * {percent} + 99) div 100 div 20 + 1")  # extra(least_common(n))
-    enough = cells.groupBy("node").count().join(classes.drop("first"), "node").filter(F.col("count") >= needed)
-    points = materialize(enough.select("node", "id", "n", "print"), "jaccard-points")
-    cells = cells.join(points.select("node"), "node", "left_semi")
+    points = materialize(counts.join(classes.drop("first"), "node").filter(F.col("count") >= needed).select("node", "id", "n", "print"), "jaccard-points")
+    slim = materialize(classes.select("print", "id"), "jaccard-prints")
+    discard(classes)
     found = _wanted_sets(docs, points, width).groupBy("print").agg(F.first("set").alias("set"))
-    return classes.select("print", "id"), materialize(points.join(found, "print").select("node", "id", "print", "set"), "jaccard-sets"), cells
+    return slim, materialize(points.join(found, "print"), "jaccard-sets")
+
+
+def _regions(sets: DataFrame, percent: int) -> DataFrame:
+    """``(cell, node)``: the rarest shared shingles of each point, so many that linked points have one in common.
+
+    A point with fewer than ``least_common`` shared shingles has no link.  Of the others, those that no other point has
+    come first in the order, then the rarest; what is left of the first n - least_common + 1 are its regions."""
+    every = sets.select("node", "n", F.explode("set").alias("cell"))
+    counts = every.groupBy("cell").count().filter("count > 1")
+    shared = every.join(counts, "cell")
+    of_point = Window.partitionBy("node")
+    ranked = shared.select(
+        "node", "cell", "n", F.count(F.lit(1)).over(of_point).alias("common"), F.row_number().over(of_point.orderBy("count", "cell")).alias("place")
+    )
+    least = F.expr(f"(n * {percent} + 99) div 100")
+    quota = F.col("n") - least + 1 - (F.col("n") - F.col("common"))
+    cells = ranked.filter((F.col("common") >= least) & (F.col("place") <= quota)).select("cell", "node")
+    return materialize(cells, "jaccard-cells")
 
 
 def _measured(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -133,7 +152,14 @@ def _measured(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     sized = pairs.join(a, "node").join(b, "pivot").select("node", "pivot", both.alias("both"), (F.size("_a") + F.size("_b")).alias("sum"))
     union = F.col("sum") - F.col("both")
     twice = 2 * percent - 100
-    return materialize(sized.select("node", "pivot", (F.col("both") * 100 >= union * percent).alias("near"), (F.col("both") * 100 >= union * twice).alias("ring")), "jaccard-measured")
+    out = materialize(sized.select("node", "pivot", (F.col("both") * 100 >= union * percent).alias("near"), (F.col("both") * 100 >= union * twice).alias("ring")), "jaccard-measured")
+    discard(pairs)
+    return out
+
+
+def _sizes_allow(percent: int) -> Column:
+    """Sets of n and m shingles have at most min / max in common."""
+    return F.least("n", "m") * 100 >= F.greatest("n", "m") * percent
 
 
 def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
@@ -145,37 +171,39 @@ def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
     least = arcs.groupBy("p").agg(F.min("u").alias("_u")).select("p", F.least("p", "_u").alias("m"))
     told = arcs.join(least, "p").select("u", "m").union(least.select("p", "m")).groupBy("u").agg(F.min("m").alias("_m"))
     joined = labels.join(told.withColumnRenamed("u", "label"), "label", "left")
-    return materialize(joined.select("node", F.least("label", F.coalesce("_m", "label")).alias("label")), "jaccard-labels")
+    return materialize(joined.select("node", "n", F.least("label", F.coalesce("_m", "label")).alias("label")), "jaccard-labels")
 
 
 def _links(sets: DataFrame, cells: DataFrame, percent: int) -> DataFrame:
     """Links ``(u, v)`` that connect all points which linked pairs connect, from regions ``(cell, node)``."""
-    labels = materialize(sets.select("node", F.col("node").alias("label")), "jaccard-labels")
+    labels = materialize(sets.select("node", "n", F.col("node").alias("label")), "jaccard-labels")
     found, turn = [], 0
     while True:
         turn += 1
-        state = materialize(cells.join(labels, "node").select("cell", "node", "label"), "jaccard-state")
+        state = materialize(cells.join(labels, "node").select("cell", "node", "n", "label"), "jaccard-state")
         pivots = state.groupBy("cell").agg(
-            F.min_by("node", F.xxhash64(F.lit(turn), "node")).alias("pivot"), F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("size")
+            F.min_by("node", F.xxhash64(F.lit(turn), "node")).alias("pivot"), F.min_by("n", F.xxhash64(F.lit(turn), "node")).alias("m"), F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("size")
         )
-        open_cells = materialize(pivots.filter("low != high").select("cell", "pivot", (F.col("size") <= SMALL << (turn - 1)).alias("small")), "jaccard-open")
+        open_cells = materialize(pivots.filter("low != high").select("cell", "pivot", "m", (F.col("size") <= SMALL << (turn - 1)).alias("small")), "jaccard-open")
         left = {r["small"]: r["count"] for r in open_cells.groupBy("small").count().collect()}
         if not left:
             break
         state = state.join(open_cells, "cell")
-        large = state.filter("not small and node != pivot").select("cell", "node", "pivot")
-        pairs = large.select("node", "pivot")
+        large = state.filter("not small and node != pivot").select("cell", "node", "pivot", "n", "m")
+        pairs = large.filter(_sizes_allow(2 * percent - 100)).select("node", "pivot")
         if True in left:
-            small = state.filter("small").select("cell", "node", "label")
-            other = small.select("cell", F.col("node").alias("pivot"), F.col("label").alias("other"))
-            pairs = pairs.union(small.join(other, "cell").filter("node < pivot and label != other").select("node", "pivot"))
+            small = state.filter("small").select("cell", "node", "n", "label")
+            other = small.select("cell", F.col("node").alias("pivot"), F.col("n").alias("m"), F.col("label").alias("other"))
+            met = small.join(other, "cell").filter("node < pivot and label != other").filter(_sizes_allow(percent))
+            pairs = pairs.union(met.select("node", "pivot"))
         measured = _measured(pairs, sets, percent)
         found.append(measured.filter("near").select(F.col("node").alias("u"), F.col("pivot").alias("v")))
         if False not in left:
             break
         labels = _merged(labels, measured.filter("near").select("node", "pivot"))
         parts = F.when(F.col("near"), F.array(F.lit(0))).when(F.col("ring"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(1)))
-        cells = large.join(measured, ["node", "pivot"]).select("node", "cell", F.explode(parts).alias("part")).select(F.xxhash64("cell", "part").alias("cell"), "node")
+        # A pair that was not measured is farther apart than 2r by its sizes.
+        cells = large.join(measured, ["node", "pivot"], "left").select("node", "cell", F.explode(parts).alias("part")).select(F.xxhash64("cell", "part").alias("cell"), "node")
     out = sets.sparkSession.createDataFrame([], "u bigint, v bigint")
     for links in found:
         out = out.union(links)
@@ -190,8 +218,8 @@ def _grouped(docs: DataFrame, percent: int, width: int, key: str, text: str) ->
     """``(id, body, n, least, group)`` for every row: the smallest id of its component, and a name of the component (null without words)."""
     slim = docs.select(F.col(key).alias("id"), F.col(text).alias("text"), _body_hash(text).alias("body"))
     rows = materialize(_prefixes(slim, width, percent), "jaccard-rows")
-    classes, sets, cells = _points(slim, rows, width, percent)
-    roots = components(_links(sets, cells, percent))
+    classes, sets = _may_link(slim, rows, width, percent)
+    roots = components(_links(sets, _regions(sets, percent), percent))
     labels = sets.select("node").join(roots.withColumnRenamed("u", "node"), "node", "left").select("node", F.coalesce("label", "node").alias("label"))
     labelled = materialize(sets.join(labels, "node").select("print", "id", "label"), "jaccard-labelled")
     least = labelled.groupBy("label").agg(F.min("id").alias("_least"))
