@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 
 from linkweave.functions.fixed import LOW_INFORMATION_VERBS
 
-# Java regex: (?U) makes \s match Unicode white space, as Python's \s does.
-_NON_LETTER = r"(?U)[^a-zA-Z\s]"
-_WHITESPACE = r"(?U)\s+"
+# Java regex: (?U) makes \s match Unicode white space; the separators x1c-x1f are white space too.
+_NON_LETTER = r"(?U)[^a-zA-Z\s\x1c-\x1f]"
+_WHITESPACE = r"(?U)[\s\x1c-\x1f]+"
 
 
 def _col(c: Column | str) -> Column:
@@ -39,7 +39,8 @@ def is_low_information_verb(pos_tag: Column | str, lemma: Column | str) -> Colum
 
 def lexicon_split(lexicon: Iterable[Sequence[str]]) -> tuple[list[str], dict[str, str]]:
     """Split lexicon rows ``(surface, lemma, pos_tag)`` into the surfaces the verb
-    filter drops and the surface -> lemma replacements for the others."""
+    filter drops and the surface -> lemma replacements for the others.  With several
+    rows a surface, one low-information verb drops it; else the smallest lemma counts."""
     dropped: set[str] = set()
     lemmas: dict[str, str] = {}
     low = set(LOW_INFORMATION_VERBS)
@@ -49,9 +50,8 @@ def lexicon_split(lexicon: Iterable[Sequence[str]]) -> tuple[list[str], dict[str
         lemma = surface if lemma is None else lemma
         if pos_tag == "VERB" and lemma in low:
             dropped.add(surface)
-        elif lemma != surface:
-            lemmas.setdefault(surface, lemma)
-    return sorted(dropped), lemmas
+        lemmas[surface] = min(lemmas.get(surface, lemma), lemma)
+    return sorted(dropped), {s: x for s, x in lemmas.items() if s not in dropped and s != x}
 
 
 def content_word_array(

@@ -20,7 +20,7 @@ from linkweave.functions.fixed import DEFAULT_MARKER, EXCLUDED_NAMESPACES, MAIN_
 
 # RFC 3986 appendix B split: scheme, authority, path, query, fragment.
 _URL_RE = r"^(([^:/?#]+):)?(//([^/?#]*))?([^?#]*)(\?([^#]*))?(#(.*))?$"
-_TRIM_RE = r"(?U)^\s+|\s+$"
+_TRIM_RE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
 
 
 def _col(c: Column | str) -> Column:
@@ -85,12 +85,13 @@ def is_valid_title(title: Column | str) -> Column:
 def decode_title(name: Column | str) -> Column:
     """Percent-decode (UTF-8, '+' kept), then '_' -> ' '.
 
-    Uses the JVM decoder with '+' protected; a name with a malformed escape is
-    kept as written (the Python decoder would decode its well-formed escapes)."""
+    Uses the JVM decoder with '+' protected.  A '%' that starts no escape stays as
+    it is, and the well-formed escapes beside it are decoded."""
     n = _col(name)
+    escaped = F.regexp_replace(n, "%(?![0-9A-Fa-f]{2})", "%25")
     decoded = F.when(
         F.instr(n, "%") > 0,
-        F.coalesce(F.try_url_decode(F.replace(n, F.lit("+"), F.lit("%2B"))), n),
+        F.coalesce(F.try_url_decode(F.replace(escaped, F.lit("+"), F.lit("%2B"))), n),
     ).otherwise(n)
     return F.replace(decoded, F.lit("_"), F.lit(" "))
 
@@ -126,11 +127,21 @@ def clean_label(label: Column | str, base_url: str | Column, marker: str = DEFAU
 
 # -- Python URL library, vectorised -----------------------------------------
 
-@F.pandas_udf(T.StringType())
-def _urljoin_udf(base: pd.Series, href: pd.Series) -> pd.Series:
+def join_url(base: str | None, href: str | None) -> str | None:
+    """U5 for one href; null when it cannot be parsed (say, an unclosed IPv6 host)."""
     from urllib.parse import urljoin
 
-    return pd.Series([None if h is None else urljoin(b, h) for b, h in zip(base, href)])
+    if base is None or href is None:
+        return None
+    try:
+        return urljoin(base, href)
+    except ValueError:
+        return None
+
+
+@F.pandas_udf(T.StringType())
+def _urljoin_udf(base: pd.Series, href: pd.Series) -> pd.Series:
+    return pd.Series([join_url(b, h) for b, h in zip(base, href)], dtype=object)
 
 
 @F.pandas_udf(T.StringType())

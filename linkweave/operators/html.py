@@ -120,7 +120,7 @@ def _extract_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _extract_resolve_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    from urllib.parse import urljoin
+    from linkweave.functions.urls import join_url
 
     for pdf in batches:
         texts, hrefs, targets = [], [], []
@@ -129,7 +129,7 @@ def _extract_resolve_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Dat
             texts.append(t)
             hrefs.append(h)
             # RFC join against the site base (not the page URL).
-            targets.append([urljoin(base, x) for x in h] if base is not None else [None] * len(h))
+            targets.append([join_url(base, x) for x in h])
         yield pd.DataFrame({"url": pdf["url"], "text": texts, "hrefs": hrefs, "targets": targets})
 
 

@@ -34,21 +34,6 @@ from linkweave.functions.text import (
     vocabulary_stages,
 )
 
-LEXICON_LITERAL_LIMIT = 20_000  # above this, the lexicon is applied by a join
-
-
-def _lexicon_rows(lexicon) -> list[tuple[str, str, str]]:
-    if lexicon is None:
-        return default_lexicon()
-    if isinstance(lexicon, DataFrame):
-        # Reference tables are small; check before bringing one to the driver.
-        n = lexicon.limit(LEXICON_LITERAL_LIMIT + 1).count()
-        if n > LEXICON_LITERAL_LIMIT:
-            return None  # caller takes the join route
-        return [tuple(r) for r in lexicon.select("surface", "lemma", "pos_tag").collect()]
-    return [tuple(r) for r in lexicon]
-
-
 def normalised_text(docs: DataFrame, text_col: str = "text", doc_col: str = "doc_id") -> DataFrame:
     """N1 over a table: ``(doc_col, text)`` with the normalised text."""
     return docs.select(F.col(doc_col), normalise_text(text_col).alias("text"))
@@ -64,16 +49,16 @@ def document_words(
 ) -> DataFrame:
     """N1 + N2 + N3: ``(doc_ord, words array<string>)``, content words in text order.
 
-    ``lexicon`` is rows or a DataFrame of ``(surface, lemma, pos_tag)``; by
-    default the inflections of the low-information verbs, tagged VERB.  Small
-    lexicons are applied in-row as hash-set literals; a large lexicon table is
-    applied with a broadcast-or-shuffle join on the exploded tokens.
+    ``lexicon`` is a list or a DataFrame of ``(surface, lemma, pos_tag)``; by
+    default the inflections of the low-information verbs, tagged VERB.  A list is
+    applied in-row as hash-set literals, a table with a join on the exploded tokens,
+    whatever its size, by the same rule: with several rows a surface, one
+    low-information verb drops it; else the smallest lemma counts.
     """
     stops = list(default_stop_words() if stop_words is None else stop_words)
     base = docs.select(F.col(doc_col).cast("long").alias("doc_ord"), split_tokens(normalise_text(text_col)).alias("_tok"))
-    rows = _lexicon_rows(lexicon)
-    if rows is not None:
-        dropped, lemmas = lexicon_split(rows)
+    if not isinstance(lexicon, DataFrame):
+        dropped, lemmas = lexicon_split(default_lexicon() if lexicon is None else lexicon)
         return base.select("doc_ord", content_word_array(F.col("_tok"), stops, dropped, lemmas, min_length).alias("words"))
     return _document_words_by_join(base, stops, lexicon, min_length)
 
@@ -81,18 +66,14 @@ def document_words(
 def _document_words_by_join(base: DataFrame, stops: list[str], lexicon: DataFrame, min_length: int) -> DataFrame:
     from linkweave.functions.fixed import LOW_INFORMATION_VERBS
 
-    lex = lexicon.select(
-        F.col("surface").alias("_s"),
-        F.coalesce("lemma", "surface").alias("_lemma"),
-        F.col("pos_tag").alias("_pos"),
-    ).dropDuplicates(["_s"])
+    lemma = F.coalesce("lemma", "surface")
+    low = F.coalesce((F.col("pos_tag") == "VERB") & lemma.isin(list(LOW_INFORMATION_VERBS)), F.lit(False))
+    lex = lexicon.groupBy(F.col("surface").alias("_s")).agg(F.min(lemma).alias("_lemma"), F.max(low).alias("_low"))
     tok = base.select(
         "doc_ord", F.posexplode_outer(F.filter("_tok", lambda t: ~t.isin(stops) & (F.length(t) >= min_length))).alias("pos", "_s")
     ).filter(F.col("_s").isNotNull())
-    # Tokens without a lexicon entry have a null tag: keep them (the verb test
-    # must be false, not null).
-    low_info = F.coalesce((F.col("_pos") == "VERB") & F.col("_lemma").isin(list(LOW_INFORMATION_VERBS)), F.lit(False))
-    joined = tok.join(lex, "_s", "left").filter(~low_info)
+    # Tokens without a lexicon entry are kept.
+    joined = tok.join(lex, "_s", "left").filter(~F.coalesce("_low", F.lit(False)))
     words = joined.groupBy("doc_ord").agg(
         F.sort_array(F.collect_list(F.struct("pos", F.coalesce("_lemma", "_s").alias("w")))).alias("_pw")
     )

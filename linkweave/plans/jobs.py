@@ -31,9 +31,6 @@ from linkweave.sources.writers import write_graph, write_nodes, write_visited
 
 @dataclass
 class NetworkConfig:
-    base_url: str = fx.DEFAULT_BASE_URL
-    seed_url: str | None = None
-    seed_article: str = "Fentanyl"
     marker: str = fx.DEFAULT_MARKER
     max_articles: int | None = fx.DEFAULT_MAX_ARTICLES
     max_depth: int | None = fx.DEFAULT_MAX_DEPTH
@@ -48,27 +45,13 @@ class NetworkConfig:
     enable_word_pruning: bool = True
     window_size: int = fx.DEFAULT_WINDOW_SIZE
 
-    @property
-    def start_url(self) -> str:
-        if self.seed_url:
-            return self.seed_url
-        return f"{self.base_url.rstrip('/')}{self.marker}{self.seed_article.replace(' ', '_')}"
-
-    @property
-    def resolved_base_url(self) -> str:
-        """With a seed URL, the base becomes that URL's ``scheme://netloc``."""
-        if self.seed_url:
-            from urllib.parse import urlparse
-
-            p = urlparse(self.seed_url)
-            return f"{p.scheme}://{p.netloc}"
-        return self.base_url.rstrip("/")
-
 
 def build_networks(
     pages: DataFrame | None,
     payloads: DataFrame | None,
     out_dir: str,
+    seed_url: str,
+    base_url: str = fx.DEFAULT_BASE_URL,
     config: NetworkConfig | None = None,
     stop_words=None,
     lexicon=None,
@@ -78,10 +61,10 @@ def build_networks(
 
     ``pages(url, html)`` are fetched pages (already S1-filtered);
     ``payloads(url, endpoint_rank, status, content_type, body)`` raw API
-    responses.  Returns row counts of what was written."""
+    responses.  The walk starts at ``seed_url`` as links spell it.  Returns row counts of what was written."""
     cfg = config or NetworkConfig()
     spark = (pages if pages is not None else payloads).sparkSession
-    base = cfg.resolved_base_url
+    base = base_url.rstrip("/")
     mode = normalise_mode(cfg.source_mode)
     empty_pages = spark.createDataFrame([], "url string, html string")
     html_pages = pages.select("url", "html") if pages is not None and mode != "api" else empty_pages
@@ -94,7 +77,7 @@ def build_networks(
     html_l = lk.page_links(content.filter(F.col("via") == "html").select("url", "html"), base, cfg.marker)
     all_links = materialize(api_l.unionByName(html_l), "links")
     visited = materialize(
-        traverse(all_links, content.select("url"), cfg.start_url, cfg.max_depth, cfg.max_articles), "visited"
+        traverse(all_links, content.select("url"), seed_url, cfg.max_depth, cfg.max_articles), "visited"
     )
     # Text and links of visited pages only.
     vpages = content.join(visited.select("url", "ord"), "url")
@@ -130,7 +113,8 @@ def communities_job(spark, nodes_path: str, edges_path: str, mode: str = "parall
     """S4 -> C1 -> C2 -> C3, C4.  Returns the score, the number of
     communities and their sizes table (no edges: a message and no result)."""
     nodes, edges = read_graph(spark, nodes_path, edges_path)
-    n, e = cm.as_simple_graph(nodes, edges)
+    # Of repeated edges the last row counts, in the order of the files.
+    n, e = cm.as_simple_graph(nodes, edges.withColumn("_row", F.monotonically_increasing_id()), order_col="_row")
     if e.limit(1).count() == 0:
         return {"message": "the graph has no edges; no communities"}
     parts = materialize(cm.greedy_communities(n, e, mode=mode), "communities")

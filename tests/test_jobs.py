@@ -29,8 +29,8 @@ def test_build_networks_end_to_end(spark):
         [("https://w.test/wiki/C", 1, 200, "application/json", body)],
         "url string, endpoint_rank int, status int, content_type string, body string",
     )
-    cfg = NetworkConfig(base_url="https://w.test", seed_article="A", min_link_freq=1, enable_word_pruning=False)
-    counts = build_networks(pages, payloads, d, cfg)
+    cfg = NetworkConfig(min_link_freq=1, enable_word_pruning=False)
+    counts = build_networks(pages, payloads, d, "https://w.test/wiki/A", "https://w.test", cfg)
     assert counts["visited"] == 4
     visited = open(glob.glob(f"{d}/visited/part-*")[0]).read().split()
     assert visited == sorted(f"https://w.test/wiki/{x}" for x in "ABCD")
@@ -56,8 +56,7 @@ def test_community_summary(spark):
 def test_build_networks_with_no_content_still_exports(spark):
     d = tempfile.mkdtemp(prefix="lw-j1e-", dir="/tmp")
     pages = spark.createDataFrame([("https://w.test/wiki/Other", "<p>x</p>")], "url string, html string")
-    cfg = NetworkConfig(base_url="https://w.test", seed_article="Missing")
-    counts = build_networks(pages, None, d, cfg)
+    counts = build_networks(pages, None, d, "https://w.test/wiki/Missing", "https://w.test")
     assert counts == {"visited": 0, "word_nodes": 0, "link_nodes": 0}
     for sub in ("words/nodes", "words/edges", "links/nodes", "links/edges"):
         assert glob.glob(f"{d}/{sub}/_SUCCESS")

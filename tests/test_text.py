@@ -2,7 +2,6 @@ import random
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 import brute
 from conftest import docs_df
@@ -75,18 +74,18 @@ def test_long_format_positions(spark):
     assert rows == [(0, 0, "alpha"), (0, 1, "beta"), (0, 2, "gamma"), (1, 0, "delta")]
 
 
-def test_large_lexicon_join_path_equals_literal_path(spark):
-    from linkweave.operators.text import _document_words_by_join, document_words
-    from linkweave.functions.fixed import default_stop_words
-    from linkweave.functions.text import normalise_text, split_tokens
-
-    texts = ["Dogs were running and he said the dogs ran home", "the cats used the doors", ""]
-    lex_rows = [("dogs", "dog", "NOUN"), ("running", "run", "VERB"), ("said", "say", "VERB"), ("cats", "cat", "NOUN"), ("used", "use", "VERB")]
-    docs = docs_df(spark, texts)
-    literal = {r.doc_ord: list(r.words) for r in document_words(docs, lexicon=lex_rows).collect()}
-    lex_df = spark.createDataFrame(lex_rows, "surface string, lemma string, pos_tag string")
-    base = docs.select(F.col("doc_id").alias("doc_ord"), split_tokens(normalise_text("text")).alias("_tok"))
-    joined = {r.doc_ord: list(r.words) for r in _document_words_by_join(base, list(default_stop_words()), lex_df, 3).collect()}
-    assert literal == joined
-    # "said" and "used" are low-information verbs and go; "running" maps to "run", which is kept.
-    assert literal[0] == ["dog", "run", "dog", "ran", "home"] and literal[1] == ["cat", "doors"] and literal[2] == []
+def test_lexicon_list_and_table_agree(spark):
+    from linkweave.operators.text import document_words
+
+    # Several rows a surface: "works" is a low-information verb in one of them, "runs" has two lemmas.
+    lexicon = [("works", "work", "VERB"), ("works", "work", "NOUN"), ("runs", "sprint", "NOUN"), ("runs", "run", "VERB"), ("doors", "door", "NOUN"), ("odd", None, None)]
+    docs = docs_df(spark, ["Hard works and runs near odd doors", "", "nothing special"])
+    table = spark.createDataFrame(lexicon, "surface string, lemma string, pos_tag string")
+    for given in (lexicon, lexicon[::-1], table, table.repartition(3)):
+        got = {r.doc_ord: list(r.words) for r in document_words(docs, lexicon=given).collect()}
+        assert got == {0: ["hard", "run", "near", "odd", "door"], 1: [], 2: ["nothing", "special"]}
+
+
+def test_separators_are_white_space(spark):
+    df = spark.createDataFrame([("oak\x1celm\x1f ash",)], "t string")
+    assert df.select(normalise_text("t")).first()[0].split() == ["oak", "elm", "ash"]
