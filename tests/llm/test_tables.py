@@ -291,7 +291,7 @@ def test_odd_pages(spark, sf_dir):
 def test_decoding_is_consistent():
     nodes = html_extract.parse("<div><article><p>a</p><div class=ad><p>b</p></div></article></div>")
     names = [x.tag for x in nodes]
-    kept = html_extract.decode(nodes, np.array([0.1, 0.1, 0.9, 0.9, 0.01, 0.8]))
+    kept = html_extract.decode(nodes, np.array([0.1, 0.1, 0.9, 0.9, 0.01, 0.55]))
     assert [n for n, k in zip(names, kept, strict=True) if k] == ["article", "p"]
 
 
