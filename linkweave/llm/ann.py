@@ -31,7 +31,7 @@ NEIGHBOURS = 12
 HIDDEN = 128
 EPOCHS = 60
 #: A query goes to so many parts.
-PROBES = 8
+PROBES = 12
 #: Rows of a cell and queries of a block, about.
 CELL_ROWS, BLOCK_QUERIES = 8000, 2000
 
@@ -176,7 +176,7 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20, key: str = "vec_id"
     step = max(1, total // sample)
     # A hash picks about ``sample`` rows; the limit makes the bound sure.
     picked = rows.filter(F.pmod(F.xxhash64("id"), F.lit(step)) == 0).select("v").limit(2 * sample).toArrow()
-    router = learn(_matrix(picked.column("v"))) if picked.num_rows else learn(_matrix(rows.limit(sample).select("v").toArrow().column("v")))
+    router = learn(_matrix(picked.column("v")), parts, probes) if picked.num_rows else learn(_matrix(rows.limit(sample).select("v").toArrow().column("v")), parts, probes)
     told = spark.sparkContext.broadcast(router)
 
     def route(batches):
