@@ -8,13 +8,13 @@ regions are only formed where distances can be below 1:
    link share several of their first shingles, so a point with too few shared ones links with nothing.
 2. Among the rest, each of a point's rarest shared shingles is a region of the space: the points that have it.  Linked points share
    a region.
-3. A region picks a pivot and measures all its points against it, which finds the pivot's links.  The region then
-   parts into the ball around the pivot and the rest: within 2r of the pivot, and beyond r.  By the triangle inequality linked
-   points lie in the same part; those in the window between r and 2r are replicated into both.
-4. Parts are joined in the same way, without the pivot, as long as they hold points not yet known to be connected. In parts of
-   a few points all pairs are measured at once.
+3. A region picks pivots among the points that do not have its most frequent label (equal labels: known to be connected) and
+   measures its points against them, which finds the pivots' links.  With no more such points than pivots, that closes the region.
+4. Another region parts around one pivot into the ball within 2r and what is beyond r.  By the triangle inequality linked points
+   lie in the same part; those in the window between r and 2r are replicated into both (a region mostly in the window stays
+   whole).  Parts are joined in the same way, without the pivots, as long as they hold points of different labels.
 
-Region rows never meet in one task: pivots are minima (aggregates), measurements are joins.  Steps repeat until no
+Region rows never meet in one task: pivots are drawn by hashes, measurements are joins of written tables.  Steps repeat until no
 region is open, so no link between components is lost whatever a region's size.
 
 Defined results: a null or blank text has an empty set and links with nothing; a text shorter than a
@@ -31,15 +31,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from linkweave.llm.common import unit_hash
 from linkweave.llm.connect import components
 from linkweave.llm.shingles import fingerprint, shingle_set
 from linkweave.session import discard, materialize
 
 #: Bits of the map of wanted keys that every task gets (8 MB, whatever the input).
 MAP_BITS = 1 << 26
-#: In regions of at most so many points all pairs are measured at once; twice as many at every further step, so that steps are
-#: few (the logarithm of a region's size) even where regions do not shrink.
-SMALL = 12
+#: Pivots of a region at the first step; four times as many at every further step, so that steps are few (the logarithm of a
+#: region's size) even where regions do not shrink.
+FEW = 16
 
 
 def least_common(n, percent: int):
@@ -174,40 +175,79 @@ def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
     return materialize(joined.select("node", "n", F.least("label", F.coalesce("_m", "label")).alias("label")), "jaccard-labels")
 
 
-def _links(sets: DataFrame, cells: DataFrame, percent: int) -> DataFrame:
-    """Links ``(u, v)`` that connect all points which linked pairs connect, from regions ``(cell, node)``."""
+def _open_regions(state: DataFrame, turn: int) -> DataFrame:
+    """``(cell, major, first, m, size, rest)`` of the regions with more than one label: the label of most points, a pivot to part
+    the region by and its size, the region's points, those without the major label."""
+    order = unit_hash("node", seed=turn)
+    of_label = state.groupBy("cell", "label").agg(
+        F.count(F.lit(1)).alias("c"), F.min_by("node", order).alias("f"), F.min_by("n", order).alias("m"), F.min(order).alias("o")
+    )
+    regions = of_label.groupBy("cell").agg(
+        F.max_by("label", F.col("c") + unit_hash("label")).alias("major"), F.min_by("f", "o").alias("first"), F.min_by("m", "o").alias("m"),
+        F.sum("c").alias("size"), F.max("c").alias("most"), F.count(F.lit(1)).alias("labels"),
+    )
+    return materialize(regions.filter("labels > 1").select("cell", "major", "first", "m", "size", (F.col("size") - F.col("most")).alias("rest")), "jaccard-open")
+
+
+def _parted(state: DataFrame, parting: DataFrame, measured: DataFrame, few: int, turn: int) -> DataFrame:
+    """``(cell, node)`` of what large regions leave open: their points but the pivots, parted into ball and rest where the window
+    between them is at most a quarter of the region (else both parts would be nearly as large as the whole)."""
+    inside = state.join(parting.select("cell", F.col("pivot").alias("first"), "major", "rest", "size"), "cell").filter("node != first")
+    inside = inside.filter((F.col("label") == F.col("major")) | ~_is_pivot(few, turn))
+    pair = [F.least("node", "first").alias("node"), F.greatest("node", "first").alias("pivot")]
+    known = inside.select("cell", "size", F.col("node").alias("point"), *pair).join(measured, ["node", "pivot"], "left")
+    known = known.select("cell", "size", "point", F.coalesce("near", F.lit(False)).alias("near"), F.coalesce("ring", F.lit(False)).alias("ring"))
+    # A pair that was not measured is farther apart than 2r by its sizes.
+    windows = known.groupBy("cell").agg(F.count_if(F.col("ring") & ~F.col("near")).alias("window"))
+    parts = (
+        F.when(F.col("window") * 4 > F.col("size"), F.array(F.lit(2)))
+        .when(F.col("near"), F.array(F.lit(0)))
+        .when(F.col("ring"), F.array(F.lit(0), F.lit(1)))
+        .otherwise(F.array(F.lit(1)))
+    )
+    split = known.join(windows, "cell").select(F.col("point").alias("node"), "cell", F.explode(parts).alias("part"))
+    return split.select(F.xxhash64("cell", "part").alias("cell"), "node")
+
+
+def _is_pivot(few: int, turn: int) -> Column:
+    """True for about ``few`` of the ``rest`` points without the major label of a region, and for all if they are no more."""
+    return unit_hash("node", seed=turn) * F.col("rest") <= F.lit(few)
+
+
+def _links(sets: DataFrame, cells: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Links ``(u, v)`` between labels and ``(node, label)``, which connect all points that linked pairs connect, from regions
+    ``(cell, node)``."""
     labels = materialize(sets.select("node", "n", F.col("node").alias("label")), "jaccard-labels")
     found, turn = [], 0
     while True:
         turn += 1
+        few = FEW << (2 * (turn - 1))
         state = materialize(cells.join(labels, "node").select("cell", "node", "n", "label"), "jaccard-state")
-        pivots = state.groupBy("cell").agg(
-            F.min_by("node", F.xxhash64(F.lit(turn), "node")).alias("pivot"), F.min_by("n", F.xxhash64(F.lit(turn), "node")).alias("m"), F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("size")
-        )
-        open_cells = materialize(pivots.filter("low != high").select("cell", "pivot", "m", (F.col("size") <= SMALL << (turn - 1)).alias("small")), "jaccard-open")
-        left = {r["small"]: r["count"] for r in open_cells.groupBy("small").count().collect()}
-        if not left:
-            break
-        state = state.join(open_cells, "cell")
-        large = state.filter("not small and node != pivot").select("cell", "node", "pivot", "n", "m")
-        pairs = large.filter(_sizes_allow(2 * percent - 100)).select("node", "pivot")
-        if True in left:
-            small = state.filter("small").select("cell", "node", "n", "label")
-            other = small.select("cell", F.col("node").alias("pivot"), F.col("n").alias("m"), F.col("label").alias("other"))
-            met = small.join(other, "cell").filter("node < pivot and label != other").filter(_sizes_allow(percent))
-            pairs = pairs.union(met.select("node", "pivot"))
-        measured = _measured(pairs, sets, percent)
-        found.append(measured.filter("near").select(F.col("node").alias("u"), F.col("pivot").alias("v")))
-        if False not in left:
+        open_cells = _open_regions(state, turn)
+        large = F.col("rest") > few
+        some = state.join(open_cells.drop("m"), "cell").filter("label != major").filter(_is_pivot(few, turn))
+        none = F.lit(None).cast("bigint")
+        chosen = some.select("cell", F.col("node").alias("pivot"), F.col("n").alias("m"), F.col("label").alias("other"), none.alias("major"), none.alias("rest"), none.alias("size"))
+        firsts = open_cells.filter(large).select("cell", F.col("first").alias("pivot"), "m", none.alias("other"), "major", "rest", "size")
+        pivots = materialize(chosen.union(firsts), "jaccard-pivots")
+        # A pivot that parts a region is measured against all its points, another one against those with other labels.
+        parts_it = F.col("other").isNull() & _sizes_allow(2 * percent - 100)
+        links_it = (F.col("label") != F.col("other")) & _sizes_allow(percent)
+        met = state.join(pivots, "cell").filter("node != pivot").filter(parts_it | links_it)
+        measured = _measured(met.select(F.least("node", "pivot").alias("node"), F.greatest("node", "pivot").alias("pivot")), sets, percent)
+        near = measured.filter("near").select("node", "pivot")
+        found.append(near)
+        parting = pivots.filter("other is null")
+        if parting.isEmpty():
             break
-        labels = _merged(labels, measured.filter("near").select("node", "pivot"))
-        parts = F.when(F.col("near"), F.array(F.lit(0))).when(F.col("ring"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(1)))
-        # A pair that was not measured is farther apart than 2r by its sizes.
-        cells = large.join(measured, ["node", "pivot"], "left").select("node", "cell", F.explode(parts).alias("part")).select(F.xxhash64("cell", "part").alias("cell"), "node")
-    out = sets.sparkSession.createDataFrame([], "u bigint, v bigint")
-    for links in found:
-        out = out.union(links)
-    return out
+        labels = _merged(labels, near)
+        cells = _parted(state, parting, measured, few, turn)
+    links = found[0]
+    for more in found[1:]:
+        links = links.union(more)
+    one = labels.select("node", F.col("label").alias("u"))
+    two = labels.select(F.col("node").alias("pivot"), F.col("label").alias("v"))
+    return links.join(one, "node").join(two, "pivot").filter("u != v").select("u", "v"), labels
 
 
 def _body_hash(text: str) -> Column:
@@ -219,8 +259,9 @@ def _grouped(docs: DataFrame, percent: int, width: int, key: str, text: str) ->
     slim = docs.select(F.col(key).alias("id"), F.col(text).alias("text"), _body_hash(text).alias("body"))
     rows = materialize(_prefixes(slim, width, percent), "jaccard-rows")
     classes, sets = _may_link(slim, rows, width, percent)
-    roots = components(_links(sets, _regions(sets, percent), percent))
-    labels = sets.select("node").join(roots.withColumnRenamed("u", "node"), "node", "left").select("node", F.coalesce("label", "node").alias("label"))
+    links, labels = _links(sets, _regions(sets, percent), percent)
+    roots = components(links).select(F.col("u").alias("label"), F.col("label").alias("root"))
+    labels = labels.join(roots, "label", "left").select("node", F.coalesce("root", "label").alias("label"))
     labelled = materialize(sets.join(labels, "node").select("print", "id", "label"), "jaccard-labelled")
     least = labelled.groupBy("label").agg(F.min("id").alias("_least"))
     reached = labelled.join(least, "label").select("print", "label", "_least")
