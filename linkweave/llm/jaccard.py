@@ -41,6 +41,8 @@ MAP_BITS = 1 << 26
 #: Pivots of a region at the first step; four times as many at every further step, so that steps are few (the logarithm of a
 #: region's size) even where regions do not shrink.
 FEW = 16
+#: Bits of a point's sketch, which tells most pairs that are too far apart without their sets.
+SKETCH_BITS = 256
 
 
 def least_common(n, percent: int):
@@ -88,8 +90,15 @@ def key_map(keys: DataFrame, column: str) -> bytes:
     return bytes(out)
 
 
+def parities(values: np.ndarray) -> np.ndarray:
+    """``SKETCH_BITS`` bits, each telling whether an odd number of a set's shingles fall on it: sketches of two sets differ in
+    no more bits than there are shingles that only one set has."""
+    odd = np.bincount((values >> np.uint64(32)).astype(np.int64) % SKETCH_BITS, minlength=SKETCH_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _wanted_sets(docs: DataFrame, points: DataFrame, width: int) -> DataFrame:
-    """``(print, set)`` of the rows whose id is (by its hash) that of a point."""
+    """``(print, set, sketch)`` of the rows whose id is (by its hash) that of a point."""
     wanted = docs.sparkSession.sparkContext.broadcast(key_map(points, "id"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -99,15 +108,20 @@ def _wanted_sets(docs: DataFrame, points: DataFrame, width: int) -> DataFrame:
             found = np.flatnonzero(bits[slot >> 3] >> (slot & 7).astype(np.uint8) & 1)
             sets = [shingle_set(batch.column(1)[int(i)].as_py(), width) for i in found]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([fingerprint(s) for s in sets], pa.binary()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], ["print", "set"]
+                [
+                    pa.array([fingerprint(s) for s in sets], pa.binary()),
+                    pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
+                    pa.array([parities(s) for s in sets], pa.list_(pa.int64())),
+                ],
+                ["print", "set", "sketch"],
             )
 
     keyed = docs.select(F.pmod(F.xxhash64("id"), F.lit(MAP_BITS)).alias("slot"), "text")
-    return keyed.mapInArrow(run, "print binary, set array<bigint>")
+    return keyed.mapInArrow(run, "print binary, set array<bigint>, sketch array<bigint>")
 
 
 def _may_link(docs: DataFrame, rows: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """All classes of equal sets ``(print, id)``, and ``(node, id, print, n, set)`` of those with enough shared first shingles."""
+    """All classes of equal sets ``(print, id)``, and ``(node, id, print, n, set, sketch)`` of those with enough shared first shingles."""
     classes = materialize(
         rows.filter("n > 0")
         .groupBy("print")
@@ -122,7 +136,7 @@ def _may_link(docs: DataFrame, rows: DataFrame, width: int, percent: int) -> tup
     points = materialize(counts.join(classes.drop("first"), "node").filter(F.col("count") >= needed).select("node", "id", "n", "print"), "jaccard-points")
     slim = materialize(classes.select("print", "id"), "jaccard-prints")
     discard(classes)
-    found = _wanted_sets(docs, points, width).groupBy("print").agg(F.first("set").alias("set"))
+    found = _wanted_sets(docs, points, width).groupBy("print").agg(F.first("set").alias("set"), F.first("sketch").alias("sketch"))
     return slim, materialize(points.join(found, "print"), "jaccard-sets")
 
 
@@ -158,9 +172,12 @@ def _measured(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return out
 
 
-def _sizes_allow(percent: int) -> Column:
-    """Sets of n and m shingles have at most min / max in common."""
-    return F.least("n", "m") * 100 >= F.greatest("n", "m") * percent
+def _may_reach(percent: int) -> Column:
+    """False only for pairs whose similarity is below ``percent``: sets of n and m shingles share at most min / max, and at least
+    as many shingles as bits of the sketches differ are in one set only."""
+    differ = sum((F.bit_count(F.col("sketch")[k].bitwiseXOR(F.col("sketch_m")[k])) for k in range(SKETCH_BITS // 64)), F.lit(0))
+    sizes = F.least("n", "m") * 100 >= F.greatest("n", "m") * percent
+    return sizes & (differ * (100 + percent) <= (F.col("n") + F.col("m")) * (100 - percent))
 
 
 def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
@@ -172,21 +189,21 @@ def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
     least = arcs.groupBy("p").agg(F.min("u").alias("_u")).select("p", F.least("p", "_u").alias("m"))
     told = arcs.join(least, "p").select("u", "m").union(least.select("p", "m")).groupBy("u").agg(F.min("m").alias("_m"))
     joined = labels.join(told.withColumnRenamed("u", "label"), "label", "left")
-    return materialize(joined.select("node", "n", F.least("label", F.coalesce("_m", "label")).alias("label")), "jaccard-labels")
+    return materialize(joined.select("node", "n", "sketch", F.least("label", F.coalesce("_m", "label")).alias("label")), "jaccard-labels")
 
 
 def _open_regions(state: DataFrame, turn: int) -> DataFrame:
-    """``(cell, major, first, m, size, rest)`` of the regions with more than one label: the label of most points, a pivot to part
+    """``(cell, major, first, size, rest)`` of the regions with more than one label: the label of most points, a pivot to part
     the region by and its size, the region's points, those without the major label."""
     order = unit_hash("node", seed=turn)
     of_label = state.groupBy("cell", "label").agg(
-        F.count(F.lit(1)).alias("c"), F.min_by("node", order).alias("f"), F.min_by("n", order).alias("m"), F.min(order).alias("o")
+        F.count(F.lit(1)).alias("c"), F.min_by("node", order).alias("f"), F.min(order).alias("o")
     )
     regions = of_label.groupBy("cell").agg(
-        F.max_by("label", F.col("c") + unit_hash("label")).alias("major"), F.min_by("f", "o").alias("first"), F.min_by("m", "o").alias("m"),
+        F.max_by("label", F.col("c") + unit_hash("label")).alias("major"), F.min_by("f", "o").alias("first"),
         F.sum("c").alias("size"), F.max("c").alias("most"), F.count(F.lit(1)).alias("labels"),
     )
-    return materialize(regions.filter("labels > 1").select("cell", "major", "first", "m", "size", (F.col("size") - F.col("most")).alias("rest")), "jaccard-open")
+    return materialize(regions.filter("labels > 1").select("cell", "major", "first", "size", (F.col("size") - F.col("most")).alias("rest")), "jaccard-open")
 
 
 def _parted(state: DataFrame, parting: DataFrame, measured: DataFrame, few: int, turn: int) -> DataFrame:
@@ -197,7 +214,7 @@ def _parted(state: DataFrame, parting: DataFrame, measured: DataFrame, few: int,
     pair = [F.least("node", "first").alias("node"), F.greatest("node", "first").alias("pivot")]
     known = inside.select("cell", "size", F.col("node").alias("point"), *pair).join(measured, ["node", "pivot"], "left")
     known = known.select("cell", "size", "point", F.coalesce("near", F.lit(False)).alias("near"), F.coalesce("ring", F.lit(False)).alias("ring"))
-    # A pair that was not measured is farther apart than 2r by its sizes.
+    # A pair that was not measured is farther apart than 2r by sizes or sketches.
     windows = known.groupBy("cell").agg(F.count_if(F.col("ring") & ~F.col("near")).alias("window"))
     parts = (
         F.when(F.col("window") * 4 > F.col("size"), F.array(F.lit(2)))
@@ -217,22 +234,24 @@ def _is_pivot(few: int, turn: int) -> Column:
 def _links(sets: DataFrame, cells: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """Links ``(u, v)`` between labels and ``(node, label)``, which connect all points that linked pairs connect, from regions
     ``(cell, node)``."""
-    labels = materialize(sets.select("node", "n", F.col("node").alias("label")), "jaccard-labels")
+    labels = materialize(sets.select("node", "n", "sketch", F.col("node").alias("label")), "jaccard-labels")
     found, turn = [], 0
     while True:
         turn += 1
         few = FEW << (2 * (turn - 1))
-        state = materialize(cells.join(labels, "node").select("cell", "node", "n", "label"), "jaccard-state")
+        state = materialize(cells.join(labels, "node").select("cell", "node", "n", "sketch", "label"), "jaccard-state")
         open_cells = _open_regions(state, turn)
         large = F.col("rest") > few
-        some = state.join(open_cells.drop("m"), "cell").filter("label != major").filter(_is_pivot(few, turn))
+        some = state.join(open_cells, "cell").filter("label != major").filter(_is_pivot(few, turn))
         none = F.lit(None).cast("bigint")
-        chosen = some.select("cell", F.col("node").alias("pivot"), F.col("n").alias("m"), F.col("label").alias("other"), none.alias("major"), none.alias("rest"), none.alias("size"))
-        firsts = open_cells.filter(large).select("cell", F.col("first").alias("pivot"), "m", none.alias("other"), "major", "rest", "size")
+        pivot = [F.col("node").alias("pivot"), F.col("n").alias("m"), F.col("sketch").alias("sketch_m")]
+        chosen = some.select("cell", *pivot, F.col("label").alias("other"), none.alias("major"), none.alias("rest"), none.alias("size"))
+        firsts = open_cells.filter(large).withColumnRenamed("first", "node").join(labels.drop("label"), "node")
+        firsts = firsts.select("cell", *pivot, none.alias("other"), "major", "rest", "size")
         pivots = materialize(chosen.union(firsts), "jaccard-pivots")
         # A pivot that parts a region is measured against all its points, another one against those with other labels.
-        parts_it = F.col("other").isNull() & _sizes_allow(2 * percent - 100)
-        links_it = (F.col("label") != F.col("other")) & _sizes_allow(percent)
+        parts_it = F.col("other").isNull() & _may_reach(2 * percent - 100)
+        links_it = (F.col("label") != F.col("other")) & _may_reach(percent)
         met = state.join(pivots, "cell").filter("node != pivot").filter(parts_it | links_it)
         measured = _measured(met.select(F.least("node", "pivot").alias("node"), F.greatest("node", "pivot").alias("pivot")), sets, percent)
         near = measured.filter("near").select("node", "pivot")
