@@ -160,15 +160,18 @@ def _regions(sets: DataFrame, percent: int) -> DataFrame:
 
 def _measured(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """``(node, pivot, near, ring)`` for distinct pairs: within r, within 2r."""
-    a = sets.select("node", F.col("set").alias("_a"))
-    b = sets.select(F.col("node").alias("pivot"), F.col("set").alias("_b"))
     pairs = materialize(pairs.distinct(), "jaccard-pairs")
+    # Only sets that some pair needs are moved.
+    met = materialize(pairs.select(F.explode(F.array("node", "pivot")).alias("node")).distinct(), "jaccard-met")
+    used = sets.join(met, "node", "left_semi")
+    a = used.select("node", F.col("set").alias("_a"))
+    b = used.select(F.col("node").alias("pivot"), F.col("set").alias("_b"))
     both = F.size(F.array_intersect("_a", "_b"))
     sized = pairs.join(a, "node").join(b, "pivot").select("node", "pivot", both.alias("both"), (F.size("_a") + F.size("_b")).alias("sum"))
     union = F.col("sum") - F.col("both")
     twice = 2 * percent - 100
     out = materialize(sized.select("node", "pivot", (F.col("both") * 100 >= union * percent).alias("near"), (F.col("both") * 100 >= union * twice).alias("ring")), "jaccard-measured")
-    discard(pairs)
+    discard(pairs, met)
     return out
 
 
