@@ -24,7 +24,7 @@ _VERBOSE = bool(os.environ.get("LINKWEAVE_VERBOSE"))
 def as_simple_graph(
     nodes: DataFrame | None,
     edges: DataFrame,
-    order_col: str | list[str] | None = None,
+    order_col: str | list[str],
 ) -> tuple[DataFrame, DataFrame]:
     """Edges taken as undirected and simple.  ``A->B`` and ``B->A`` are one
     edge; among repeated rows the last one's weight wins (by ``order_col``);
@@ -35,12 +35,9 @@ def as_simple_graph(
         F.least("Source", "Target").alias("u"),
         F.greatest("Source", "Target").alias("v"),
         F.coalesce(F.col("Weight").cast("double"), F.lit(1.0)).alias("w") if "Weight" in edges.columns else F.lit(1.0).alias("w"),
-        *([F.struct(*([order_col] if isinstance(order_col, str) else order_col)).alias("_o")] if order_col else []),
+        F.struct(*([order_col] if isinstance(order_col, str) else order_col)).alias("_o"),
     )
-    if order_col:
-        simple = e.groupBy("u", "v").agg(F.max_by("w", "_o").alias("w"))
-    else:
-        simple = e.groupBy("u", "v").agg(F.last("w").alias("w"))
+    simple = e.groupBy("u", "v").agg(F.max_by("w", "_o").alias("w"))
     ends = simple.select(F.col("u").alias("Id")).union(simple.select(F.col("v").alias("Id")))
     if nodes is not None:
         ends = ends.union(nodes.select("Id"))
@@ -64,15 +61,15 @@ def modularity(edges: DataFrame, communities: DataFrame, weight: str | None = "w
     e = edges.select("u", "v", w.alias("w"))
     cu = communities.select(F.col("Id").alias("u"), F.col("community").alias("cu"))
     cv = communities.select(F.col("Id").alias("v"), F.col("community").alias("cv"))
-    ec = e.join(cu, "u").join(cv, "v")
-    ends = ec.select(F.explode(F.array(F.struct(F.col("cu").alias("c"), "w"), F.struct(F.col("cv").alias("c"), "w"))).alias("x"))
-    d2 = ends.groupBy(F.col("x.c").alias("c")).agg(F.sum("x.w").alias("d")).select(F.sum(F.col("d") * F.col("d"))).scalar()
-    sums = ec.groupBy().agg(
-        F.sum("w").alias("m"),
-        F.coalesce(F.sum(F.when(F.col("cu") == F.col("cv"), F.col("w"))), F.lit(0.0)).alias("L"),
-    )
+    # Every edge gives two ends and counts as inside once; one aggregate by community has all the sums, and partial
+    # aggregation reduces a large community to one row a task before the shuffle.
+    inside = F.when(F.col("cu") == F.col("cv"), F.col("w")).otherwise(0.0)
+    two = F.array(F.struct(F.col("cu").alias("c"), "w", inside.alias("l")), F.struct(F.col("cv").alias("c"), "w", F.lit(0.0).alias("l")))
+    ends = e.join(cu, "u").join(cv, "v").select(F.explode(two).alias("x"))
+    per = ends.groupBy("x.c").agg(F.sum("x.w").alias("d"), F.sum("x.l").alias("l"))
+    sums = per.agg((F.sum("d") / 2).alias("m"), F.sum("l").alias("l"), F.sum(F.col("d") * F.col("d")).alias("d2"))
     return sums.select(
-        F.when(F.col("m") > 0, F.col("L") / F.col("m") - d2 / (4.0 * F.col("m") * F.col("m"))).alias("modularity")
+        F.when(F.col("m") > 0, F.col("l") / F.col("m") - F.col("d2") / (4.0 * F.col("m") * F.col("m"))).alias("modularity")
     )
 
 
@@ -115,7 +112,7 @@ def top_nodes(metrics: DataFrame, top: DataFrame, k: int = DEFAULT_TOP_NODES) ->
         .filter(F.col("node_rank") <= k)
     )
     return ranked.join(F.broadcast(top.select("modularity_class")), "modularity_class").select(
-        "modularity_class", F.col("node_rank").cast("long"), "Id", "Label", F.col("degree").cast("long")
+        "modularity_class", F.col("node_rank").cast("long"), "Id", "Label", "degree"
     )
 
 

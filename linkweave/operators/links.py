@@ -24,6 +24,7 @@ from linkweave.functions.urls import (
     with_url_validity,
 )
 from linkweave.operators.html import extract_pages
+from linkweave.session import materialize
 
 
 def links_from_hrefs(
@@ -90,9 +91,11 @@ def prune_links(links: DataFrame, min_freq: int = DEFAULT_MIN_LINK_FREQ) -> Data
     """Keep links whose target is linked from at least ``min_freq``
     sources; sources left without links disappear with them.
 
-    A partial+final count per target, then a semi-join; AQE broadcasts the
-    kept targets when they are few."""
+    A partial+final count per target, then a semi-join.  The kept targets are written once, so that the join has an
+    exchange on each side: few targets are broadcast by their measured size, and a hub target's links are split by AQE.
+    ``links`` is read twice; write it first where it is dear."""
     keep = links.groupBy("target").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= min_freq).select("target")
+    keep = materialize(keep, "kept-targets")
     return links.join(keep, "target", "left_semi").select(*links.columns)
 
 

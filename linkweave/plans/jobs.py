@@ -25,7 +25,7 @@ from linkweave.operators.text import text_pipeline
 from linkweave.operators.traverse import traverse
 from linkweave.session import materialize
 from linkweave.sources.api import accept_api_payloads, normalise_mode, resolve_content
-from linkweave.sources.readers import read_graph, read_metrics
+from linkweave.sources.readers import read_graph, read_metrics, read_nodes
 from linkweave.sources.writers import write_graph, write_nodes, write_visited
 
 
@@ -113,8 +113,11 @@ def communities_job(spark, nodes_path: str, edges_path: str, mode: str = "parall
     """S4 -> C1 -> C2 -> C3, C4.  Returns the score, the number of
     communities and their sizes table (no edges: a message and no result)."""
     nodes, edges = read_graph(spark, nodes_path, edges_path)
-    # Of repeated edges the last row counts, in the order of the files.
-    n, e = cm.as_simple_graph(nodes, edges.withColumn("_row", F.monotonically_increasing_id()), order_col="_row")
+    # Of repeated edges the last row counts: by file name, then place in the file (tasks do not take files in this order).
+    placed = edges.withColumns(
+        {"_file": F.col("_metadata.file_path"), "_block": F.col("_metadata.file_block_start"), "_row": F.monotonically_increasing_id()}
+    )
+    n, e = cm.as_simple_graph(nodes, placed, ["_file", "_block", "_row"])
     if e.limit(1).count() == 0:
         return {"message": "the graph has no edges; no communities"}
     parts = materialize(cm.greedy_communities(n, e, mode=mode), "communities")
@@ -135,5 +138,5 @@ def clean_link_labels(spark, nodes_path: str, out_dir: str, base_url: str = fx.D
     """S4 (nodes) -> U7 -> S8."""
     from linkweave.functions.urls import clean_label
 
-    nodes = spark.read.option("header", True).option("escape", '"').csv(nodes_path)
+    nodes = read_nodes(spark, nodes_path)
     write_nodes(nodes.withColumn("Label", clean_label(F.col("Label"), base_url)), out_dir)

@@ -57,6 +57,26 @@ SELECT url, CAST(min(depth) AS BIGINT) AS depth FROM bfs GROUP BY url
 """
 
 
+def _ordered(levels: int = 12, cap: int = 100) -> str:
+    """Visit order with the levels written out: a level's pages by their earliest parent, then by url.  Only the first ``cap`` pages
+    are asked for, and a level that is cut is the last one that counts."""
+    parts = ["l0 AS (SELECT url, 0 AS depth, CAST(0 AS BIGINT) AS ord FROM seed WHERE url IN (SELECT url FROM avail))"]
+    for d in range(1, levels + 1):
+        seen = " UNION ALL ".join(f"SELECT url, ord FROM l{k}" for k in range(d))
+        parts.append(f"""s{d} AS ({seen}),
+l{d} AS (
+  SELECT url, {d} AS depth, (SELECT count(*) FROM s{d}) - 1 + row_number() OVER (ORDER BY parent, url) AS ord
+  FROM (
+    SELECT l.target AS url, min(p.ord) AS parent FROM l{d - 1} p JOIN links l ON l.source = p.url
+    WHERE l.target IN (SELECT url FROM avail) AND l.target NOT IN (SELECT url FROM s{d}) AND (SELECT count(*) FROM s{d}) < {cap}
+    GROUP BY l.target
+  )
+)""")
+    every = " UNION ALL ".join(f"SELECT * FROM l{k}" for k in range(levels + 1))
+    head = TRAVERSAL[: TRAVERSAL.index("bfs(url, depth)")].replace("RECURSIVE", "")
+    return head + ",\n".join(parts) + f",\nvisited AS (SELECT url, depth, ord FROM ({every}) WHERE ord < {cap})\n"
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "simple_graph": _w("SELECT u, v, CAST(w AS DOUBLE) AS w FROM g"),
@@ -76,4 +96,6 @@ SELECT round(coalesce((SELECT sum(w) FILTER (WHERE cu = cv) FROM ec), 0) / (SELE
 ) WHERE node_rank <= 10"""
         ),
         "traversal_depth": TRAVERSAL,
+        "traversal_order": _ordered() + "SELECT url, depth, ord FROM visited",
+        "visited_list": _ordered() + "SELECT url FROM visited",
     }

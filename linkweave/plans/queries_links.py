@@ -14,6 +14,7 @@ from linkweave.functions.urls import article_name, clean_label, decode_title, ur
 from linkweave.operators import links as lk
 from linkweave.operators.html import extract_pages, paragraph_text
 from linkweave.operators.ids import assign_ids, edges_with_ids, export_nodes
+from linkweave.session import materialize
 from linkweave.sources.tables import read_table
 
 MARKER = "/"
@@ -62,11 +63,13 @@ def q_link_titles(spark, sf_dir):
 
 
 def q_pruned_links(spark, sf_dir):
-    return lk.prune_links(_links(spark, sf_dir), MIN_LINK_FREQ)
+    return lk.prune_links(materialize(_links(spark, sf_dir), "links"), MIN_LINK_FREQ)
 
 
 def link_graph(spark, sf_dir):
-    pruned = _with_order(spark, sf_dir, lk.prune_links(_links(spark, sf_dir), MIN_LINK_FREQ))
+    # Parsed once and pruned once: nodes and edges read the written tables.
+    links = materialize(_links(spark, sf_dir), "links")
+    pruned = materialize(_with_order(spark, sf_dir, lk.prune_links(links, MIN_LINK_FREQ)), "pruned-links")
     nodes = lk.link_nodes(pruned)
     ided = assign_ids(nodes, ["k2", "k3", "k4"])
     return export_nodes(ided), edges_with_ids(lk.link_edges(pruned), ided, directed=True)
@@ -91,7 +94,7 @@ def q_greedy_communities(spark, sf_dir):
     from linkweave.operators.community import as_simple_graph, greedy_communities
 
     nodes, edges = link_graph(spark, sf_dir)
-    n, e = as_simple_graph(nodes.select("Id"), edges)
+    n, e = as_simple_graph(nodes.select("Id"), edges, ["Source", "Target"])
     return greedy_communities(n, e)
 
 
@@ -100,7 +103,7 @@ def q_greedy_modularity(spark, sf_dir):
     from linkweave.operators.community import as_simple_graph, greedy_communities, modularity
 
     nodes, edges = link_graph(spark, sf_dir)
-    n, e = as_simple_graph(nodes.select("Id"), edges)
+    n, e = as_simple_graph(nodes.select("Id"), edges, ["Source", "Target"])
     return modularity(e, greedy_communities(n, e), weight="w").select(F.round("modularity", 6).alias("modularity"))
 
 

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import os
-
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,43 +42,49 @@ def read_pages(spark: SparkSession, path: str, content_type_col: str | None = No
     return usable_pages(spark.read.parquet(path), content_type_col, status_col)
 
 
-def _csv(spark: SparkSession, schema: T.StructType | None):
-    r = spark.read.option("header", True).option("escape", '"').option("multiLine", True)
+def _csv(spark: SparkSession, schema: T.StructType | None = None):
+    """Header, ``"`` doubled inside quotes.  No label holds a line break, so files stay splittable."""
+    r = spark.read.option("header", True).option("escape", '"')
     return r.schema(schema) if schema is not None else r
 
 
+def read_nodes(spark: SparkSession, path: str) -> DataFrame:
+    """S4, the node file alone with whatever columns it has, all strings."""
+    return _csv(spark).csv(path)
+
+
 def read_graph(spark: SparkSession, nodes_path: str, edges_path: str) -> tuple[DataFrame, DataFrame]:
-    """Node and edge CSVs (header, ``"`` doubled inside quotes)."""
+    """Node and edge CSVs."""
     return _csv(spark, NODE_SCHEMA).csv(nodes_path), _csv(spark, EDGE_SCHEMA).csv(edges_path)
 
 
 def read_metrics(spark: SparkSession, path: str) -> DataFrame:
     """A metrics CSV with at least ``modularity_class, degree, Id, Label``.
 
-    A missing, empty or malformed file, missing columns or zero rows end with
-    a ``ValueError`` naming the problem."""
-    if not os.path.exists(path.replace("file:", "")) and "://" not in path:
-        raise ValueError(f"metrics file not found: {path}")
+    The class is a label (string), the degree a double, the id a long; what is no number is null; other columns are strings.  A row
+    with fewer fields than the header has nulls.  A missing or empty file, missing columns, a row with more fields than the
+    header or zero rows end with a ``ValueError`` naming the problem.  Rows are checked in one parallel pass."""
     try:
-        df = spark.read.option("header", True).option("escape", '"').option("mode", "FAILFAST").option(
-            "inferSchema", True
-        ).csv(path)
-        cols = df.columns
-    except Exception as exc:  # noqa: BLE001
+        names = _csv(spark).csv(path).columns
+    except AnalysisException as exc:
+        if exc.getCondition() == "PATH_NOT_FOUND":
+            raise ValueError(f"metrics file not found: {path}") from exc
         raise ValueError(f"metrics file is empty or malformed: {path}: {exc}") from exc
-    missing = [c for c in METRICS_REQUIRED if c not in cols]
+    missing = [c for c in METRICS_REQUIRED if c not in names]
     if missing:
         raise ValueError(f"metrics file must hold the columns {sorted(METRICS_REQUIRED)}; missing {missing}")
-    try:
-        empty = df.limit(1).count() == 0
-    except Exception as exc:  # noqa: BLE001
-        raise ValueError(f"metrics file is malformed: {path}: {exc}") from exc
-    if empty:
+    # One column more than the header: what it catches is a field too many.
+    wide = T.StructType([T.StructField(c, T.StringType()) for c in [*names, "_more"]])
+    rows = _csv(spark, wide).option("enforceSchema", True).csv(path)
+    n, bad = rows.agg(F.count(F.lit(1)), F.count("_more")).first()
+    if bad:
+        raise ValueError(f"metrics file is malformed: {path}: {bad} rows have more fields than the header")
+    if not n:
         raise ValueError(f"metrics file holds no nodes: {path}")
-    return df.select(
-        F.col("Id").cast("long"),
-        F.col("Label").cast("string"),
-        F.col("degree").cast("long"),
-        F.col("modularity_class").cast("long"),
-        *[c for c in cols if c not in METRICS_REQUIRED],
+    return rows.select(
+        F.col("Id").try_cast("long").alias("Id"),
+        "Label",
+        F.col("degree").try_cast("double").alias("degree"),
+        "modularity_class",
+        *[f"`{c}`" for c in names if c not in METRICS_REQUIRED],
     )

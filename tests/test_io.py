@@ -48,6 +48,19 @@ def test_metrics_errors(spark):
     p3 = f"{d}/ok.csv"
     open(p3, "w").write("Id,Label,degree,modularity_class\n1,alpha,5,0\n")
     assert read_metrics(spark, p3).count() == 1
+    p4 = f"{d}/wide.csv"
+    open(p4, "w").write("Id,Label,degree,modularity_class\n1,alpha,5,0\n2,beta,5,0,9\n")
+    with pytest.raises(ValueError, match="more fields"):
+        read_metrics(spark, p4)
+
+
+def test_metrics_labels_and_fractions(spark):
+    p = f"{_tmp()}/m.csv"
+    open(p, "w").write('modularity_class,Id,note,Label,degree\nred,1,x,"a,""b",5.5\n,2,,c,none\nblue,3\n')
+    got = read_metrics(spark, p).collect()
+    assert [(r.Id, r.Label, r.degree, r.modularity_class, r.note) for r in got] == [
+        (1, 'a,"b', 5.5, "red", "x"), (2, "c", None, None, None), (3, None, None, "blue", None)
+    ]
 
 
 def test_api_acceptance_and_resolution(spark):

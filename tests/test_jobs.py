@@ -1,5 +1,6 @@
 import glob
 import json
+import os
 import tempfile
 
 from linkweave.plans.jobs import NetworkConfig, build_networks, clean_link_labels, communities_job, community_summary
@@ -50,7 +51,7 @@ def test_community_summary(spark):
     p = f"{d}/m.csv"
     open(p, "w").write("Id,Label,degree,modularity_class\n1,alpha,5,0\n2,beta,3,0\n3,gamma,7,1\n")
     rows = community_summary(spark, p, top_n=2).collect()
-    assert [(r["rank"], r.modularity_class, r.Label) for r in rows] == [(1, 0, "alpha"), (1, 0, "beta"), (2, 1, "gamma")]
+    assert [(r["rank"], r.modularity_class, r.Label) for r in rows] == [(1, "0", "alpha"), (1, "0", "beta"), (2, "1", "gamma")]
 
 
 def test_build_networks_with_no_content_still_exports(spark):
@@ -60,3 +61,20 @@ def test_build_networks_with_no_content_still_exports(spark):
     assert counts == {"visited": 0, "word_nodes": 0, "link_nodes": 0}
     for sub in ("words/nodes", "words/edges", "links/nodes", "links/edges"):
         assert glob.glob(f"{d}/{sub}/_SUCCESS")
+
+
+def test_last_row_of_a_repeated_edge_counts_over_files_of_any_size(spark):
+    d = tempfile.mkdtemp(prefix="lw-j2-", dir="/tmp")
+    os.makedirs(f"{d}/n"), os.makedirs(f"{d}/e")
+    with open(f"{d}/n/part-0.csv", "w") as f:
+        f.write("Id,Label,Group,Attribute\n" + "".join(f"{i},n{i},link,0\n" for i in range(1, 5)))
+    head = "Source,Target,Type,Weight\n"
+    # The later file is the smaller one, so that reading by size would meet it last.
+    for name, weights in (("part-0.csv", range(40, 0, -1)), ("part-1.csv", (7, 3))):
+        with open(f"{d}/e/{name}", "w") as f:
+            f.write(head + "".join(f"1,2,Undirected,{w}\n" for w in weights))
+    with open(f"{d}/e/part-2.csv", "w") as f:
+        f.write(head + "2,1,Undirected,5\n3,4,Undirected,15\n" + "3,4,Undirected,5\n" * 3)
+    got = communities_job(spark, f"{d}/n", f"{d}/e")
+    # Two edges of weight 5, each a community: 1 - 2 * (1/2)^2.
+    assert got["communities"] == 2 and abs(got["modularity"] - 0.5) < 1e-9

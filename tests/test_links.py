@@ -1,6 +1,7 @@
 """Links from pages and API titles, and the link network; sites and titles are our own."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from linkweave.functions.urls import article_name, clean_label, decode_title, join_url, with_title_validity, with_url_validity
 from linkweave.operators.html import parse_page
@@ -91,3 +92,28 @@ def test_unclosed_paragraph_nests():
     assert parse_page("<p>a<p>b</p>")[0] == "ab b"
     text, hrefs = parse_page('<p>x<script>var t="</p>";</script>y</p><!-- c --><a href>e</a><a href="/h">h</a>')
     assert text == "xy" and hrefs == ["", "/h"]
+
+
+def test_hub_target_is_split_by_the_pruning_join(spark):
+    """A target with a third of all links does not stay in one task when the kept targets are too many to broadcast."""
+    links = spark.range(60_000).select(
+        F.concat(F.lit("s"), F.col("id")).alias("source"),
+        F.when(F.col("id") % 3 == 0, F.lit("hub")).otherwise(F.concat(F.lit("t"), F.col("id") % 4_000)).alias("target"),
+    )
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10000",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        kept = prune_links(links.repartition(8), 3)
+        out = kept.groupBy(F.spark_partition_id().alias("p")).agg(F.count_if(F.col("target") == "hub").alias("hub")).filter("hub > 0").collect()
+        assert sum(r.hub for r in out) == 20_000 and len(out) > 1
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -60,7 +60,7 @@ def test_traversal_equals_queue(spark, seed):
 
 def _simple(spark, edges):
     e = spark.createDataFrame(edges, "Source long, Target long, Weight double")
-    return cm.as_simple_graph(None, e)
+    return cm.as_simple_graph(None, e, ["Source", "Target"])
 
 
 def test_two_triangles_and_a_bridge(spark):
