@@ -8,7 +8,8 @@ standard library's ``html.parser`` and a small tree-builder state:
   everything opened after its most recent match and is ignored without one;
 * every piece of text (entities decoded) goes to each open ``<p>``, so an
   unclosed ``<p>`` nests and its inner text repeats once per open ancestor;
-* comment, CDATA, script, style, template and ruby-note text is left out;
+* CDATA sections are text; comment, declaration, script, style, template and ruby-note text is left out;
+* a marked section of an unknown kind ends at its ``>`` like a comment, and the page goes on after it;
 * each ``<a>`` with an ``href`` attribute (empty value included, the last
   duplicate wins) yields that value.
 
@@ -90,6 +91,16 @@ class _PageParser(HTMLParser):
             self.chunks.append(data)
             self.size += len(data)
 
+    def unknown_decl(self, data):
+        if data[:6].upper() == "CDATA[":
+            self.handle_data(data[6:])
+
+    def parse_marked_section(self, i, report=1):
+        try:
+            return super().parse_marked_section(i, report)
+        except AssertionError:
+            return self.parse_bogus_comment(i)
+
     def result(self) -> tuple[str, list[str]]:
         stream = "".join(self.chunks)
         texts = [stream[s : (e if e >= 0 else self.size)] for s, e in self.p_spans]
@@ -101,11 +112,8 @@ def parse_page(html: str | None) -> tuple[str, list[str]]:
     if not html:
         return "", []
     parser = _PageParser()
-    try:
-        parser.feed(html)
-        parser.close()
-    except Exception:  # noqa: BLE001 - malformed markup: keep what was parsed
-        pass
+    parser.feed(html)
+    parser.close()
     return parser.result()
 
 

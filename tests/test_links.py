@@ -117,3 +117,21 @@ def test_hub_target_is_split_by_the_pruning_join(spark):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        ("<p>a <![CDATA[b & c]]> d</p>", "a b & c d"),
+        ("<p>a</p><![wrong[x]]><p>b</p>", "a b"),
+        ("<p>a</p><![if IE]><p>b</p><![endif]>", "a b"),
+        ("<p>a</p><!><!-><!doctype x [<!ELEMENT y ANY>]><p>b</p>", "a b"),
+        ("<p>a</p><![", "a"),
+        ("<p>a</p><![CDATA[open", "a"),
+        ("<p>a</p><![%x;[y]]><p>b", "a b"),
+        ("<p>a</p></><?php x ?><//><p>b</p>", "a b"),
+        ("<p>a &#xFFFFFFFF; &bogus; &#0;</p>", "a \ufffd &bogus; \ufffd"),
+    ],
+)
+def test_declarations_and_broken_markup(html, text):
+    assert parse_page(html)[0] == text
