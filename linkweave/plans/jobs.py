@@ -26,7 +26,7 @@ from linkweave.operators.traverse import traverse
 from linkweave.session import materialize
 from linkweave.sources.api import accept_api_payloads, normalise_mode, resolve_content
 from linkweave.sources.readers import read_graph, read_metrics, read_nodes
-from linkweave.sources.writers import write_graph, write_nodes, write_visited
+from linkweave.sources.writers import write_graph, write_hosts, write_nodes, write_visited
 
 
 @dataclass
@@ -46,6 +46,27 @@ class NetworkConfig:
     window_size: int = fx.DEFAULT_WINDOW_SIZE
 
 
+def popped_urls(links: DataFrame, visited: DataFrame, seed_url: str, max_depth: int | None, max_articles: int | None) -> DataFrame:
+    """``(url)`` of all pages the walk took up, with content or not: the seed and the links of visited pages, within the depth.
+    Where the walk ended at ``max_articles``, links that come after the last visited page were not taken up.
+
+    The driver sees two rows: the last visited page and its earliest parent."""
+    spark = visited.sparkSession
+    seed = spark.createDataFrame([(seed_url,)], "url string")
+    found = links.join(visited.select(F.col("url").alias("source"), "depth", F.col("ord").alias("parent")), "source")
+    if max_depth is not None:
+        found = found.filter(F.col("depth") < max_depth)
+    found = found.groupBy(F.col("target").alias("url")).agg(F.min("parent").alias("parent"))
+    last = visited.filter(F.col("ord") == max_articles - 1).first() if max_articles else None
+    if last is not None:
+        parent = found.filter((F.col("url") == last["url"]) & (F.col("parent") < last["ord"])).first() if last["ord"] else None
+        if parent is None:
+            return seed
+        here = F.struct("parent", "url") <= F.struct(F.lit(parent["parent"]).alias("parent"), F.lit(last["url"]).alias("url"))
+        found = found.filter(here)
+    return found.select("url").union(seed)
+
+
 def build_networks(
     pages: DataFrame | None,
     payloads: DataFrame | None,
@@ -57,11 +78,12 @@ def build_networks(
     lexicon=None,
     entities: DataFrame | None = None,
 ) -> dict[str, int]:
-    """S1/S2/S3 -> H1/H2/H3 -> T1 -> T3 -> N1-N6 -> G11, L1, L2 -> I1, I2 -> S6, S7.
+    """S1/S2/S3 -> H1/H2/H3 -> T1 -> T3 -> N1-N6 -> G11, L1, L2 -> I1, I2 -> S6, S7, T2.
 
     ``pages(url, html)`` are fetched pages (already S1-filtered);
     ``payloads(url, endpoint_rank, status, content_type, body)`` raw API
-    responses.  The walk starts at ``seed_url`` as links spell it.  Returns row counts of what was written."""
+    responses.  The walk starts at ``seed_url`` as links spell it.  Hosts of pages taken up without content (T2) are written
+    to ``unprocessed_hosts``.  Returns row counts of what was written (0: that input was empty)."""
     cfg = config or NetworkConfig()
     spark = (pages if pages is not None else payloads).sparkSession
     base = base_url.rstrip("/")
@@ -106,7 +128,14 @@ def build_networks(
     lids = assign_ids(lnodes, ["k2", "k3", "k4"])
     write_graph(export_nodes(lids), edges_with_ids(lk.link_edges(vlinks), lids, directed=True), f"{out_dir}/links/nodes", f"{out_dir}/links/edges")
     write_visited(visited, f"{out_dir}/visited")
-    return {"visited": visited.count(), "word_nodes": wids.count(), "link_nodes": lids.count()}
+    hosts = materialize(
+        lk.unprocessed_hosts(popped_urls(all_links, visited, seed_url, cfg.max_depth, cfg.max_articles), content), "hosts"
+    )
+    write_hosts(hosts, f"{out_dir}/unprocessed_hosts")
+    return {
+        "visited": visited.count(), "word_nodes": wids.count(), "bigram_nodes": wids.filter(F.col("Group") == fx.GROUP_BIGRAM).count(),
+        "link_nodes": lids.count(), "unprocessed_hosts": hosts.count(),
+    }
 
 
 def communities_job(spark, nodes_path: str, edges_path: str, mode: str = "parallel") -> dict:

@@ -35,6 +35,11 @@ def write_visited(visited: DataFrame, out_dir: str, single_file: bool = False) -
     (df.coalesce(1) if single_file else df).write.mode("overwrite").text(out_dir)
 
 
+def write_hosts(hosts: DataFrame, out_dir: str) -> None:
+    """T2's report: one host per line, sorted ascending."""
+    hosts.select("host").orderBy("host").write.mode("overwrite").text(out_dir)
+
+
 def write_nodes(nodes: DataFrame, out_dir: str, single_file: bool = False) -> None:
     """Every input column kept, header, no index column."""
     _csv_writer(nodes, single_file).csv(out_dir)

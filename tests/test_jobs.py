@@ -3,7 +3,7 @@ import json
 import os
 import tempfile
 
-from linkweave.plans.jobs import NetworkConfig, build_networks, clean_link_labels, communities_job, community_summary
+from linkweave.plans.jobs import NetworkConfig, build_networks, clean_link_labels, communities_job, community_summary, popped_urls
 
 
 def _read_csv_dir(path):
@@ -58,7 +58,8 @@ def test_build_networks_with_no_content_still_exports(spark):
     d = tempfile.mkdtemp(prefix="lw-j1e-", dir="/tmp")
     pages = spark.createDataFrame([("https://w.test/wiki/Other", "<p>x</p>")], "url string, html string")
     counts = build_networks(pages, None, d, "https://w.test/wiki/Missing", "https://w.test")
-    assert counts == {"visited": 0, "word_nodes": 0, "link_nodes": 0}
+    assert counts == {"visited": 0, "word_nodes": 0, "bigram_nodes": 0, "link_nodes": 0, "unprocessed_hosts": 1}
+    assert open(glob.glob(f"{d}/unprocessed_hosts/part-*.txt")[0]).read() == "w.test\n"
     for sub in ("words/nodes", "words/edges", "links/nodes", "links/edges"):
         assert glob.glob(f"{d}/{sub}/_SUCCESS")
 
@@ -78,3 +79,22 @@ def test_last_row_of_a_repeated_edge_counts_over_files_of_any_size(spark):
     got = communities_job(spark, f"{d}/n", f"{d}/e")
     # Two edges of weight 5, each a community: 1 - 2 * (1/2)^2.
     assert got["communities"] == 2 and abs(got["modularity"] - 0.5) < 1e-9
+
+
+def test_urls_taken_up_stop_after_the_last_visited_page(spark):
+    links = spark.createDataFrame(
+        [("s", "a"), ("s", "gone1"), ("s", "m"), ("s", "z"), ("a", "gone0"), ("a", "n"), ("n", "s")], "source string, target string"
+    )
+
+    def told(pages, depth, cap):
+        visited = spark.createDataFrame(pages, "url string, depth int, ord long")
+        return sorted(r.url for r in popped_urls(links, visited, "s", depth, cap).distinct().collect())
+
+    # Queue: s, then its links a, gone1, m, z, then a's links gone0, n, then n's.
+    assert told([("s", 0, 0)], 9, 1) == ["s"]
+    assert told([("s", 0, 0), ("a", 1, 1)], 9, 2) == ["a", "s"]
+    assert told([("s", 0, 0), ("a", 1, 1), ("m", 1, 2)], 9, 3) == ["a", "gone1", "m", "s"]
+    every = [("s", 0, 0), ("a", 1, 1), ("m", 1, 2), ("z", 1, 3), ("n", 2, 4)]
+    assert told(every[:4], 1, 99) == ["a", "gone1", "m", "s", "z"]
+    assert told(every, None, None) == ["a", "gone0", "gone1", "m", "n", "s", "z"]
+    assert told([], 9, 9) == ["s"]
