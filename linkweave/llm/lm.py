@@ -11,7 +11,8 @@ maximisation on the training tokens with each token's own occurrence deleted fro
 Texts are dealt into blocks by their id.  A block sends its distinct n-grams, sorted and packed, to ranges of
 the hash space, which add up the counts of all blocks and answer each block in its own order; so a frequent word
 is one entry a block, and an answer is a plain array.  Counts cover all texts and grow with them; what reaches the
-driver is the block count, N and V, and a table of at most ``BUCKETS * CELLS * CELLS`` sums for the weights.
+driver is the block count, N and V, and a table of sums for the weights: for contexts seen about 2^b times, 2 b cells of the
+bigram's estimate by 2 log2(N) of the unigram's, so about 2 log2(N)^3 rows at most, whatever the texts.
 
 Defined results: a null or blank text is the end token alone; a null id is trained on; repeated rows count and are
 scored each; an empty table gives no rows, and without training texts the model is uniform; other columns are ignored.
@@ -32,8 +33,9 @@ from linkweave.session import materialize, scratch_path
 
 #: Bytes of text in a block, about.
 BLOCK_BYTES = 6_000_000
-#: Buckets of context frequency (0, 1, 2-3, 4-7, ...) and cells of a probability's logarithm, for the weights.
-BUCKETS, CELLS = 40, 48
+#: Buckets of context frequency (0, 1, 2-3, 4-7, ...) and cells of a probability's logarithm, for the weights.  Both reach as far as
+#: 64-bit counts: one of N tokens has a probability of 1/N, and needs 2 * log2(N) + 2 cells.
+BUCKETS, CELLS = 64, 128
 EM_STEPS = 60
 END, START = U64(0x5851F42D4C957F2D), U64(0x14057B7EF767814F)
 

@@ -243,6 +243,39 @@ def test_model_beats_base_on_held_out_text(spark, sf_dir):
     assert row["m"] > row["b"]
 
 
+def unrounded_em(p2, p1, tokens, v):
+    p = np.stack([p2, p1, np.full(len(p1), 1.0 / (v + 1))], 1)
+    weights = np.full(3, 1 / 3)
+    for _ in range(lm.EM_STEPS):
+        share = p * weights
+        share /= share.sum(1, keepdims=True)
+        weights = tokens @ share / tokens.sum()
+    return weights
+
+
+@pytest.mark.parametrize("n", [1 << 27, 5_000_000_000, 1 << 40])
+def test_weights_of_many_tokens(n):
+    # Types by count as in a Zipf vocabulary: about n / (c * c) words are seen c times, and each token's own occurrence is deleted.
+    c = np.unique(np.geomspace(1, n / 20, 400).astype(np.int64))
+    types = np.maximum(np.diff(np.append(-1.0 / c, 0.0)) * n / 20, 1.0)
+    tokens = np.ceil(types * c).astype(np.int64)
+    total, v = int(tokens.sum()), int(types.sum())
+    p1, p2 = (c - 1) / (total - 1), np.zeros(len(c))
+    sums = Counter()
+    for x, m in zip(lm.cell(p1), tokens, strict=True):
+        sums[5, 0, int(x)] += int(m)
+    got = lm.learn_weights([(*k, m) for k, m in sums.items()], v)[5]
+    want = np.maximum(unrounded_em(p2, p1, tokens, v), 1e-6)
+    assert got == pytest.approx(want / want.sum(), rel=0.15, abs=1e-6)
+
+
+def test_cells_tell_all_counts_apart():
+    # Powers of two up to the largest count that fits: none shares a cell or a bucket with the next.
+    p = 2.0 ** -np.arange(63)
+    assert (np.diff(lm.cell(p)) == 2).all() and (lm.cell_value(lm.cell(p)) == pytest.approx(p, rel=1e-9))
+    assert (np.diff(lm.bucket(1 << np.arange(62))) == 1).all()
+
+
 def test_counts_pack():
     rng = np.random.default_rng(0)
     x = np.unique(rng.integers(0, 1 << 63, 1000, dtype=np.uint64))
