@@ -1,9 +1,11 @@
 """Personal data by candidate gradient boosting.
 
 Base kinds are found by pattern and check.  On top, generators of high recall propose further, overlapping spans;
-features of their format and of the text around them go through boosted trees, and a threshold calibrated on rows
-the trees have not seen selects, for each generator, the spans that are added.  The trees are trained by Spark ML on
-a bounded sample and compiled into one built-in expression, so scoring needs neither user functions nor a shuffle.
+features of their format and of the text around them go through boosted trees, and a threshold calibrated on candidates
+the trees have not seen selects, for each generator, the spans that are added.  All candidates of all documents are written
+once, with their features.  The trees are trained by Spark ML on a bounded sample of them, by hash with a quota for each
+generator and label; the thresholds come from counts over the other half of them, by hash, as a table of generators and bins.
+The trees are compiled into one built-in expression, so scoring needs neither user functions nor a shuffle.
 
 There are no labelled spans, so labels come from rules (``_label``): a candidate is private when a base
 check confirms what it holds, or when it is assigned to a name such as "token" or "password".
@@ -26,8 +28,8 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linkweave.llm.common import fenced
-from linkweave.session import materialize
+from linkweave.llm.common import fenced, unit_hash
+from linkweave.session import discard, materialize
 
 
 def _quoted(text: str) -> str:
@@ -59,8 +61,7 @@ GENERATORS = (
     Kind("contact", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+\x20?(?:@|\(at\)|\[at\])\x20?[A-Za-z0-9-]{1,63}+(?:\.[A-Za-z0-9-]{1,63}+)*+", r"@|\(at\)|\[at\]"),
     Kind("address", r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){3,7}+[0-9A-Fa-f]{1,4}", ":"),
 )
-#: Rows, and candidates, that the trees are trained on, at most.
-TRAIN_DOCUMENTS = 10_000
+#: Candidates that the trees are trained on, at most, about.
 TRAIN_CANDIDATES = 20_000
 TREES, DEPTH = 8, 3
 #: Share of right ones among the candidates above a threshold on calibration rows.
@@ -148,13 +149,13 @@ def _features(c: str) -> dict[str, str]:
 
 
 def _label(c: str) -> str:
-    """Label by rule: what the candidate holds passes a base check once separators are unified, or it is assigned to a secret's name."""
+    """Label by rule: what the candidate holds passes a base check once separators are unified, or it is the whole of what is assigned to a secret's name."""
     digits = f"regexp_replace({c}.m, '[^0-9]', '')"
     return (
         f"(length({digits}) between 14 and 19 and {c}.k = {len(BASE) + 1} and luhn_check({digits})) or "
         f"({c}.k = {len(BASE) + 1} and length({digits}) between 10 and 15 and {c}.before rlike '[+]$') or "
         f"({c}.k = {len(BASE) + 2} and {c}.m rlike '[.][A-Za-z]+$') or "
-        f"({c}.k = {len(BASE) + 3}) or {c}.before rlike {_quoted(ASSIGNED)}"
+        f"({c}.k = {len(BASE) + 3}) or ({c}.before rlike {_quoted(ASSIGNED)} and not {c}.after rlike '^[A-Za-z0-9]')"
     )
 
 
@@ -180,26 +181,56 @@ class Model:
     thresholds: tuple[float, ...]
 
 
-def train(docs: DataFrame, key: str = "doc_id", text: str = "text", documents: int = TRAIN_DOCUMENTS, candidates: int = TRAIN_CANDIDATES) -> Model | None:
-    """Trees and thresholds from at most so many rows and candidates, taken by hash; None when only one label occurs."""
-    step = max(1, docs.count() // documents)
-    picked = docs.select(F.coalesce(F.col(text), F.lit("")).alias("_text"), F.xxhash64(key).alias("_h")).filter(F.pmod("_h", F.lit(step)) == 0).limit(2 * documents)
-    exploded = fenced(_with_spans(picked), "_h", "_candidates").select("_h", F.explode("_candidates").alias("c")).limit(candidates)
+def _candidates(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """``(u, k, label, features)`` of every candidate of every document; ``u`` in (0, 1) by hash of key, start and generator."""
+    spans = _with_spans(docs.select(F.col(key).alias("_key"), F.coalesce(F.col(text), F.lit("")).alias("_text")))
+    exploded = fenced(spans, "_key", "_candidates").select("_key", F.explode("_candidates").alias("c"))
+    features = [f"{v} as {n}" for n, v in _features("c").items()]
+    return exploded.withColumn("u", unit_hash("_key", "c.s", "c.k", seed=1)).selectExpr("u", "c.k as k", f"cast({_label('c')} as double) as label", *features)
+
+
+def _training_rows(rows: DataFrame, candidates: int) -> DataFrame:
+    """About ``candidates`` of ``rows`` at most, by hash from the half that does not calibrate: as many of each generator and label."""
+    counts = rows.filter("u < 0.5").groupBy("k", "label").count().collect()
+    quota = candidates / (2 * len(GENERATORS))
+    rates = [f"WHEN k = {r['k']} AND label = {r['label']} THEN {0.5 * min(1.0, quota / r['count'])!r}D" for r in counts]
+    return rows.filter(F.expr(f"u < CASE {' '.join(rates)} ELSE 0D END")) if rates else rows.limit(0)
+
+
+def train(docs: DataFrame, key: str = "doc_id", text: str = "text", candidates: int = TRAIN_CANDIDATES) -> Model | None:
+    """Trees from about so many candidates at most, taken by hash with a quota for each generator and label; thresholds from counts
+    over the candidates of all documents that are in the calibrating half by hash.  None when no candidate is right."""
     features = _features("c")
-    rows = exploded.selectExpr("_h", "c.k as k", f"cast({_label('c')} as double) as label", *[f"{v} as {n}" for n, v in features.items()])
-    # Every third row, by hash, calibrates.
-    rows = materialize(rows.withColumn("calibrates", F.pmod(F.xxhash64("_h", F.lit(1)), F.lit(3)) == 0).coalesce(2), "pii-train")
-    seen = {r["label"] for r in rows.filter("not calibrates").select("label").distinct().collect()}
+    rows = materialize(_candidates(docs, key, text), "pii-candidates")
+    # Dealt by hash and sorted, so that a rerun adds up in the same order.
+    sample = materialize(_training_rows(rows, candidates).repartition(2, "u").coalesce(2).sortWithinPartitions(*rows.columns), "pii-train")
+    seen = {r["label"] for r in sample.select("label").distinct().collect()}
     if len(seen) < 2:
-        return None
-    ready = VectorAssembler(inputCols=list(features), outputCol="features")
-    fitted = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=1, maxBins=32).fit(ready.transform(rows.filter("not calibrates")).select("label", "features"))
-    names = [f"f.{n}" for n in features]
-    total = " + ".join(f"{float(w)!r}D * ({tree_sql(t.toDebugString, names)})" for t, w in zip(fitted.trees, fitted.treeWeights, strict=True))
-    probability = f"1D / (1D + exp(-2D * ({total})))"
-    scored = rows.filter("calibrates").withColumn("f", F.struct(*features)).withColumn("bin", F.floor(F.expr(probability) * 50))
-    bins = scored.groupBy("k", "bin").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("right")).collect()
-    return Model(probability, tuple(_threshold([(b["bin"], b["n"], b["right"]) for b in bins if b["k"] == len(BASE) + g]) for g in range(len(GENERATORS))))
+        probability = f"{max(seen, default=0.0)!r}D"
+    else:
+        fitted = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=1, maxBins=32).fit(VectorAssembler(inputCols=list(features), outputCol="features").transform(sample).select("label", "features"))
+        names = [f"f.{n}" for n in features]
+        total = " + ".join(f"{float(w)!r}D * ({tree_sql(t.toDebugString, names)})" for t, w in zip(fitted.trees, fitted.treeWeights, strict=True))
+        probability = f"1D / (1D + exp(-2D * ({total})))"
+    scored = rows.filter("u >= 0.5").withColumn("f", F.struct(*features)).withColumn("bin", F.floor(F.expr(probability) * 50))
+    bins = [tuple(r) for r in scored.groupBy("k", "bin").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("right")).collect()]
+    discard(rows, sample)
+    return Model(probability, thresholds(bins)) if 1.0 in seen else None
+
+
+def thresholds(bins: list[tuple[int, int, int, float]]) -> tuple[float, ...]:
+    """A threshold for each generator, from (generator, bin, candidates, right ones).  A generator with too few right ones to show
+    ``PRECISION`` takes the one of all generators together, or the next step above that its own wrong ones allow."""
+    pooled, out = _threshold([b[1:] for b in bins]), []
+    for g in range(len(GENERATORS)):
+        own = [b[1:] for b in bins if b[0] == len(BASE) + g]
+        best = _threshold(own)
+        if best > 1 >= pooled:
+            above = lambda low: [b for b in own if b[0] >= low]
+            steps = [low for low in range(round(pooled * 50), 50) if sum(b[2] for b in above(low)) >= PRECISION * sum(b[1] for b in above(low))]
+            best = steps[0] / 50 if steps else best
+        out.append(best)
+    return tuple(out)
 
 
 def _threshold(bins: list[tuple[int, int, float]]) -> float:

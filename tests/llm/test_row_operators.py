@@ -99,6 +99,37 @@ def test_model_adds_spans_and_keeps_base(spark):
         assert got[i] == (f"secret:13:45,email:{text.index('a@b')}:{len(text)}" if i % 2 else "")
 
 
+def test_model_learns_rare_kinds_beside_long_documents(spark):
+    secret = lambda i: hashlib.sha256(str(i).encode()).hexdigest()[:32]
+    address = lambda i: ":".join(f"{secret(i)[4 * k : 4 * k + 4]}" for k in range(8))
+    # Two long texts hold more candidates than the sample takes, and come first; 60 short ones hold the right ones.
+    rows = [(i, " ".join(f"commit {secret(f'{i}.{j}')} of" for j in range(600))) for i in range(2)]
+    rows += [(10 + i, f'token = "{secret(i)}" on {address(i)} here') for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    model = pii.train(docs, candidates=800)
+    assert model == pii.train(docs.repartition(7), candidates=800)
+    got = {r[0]: r[1] for r in pii.find(docs, model=model).select("doc_id", pii.span_list("spans")).collect()}
+    for i, text in rows:
+        if i < 2:
+            assert "secret" not in got[i] and "number" not in got[i]
+        else:
+            assert got[i] == f"secret:9:41,address:{text.index(' on ') + 4}:{len(text) - 5}"
+
+
+def test_model_of_right_ones_only(spark):
+    docs = spark.createDataFrame([(i, f"on {':'.join([f'{i + 4096:x}'] * 8)} here") for i in range(100)], "doc_id long, text string")
+    spans = pii.find(docs, model=pii.train(docs)).select(pii.span_list("spans")).distinct().collect()
+    assert [r[0] for r in spans] == ["address:3:42"]
+
+
+def test_thresholds_of_few_candidates():
+    first, last = len(pii.BASE), len(pii.BASE) + len(pii.GENERATORS) - 1
+    bins = [(first, 45, 1000, 1000.0), (first, 3, 1000, 10.0), (first + 1, 47, 2, 2.0), (first + 2, 46, 5, 1.0), (first + 2, 48, 2, 2.0)]
+    got = pii.thresholds(bins)
+    assert got[0] == got[1] == got[last - first] < 45 / 50 and got[2] == 47 / 50
+    assert pii.thresholds([(first, 49, 3, 3.0)]) == (2.0,) * len(pii.GENERATORS)
+
+
 def test_tree_sql_follows_the_printed_tree(spark):
     printed = "Tree: depth=2\n  If (feature 0 <= 1.5)\n   Predict: -0.5\n  Else (feature 0 > 1.5)\n   If (feature 1 <= 0.0)\n    Predict: 0.25\n   Else (feature 1 > 0.0)\n    Predict: 1.0E-2\n"
     df = spark.createDataFrame([(1.0, 5.0), (2.0, 0.0), (2.0, 1.0)], "a double, b double")
