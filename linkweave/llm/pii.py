@@ -60,6 +60,16 @@ GENERATORS = (
     Kind("number", r"(?<![0-9])[0-9](?:[\x20./()-]{0,2}+[0-9]){6,}+", "[0-9]", "true"),
     Kind("contact", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+\x20?(?:@|\(at\)|\[at\])\x20?[A-Za-z0-9-]{1,63}+(?:\.[A-Za-z0-9-]{1,63}+)*+", r"@|\(at\)|\[at\]"),
     Kind("address", r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){3,7}+[0-9A-Fa-f]{1,4}", ":"),
+    # What is assigned to a name, where the form of a secret does not show: short, or with signs.
+    Kind(
+        "password",
+        r"(?<=(?:[Tt][Oo][Kk][Ee][Nn]|[Kk][Ee][Yy]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Pp][Ww][Dd]|[Pp][Aa][Ss][Ss][Pp][Hh][Rr][Aa][Ss][Ee])"
+        r"[\"']?\x20?[=:]\x20?[\"']?)[^\s\"'<>,;=:]{4,}+",
+        r"(?i)(?:token|key|secret|password|passwd|pwd|passphrase)[\"']?\x20?[=:]",
+        "not (m rlike '^[A-Za-z0-9+/_-]{16,}$' and m rlike '[0-9]' and m rlike '[A-Za-z]')",
+    ),
+    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}\x20[A-Z0-9]{4}(?:\x20(?=[A-Z]{0,3}[0-9])[A-Z0-9]{4}){1,6}(?:\x20(?=[A-Z]{0,2}[0-9])[A-Z0-9]{1,3})?+(?![A-Za-z0-9])", r"[A-Z]{2}[0-9]{2}\x20[A-Z0-9]{4}\x20"),
+    Kind("short_address", r"(?<![0-9A-Za-z:_.])(?:[0-9A-Fa-f]{1,4}:){1,7}+:(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,5}+)?+(?![0-9A-Za-z:_])", "[0-9A-Fa-f]::"),
 )
 #: Candidates that the trees are trained on, at most, about.
 TRAIN_CANDIDATES = 20_000
@@ -68,7 +78,15 @@ TREES, DEPTH = 8, 3
 PRECISION = 0.95
 #: Words before a span that tell what it is.
 CUES = "phone|tel|call|fax|mail|contact|card|visa|iban|account|token|key|secret|password|passwd|pwd|host|addr|ssn|id"
-ASSIGNED = "(?i)(token|key|secret|password|passwd|pwd)[ \"']*[=:][ \"']*$"
+ASSIGNED = "(?i)((token|key|secret|password|passwd|pwd|passphrase|credentials?|api|auth|authorization)[ \"']*[=:][ \"']*|bearer +)$"
+PHONE_CUE = "(?i)(^|[^a-z])(phone|telephone|tel|call|mobile|cell|fax)( number| no| us| at| is)*[^A-Za-z0-9]{0,4}$"
+ID_CUE = "(?i)(^|[^a-z])(ssn|social security|account|acct|passport|tax id)( number| no| is)*[^A-Za-z0-9]{0,4}$"
+#: An IBAN's remainder: letters count as 10 to 35, the first four characters come last.
+_PLAIN = "regexp_replace(m, '[^A-Za-z0-9]', '')"
+_IBAN = (
+    f"coalesce({_PLAIN} rlike '^[A-Z]{{2}}[0-9]{{2}}[A-Z0-9]{{11,30}}$' and aggregate(transform(split(concat(substring({_PLAIN}, 5), substring({_PLAIN}, 1, 4)), ''), x -> ascii(x)), "
+    "0, (a, o) -> if(o < 48, a, if(o < 58, a * 10 + o - 48, a * 100 + o - 55) % 97)) = 1, false)"
+)
 FEATURES = {
     "length": "length(m)",
     "digits": "length(m) - length(translate(m, '0123456789', ''))",
@@ -81,6 +99,11 @@ FEATURES = {
     "variety": "size(array_distinct(split(m, '')))",
     "cue": f"cast(before rlike '(?i)({CUES})' as int)",
     "assigned": f"cast(before rlike {_quoted('[=:][ "' + "'" + ']*$')} as int)",
+    "named": f"cast(before rlike {_quoted(ASSIGNED)} as int)",
+    "phone_cue": f"cast(before rlike {_quoted(PHONE_CUE)} as int)",
+    "id_cue": f"cast(before rlike {_quoted(ID_CUE)} as int)",
+    "ssn_form": "cast(m rlike '^[0-9]{3}[ -][0-9]{2}[ -][0-9]{4}$' as int)",
+    "iban": f"cast({_IBAN} as int)",
     "after_plus": "cast(before rlike '[+]$' as int)",
     "in_word_before": "cast(before rlike '[A-Za-z0-9]$' as int)",
     "in_word_after": "cast(after rlike '^[A-Za-z0-9]' as int)",
@@ -149,14 +172,24 @@ def _features(c: str) -> dict[str, str]:
 
 
 def _label(c: str) -> str:
-    """Label by rule: what the candidate holds passes a base check once separators are unified, or it is the whole of what is assigned to a secret's name."""
-    digits = f"regexp_replace({c}.m, '[^0-9]', '')"
-    return (
-        f"(length({digits}) between 14 and 19 and {c}.k = {len(BASE) + 1} and luhn_check({digits})) or "
-        f"({c}.k = {len(BASE) + 1} and length({digits}) between 10 and 15 and {c}.before rlike '[+]$') or "
-        f"({c}.k = {len(BASE) + 2} and {c}.m rlike '[.][A-Za-z]+$') or "
-        f"({c}.k = {len(BASE) + 3}) or ({c}.before rlike {_quoted(ASSIGNED)} and not {c}.after rlike '^[A-Za-z0-9]')"
+    """Label by rule: what the candidate holds passes a base check once separators are unified, or a check of its own (IBAN), or
+    its form fits the word before it (phone, account), or it is the whole of what is assigned to a secret's name."""
+    number, contact, address, password, iban, short = (f"{c}.k = {len(BASE) + n}" for n in range(1, 7))
+    digits, whole = f"regexp_replace({c}.m, '[^0-9]', '')", f"not {c}.after rlike '^[A-Za-z0-9]'"
+    rules = (
+        f"{number} and length({digits}) between 14 and 19 and luhn_check({digits})",
+        f"{number} and length({digits}) between 10 and 15 and {c}.before rlike '[+]$'",
+        f"{number} and length({digits}) between 7 and 15 and {c}.before rlike {_quoted(PHONE_CUE)} and {whole}",
+        f"{number} and length({digits}) between 8 and 17 and {c}.before rlike {_quoted(ID_CUE)} and {whole}",
+        f"{contact} and {c}.m rlike '[.][A-Za-z]+$'",
+        address,
+        # A word alone, as in "key: remember", is none; a short address has a digit, unlike a name with '::'.
+        f"{password} and {c}.m rlike '[0-9]' and {c}.m rlike '[^0-9.()]'",
+        f"{short} and {c}.m rlike '[0-9]'",
+        re.sub(r"\bm\b", f"{c}.m", _IBAN) + f" and ({iban} or {c}.k = {len(BASE)})",
+        f"{c}.k < {len(BASE) + 4} and {c}.before rlike {_quoted(ASSIGNED)} and {whole}",
     )
+    return " or ".join(f"({r})" for r in rules)
 
 
 def tree_sql(debug: str, names: list[str]) -> str:

@@ -122,6 +122,40 @@ def test_model_of_right_ones_only(spark):
     assert [r[0] for r in spans] == ["address:3:42"]
 
 
+def iban(i):
+    body = f"WEST{10**13 + i * 7919}"
+    check = 98 - int("".join(str(int(x, 36)) for x in body + "GB00")) % 97
+    plain = f"GB{check:02}{body}"
+    return " ".join(plain[k : k + 4] for k in range(0, len(plain), 4))
+
+
+def test_planted_kinds_among_look_alikes(spark):
+    secret = lambda i: hashlib.sha256(str(i).encode()).hexdigest()[:32]
+    wrong = lambda x: x[:2] + f"{(int(x[2:4]) + 1) % 100:02}" + x[4:]
+    phone, ssn = (lambda i: f"020 {7000 + i} {1000 + 3 * i}"), (lambda i: f"{100 + i}-{10 + i % 80}-{2000 + i}")
+    # The right one's words and value, the look-alike's, and the generator.
+    kinds = (
+        ("please call ", phone, "order of ", phone, "number"),
+        ("his SSN: ", ssn, "part no. ", ssn, "number"),
+        ("pay to ", iban, "pay to ", lambda i: wrong(iban(i)), "iban"),
+        ("pay to ", lambda i: iban(i).replace(" ", ""), "pay to ", lambda i: wrong(iban(i)).replace(" ", ""), "secret"),
+        ("Authorization: Bearer ", secret, "the commit ", secret, "secret"),
+        ("password: ", lambda i: f"hx!{secret(i)[:4]}9", "password: ", lambda i: "required" if i % 2 else "optional", "password"),
+        ("host ", lambda i: f"2001:db8::{i + 1:x}", "call ", lambda i: f"Abe::{'Ada' if i % 2 else 'face'}", "short_address"),
+    )
+    rows, want = [], {}
+    for k, (before, value, before_wrong, value_wrong, kind) in enumerate(kinds):
+        for i in range(80):
+            rows += [(1000 * k + 2 * i, f"{before}{value(i)} today"), (1000 * k + 2 * i + 1, f"{before_wrong}{value_wrong(i)} today")]
+            want[1000 * k + 2 * i] = f"{kind}:{len(before)}:{len(before) + len(value(i))}"
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r[0]: r[1].split(",") for r in pii.find(docs, model=pii.train(docs)).select("doc_id", pii.span_list("spans")).collect()}
+    generated = tuple(g.name for g in pii.GENERATORS)
+    missed = [(text, got[key]) for key, text in rows if key in want and want[key] not in got[key]]
+    wrongly = [(text, got[key]) for key, text in rows if key not in want and any(x.startswith(generated) for x in got[key])]
+    assert not missed and len(wrongly) <= 0.05 * len(want), (missed[:5], wrongly[:5])
+
+
 def test_thresholds_of_few_candidates():
     first, last = len(pii.BASE), len(pii.BASE) + len(pii.GENERATORS) - 1
     bins = [(first, 45, 1000, 1000.0), (first, 3, 1000, 10.0), (first + 1, 47, 2, 2.0), (first + 2, 46, 5, 1.0), (first + 2, 48, 2, 2.0)]
