@@ -1,9 +1,9 @@
 """License scans: MinHash bands over overlapping windows retrieve templates, exact containment verifies.
 
-Texts become lower-case runs of letters and digits, and these become hashes of five in a row.  Windows of a text are twice as
-long as the templates of their class and start every template length, so a quoted template lies whole in one window and
-the two have a Jaccard similarity of 0.36 or more at the containment asked for.  Signatures have ``BANDS`` bands of one row:
-the chance that no band agrees is (1 - 0.36) ** 32, below one in a million.  A candidate counts when the window holds at least
+Texts become lower-case runs of letters and digits, and these become hashes of five in a row.  A class holds the templates
+of up to 2^x shingles; its windows hold 2^(x+1) and start every 2^x, so a quoted template lies whole in one window.  The least
+Jaccard similarity of the two at the containment asked for follows from the sizes (``similarity``; 0.19 to 0.5).  Signatures have
+bands of one row, as many as a class needs for a chance below ``MISSED`` that no band agrees (``bands``).  A candidate counts when the window holds at least
 80 % of the template's shingles, exactly.  Windows that hold no shingle of any template can't and are not signed.
 
 All of it is array functions inside the document row: no shuffle, no user functions, no join.
@@ -14,6 +14,7 @@ rows; other columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections import defaultdict
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,8 +23,9 @@ from pyspark.sql import functions as F
 from linkweave.llm.common import fenced
 
 SHINGLE = 5
-BANDS = 32
 CONTAINMENT = 80
+#: Chance, at most, that a template in a window is not retrieved.
+MISSED = 1e-6
 
 #: Notices and openings of public licenses (fixed values).
 TEMPLATES = {
@@ -50,6 +52,21 @@ TEMPLATES = {
 }
 
 
+def step(n: int) -> int:
+    """Where windows start for a template of ``n`` shingles: its class, half a window."""
+    return 1 << (n - 1).bit_length()
+
+
+def similarity(n: int) -> float:
+    """Least Jaccard similarity of a template of ``n`` shingles and a window that holds enough of them."""
+    held = -(-n * CONTAINMENT // 100)
+    return held / (n + 2 * step(n) - held)
+
+
+def bands(n: int) -> int:
+    return math.floor(math.log(MISSED) / math.log1p(-similarity(n))) + 1
+
+
 def _shingles(words: str) -> str:
     """SQL: hashes of five words in a row of an array column."""
     hashed = ", ".join(["w", *(f"get({words}, i + {k})" for k in range(1, SHINGLE))])
@@ -60,9 +77,9 @@ def _words(text: str) -> str:
     return f"filter(split(lower({text}), '[^a-z0-9]+'), w -> w != '')"
 
 
-def _signature(shingles: str) -> str:
-    """SQL: the smallest of the shingles' hashes under each of ``BANDS`` hash functions."""
-    return f"transform(sequence(1, {BANDS}), b -> array_min(transform({shingles}, h -> xxhash64(h, b))))"
+def _signature(shingles: str, count: int) -> str:
+    """SQL: the smallest of the shingles' hashes under each of ``count`` hash functions."""
+    return f"transform(sequence(1, {count}), b -> array_min(transform({shingles}, h -> xxhash64(h, b))))"
 
 
 def template_rows(spark: SparkSession, templates: dict[str, str] = TEMPLATES) -> list:
@@ -71,7 +88,9 @@ def template_rows(spark: SparkSession, templates: dict[str, str] = TEMPLATES) ->
     df = df.withColumn("shingles", F.expr(f"array_distinct({_shingles('_w')})"))
     if short := [r["name"] for r in df.filter("size(shingles) = 0").collect()]:
         raise ValueError(f"templates of fewer than {SHINGLE} words: {short}")
-    return df.withColumn("signature", F.expr(_signature("shingles"))).select("name", "shingles", "signature").collect()
+    sizes = [r["n"] for r in df.select(F.size("shingles").alias("n")).distinct().collect()]
+    count = max(map(bands, sizes), default=1)
+    return df.withColumn("signature", F.expr(_signature("shingles", count))).select("name", "shingles", "signature").collect()
 
 
 def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", templates: dict[str, str] = TEMPLATES) -> DataFrame:
@@ -81,7 +100,7 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", templates: di
     every = longs(sorted({h for r in rows for h in r["shingles"]}))
     classes = defaultdict(list)
     for r in rows:
-        classes[1 << (len(r["shingles"]) - 1).bit_length()].append(r)
+        classes[step(len(r["shingles"]))].append(r)
     found = (
         docs.select(F.col(key).alias("_key"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
         .withColumn("_words", F.expr(_words("_text")))
@@ -91,13 +110,14 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", templates: di
     )
     parts = []
     for size, group in sorted(classes.items()):
-        told = "array(" + ", ".join(f"named_struct('name', '{r['name']}', 'shingles', {longs(r['shingles'])}, 'signature', {longs(r['signature'])})" for r in group) + ")"
+        count = max(bands(len(r["shingles"])) for r in group)
+        told = "array(" + ", ".join(f"named_struct('name', '{r['name']}', 'shingles', {longs(r['shingles'])}, 'signature', {longs(r['signature'][:count])})" for r in group) + ")"
         windows, signed, out = f"_w{size}", f"_v{size}", f"_m{size}"
         starts = f"sequence(0, greatest(size(_shingles) - 1, 0) div {size})"
         found = found.withColumn(
             windows,
             F.expr(f"filter(transform({starts}, i -> named_struct('word', i * {size}, 'held', array_distinct(slice(_shingles, i * {size} + 1, {2 * size})))), x -> arrays_overlap(x.held, {every}))"),
-        ).withColumn(signed, F.expr(f"transform({windows}, x -> named_struct('word', x.word, 'held', x.held, 'signature', {_signature('x.held')}))"))
+        ).withColumn(signed, F.expr(f"transform({windows}, x -> named_struct('word', x.word, 'held', x.held, 'signature', {_signature('x.held', count)}))"))
         agree = "exists(zip_with(x.signature, t.signature, (a, b) -> a = b), e -> e)"
         holds = f"size(array_intersect(t.shingles, x.held)) * 100 >= size(t.shingles) * {CONTAINMENT}"
         found = found.withColumn(

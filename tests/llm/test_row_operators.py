@@ -205,6 +205,23 @@ def test_licenses(spark, sf_dir):
         assert {n for n, t in licenses.TEMPLATES.items() if " ".join(re.findall("[a-z0-9]+", t.lower())) in " ".join(re.findall("[a-z0-9]+", (text or "").lower()))} <= got[key]
 
 
+def test_license_bands_keep_the_stated_chance():
+    for n in [*range(1, 300), *(len(shingles(t)) for t in licenses.TEMPLATES.values())]:
+        window = 2
+        while window < 2 * n:
+            window *= 2
+        # A full window with just enough of the template, the rest other text.
+        template, held = set(range(n)), set(range(-(-n * licenses.CONTAINMENT // 100)))
+        text = held | set(range(n, n + window - len(held)))
+        assert len(text) == window
+        assert (1 - len(template & text) / len(template | text)) ** licenses.bands(n) < 1e-6
+
+
+def test_license_signatures_are_as_long_as_their_bands(spark):
+    for r in licenses.template_rows(spark):
+        assert len(r["signature"]) >= licenses.bands(len(r["shingles"]))
+
+
 def test_licenses_reject_short_templates(spark):
     with pytest.raises(ValueError):
         licenses.template_rows(spark, {"x": "too short"})
