@@ -14,14 +14,3 @@ def spark():
 
     s = local_session("4", shuffle_partitions=4, app="linkweave-tests")
     yield s
-
-
-def docs_df(spark, texts):
-    return spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
-
-
-def tokens_df(spark, token_lists, bigram_lists=None):
-    """Per-document table as the word network expects it."""
-    bigram_lists = bigram_lists or [[] for _ in token_lists]
-    rows = [(i, list(t), list(b)) for i, (t, b) in enumerate(zip(token_lists, bigram_lists))]
-    return spark.createDataFrame(rows, "doc_ord long, tokens array<string>, bigrams array<string>")

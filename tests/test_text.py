@@ -4,7 +4,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 import brute
-from conftest import docs_df
+from brute import docs_df
 from linkweave.functions.text import normalise_text
 from linkweave.operators.text import (
     content_words_long,

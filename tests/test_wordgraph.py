@@ -4,7 +4,7 @@ from collections import Counter
 import pytest
 
 import brute
-from conftest import tokens_df
+from brute import tokens_df
 from linkweave.operators import wordgraph as wg
 from linkweave.operators.ids import assign_ids, edges_with_ids, export_nodes
 
