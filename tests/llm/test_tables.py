@@ -142,11 +142,11 @@ def near_copies(seed, groups=6, each=25):
     return list(enumerate(rows))
 
 
-@pytest.mark.parametrize(("percent", "width", "small"), [(85, 4, 12), (80, 5, 4)])
-def test_jaccard_components(spark, sf_dir, odd_docs, percent, width, small, monkeypatch):
-    monkeypatch.setattr(jaccard, "SMALL", small)
-    inputs = [near_copies(percent + small, 4, 14)]
-    if small == 12:
+@pytest.mark.parametrize(("percent", "width", "few"), [(85, 4, 16), (80, 5, 4)])
+def test_jaccard_components(spark, sf_dir, odd_docs, percent, width, few, monkeypatch):
+    monkeypatch.setattr(jaccard, "FEW", few)
+    inputs = [near_copies(percent + few, 4, 14)]
+    if few == 16:
         inputs += [[(r["doc_id"], r["text"]) for r in odd_docs.collect()], [(r["doc_id"], r["text"]) for r in table(spark, sf_dir, "documents").collect()]]
     for rows in inputs:
         docs = spark.createDataFrame(rows, "doc_id long, text string")
