@@ -1,11 +1,7 @@
-"""Communities C1-C7.
+"""Communities C1 and C3-C7 (C2: :mod:`linkweave.operators.agglomerate`).
 
 Graphs are ``nodes(Id)`` and ``edges(Source, Target, Weight)``; a partition is
-``(Id, community)``.  C1/C3-C7 are aggregates and joins.  C2, greedy
-modularity agglomeration, runs as rounds of DataFrame operations on the
-community graph (not on the nodes), with the lineage cut by ``checkpoint()``
-into the session's checkpoint folder each round; the driver receives one
-number per round.
+``(Id, community)``.  All are aggregates and joins.
 """
 
 from __future__ import annotations
@@ -14,11 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from linkweave.functions.fixed import DEFAULT_TOP_COMMUNITIES, DEFAULT_TOP_NODES
-from linkweave.session import ensure_checkpoint_dir, materialize
-
-import os
-
-_VERBOSE = bool(os.environ.get("LINKWEAVE_VERBOSE"))
+from linkweave.operators.agglomerate import greedy_communities  # noqa: F401  (C2)
 
 
 def as_simple_graph(
@@ -114,147 +106,3 @@ def top_nodes(metrics: DataFrame, top: DataFrame, k: int = DEFAULT_TOP_NODES) ->
     return ranked.join(F.broadcast(top.select("modularity_class")), "modularity_class").select(
         "modularity_class", F.col("node_rank").cast("long"), "Id", "Label", "degree"
     )
-
-
-# -- C2: greedy modularity ----------------------------------------------------
-
-def greedy_communities(
-    nodes: DataFrame,
-    edges: DataFrame,
-    mode: str = "parallel",
-    max_rounds: int | None = None,
-    absorb: bool = True,
-    small_every: int = 4,
-) -> DataFrame:
-    """Agglomerative greedy modularity on the unweighted simple graph.
-
-    Start from singletons; the gain of joining communities i and j is
-    ``w_ij/m - 2 a_i a_j`` (``w_ij`` edges between them, ``a`` = degree share
-    ``d/2m``).  ``exact`` merges the single best pair per round and stops when
-    the best gain is negative.  ``parallel`` merges every mutually-best pair
-    per round (best by one total order: gain, then smaller ids); disjoint
-    merges' gains add up, so modularity never falls; stops when no pair has a
-    positive gain.  Gains are compared rounded to 12 digits.
-
-    With ``absorb`` (parallel mode), communities whose best partner is the
-    same stationary community ``h`` also join ``h`` in the same round when a
-    lower bound of the joint gain is positive:
-    ``sum g - (sum a)^2 + sum a^2 > 0`` over the joining set (the exact joint
-    gain adds non-negative edge terms and ``2 a_i a_j`` is at most the bound).
-    It is one aggregate per ``h``, so a hub with a third of all nodes costs no
-    more than a small one, and a star is absorbed in one round instead of one
-    leaf per round.  Modularity still never falls.
-
-    Returns ``(Id, community)``, communities renumbered 0.. by size (largest
-    first, ties by smallest member Id).
-    """
-    spark = edges.sparkSession
-    ensure_checkpoint_dir(spark)
-    e = edges.select("u", "v")
-    ids = nodes.select("Id").distinct()
-    # State lives on communities: label map (c -> current label) is only
-    # composed per round on the merged labels; nodes are relabelled once.
-    m = e.count()
-    if m == 0:
-        return _renumber(ids.select("Id", F.col("Id").alias("c")))
-    ends = e.select(F.explode(F.array("u", "v")).alias("Id")).groupBy("Id").agg(F.count(F.lit(1)).alias("d"))
-    deg = materialize(ids.join(ends, "Id", "left").select(F.col("Id").alias("c"), F.coalesce("d", F.lit(0)).cast("double").alias("d")), "deg")
-    cedges = materialize(
-        e.filter(F.col("u") != F.col("v"))
-        .groupBy(F.least("u", "v").alias("c1"), F.greatest("u", "v").alias("c2"))
-        .agg(F.count(F.lit(1)).cast("double").alias("w")),
-        "cedges",
-    )
-    labels = None  # (c, to): every merged label and the label it ends in
-    rounds = 0
-    while max_rounds is None or rounds < max_rounds:
-        rounds += 1
-        d1 = deg.select(F.col("c").alias("c1"), F.col("d").alias("d1"))
-        d2 = deg.select(F.col("c").alias("c2"), F.col("d").alias("d2"))
-        gains = materialize(cedges.join(d1, "c1").join(d2, "c2").select(
-            "c1", "c2",
-            F.round(F.col("w") / F.lit(float(m)) - F.col("d1") * F.col("d2") / F.lit(2.0 * m * m), 12).alias("g"),
-        ), "gains")
-        key = F.struct(F.col("g"), (-F.col("c1")).alias("n1"), (-F.col("c2")).alias("n2"))
-        if mode == "exact":
-            best = gains.select(F.max(key).alias("k")).select("k.g", (-F.col("k.n1")).alias("c1"), (-F.col("k.n2")).alias("c2"))
-            merges = best.filter(F.col("g") >= 0).select(F.col("c2").alias("c"), F.col("c1").alias("to"))
-        else:
-            pair_ends = gains.select(F.explode(F.array(F.col("c1"), F.col("c2"))).alias("c"), key.alias("k"))
-            best = materialize(pair_ends.groupBy("c").agg(F.max("k").alias("k")), "best")
-            b1 = best.select(F.col("c").alias("c1"), F.col("k").alias("k1"))
-            b2 = best.select(F.col("c").alias("c2"), F.col("k").alias("k2"))
-            mutual = (
-                gains.withColumn("k", key)
-                .join(b1, "c1")
-                .join(b2, "c2")
-                .filter((F.col("k") == F.col("k1")) & (F.col("k") == F.col("k2")) & (F.col("g") > 0))
-                .select("c1", "c2")
-            )
-            merges = mutual.select(F.col("c2").alias("c"), F.col("c1").alias("to"))
-            if absorb:
-                merges = merges.unionByName(_hub_absorptions(best, mutual, deg, m))
-        relabel = materialize(merges, "merges")
-        n = relabel.count()
-        if _VERBOSE:
-            print(f"greedy round {rounds}: {n} merges", flush=True)
-        if n == 0:
-            break
-        if labels is None:
-            labels = relabel
-        else:
-            # Labels that pointed at a label merged this round follow it.
-            labels = labels.join(relabel.select(F.col("c").alias("to"), F.col("to").alias("_to2")), "to", "left").select(
-                "c", F.coalesce("_to2", "to").alias("to")
-            ).unionByName(relabel)
-        deg = deg.join(relabel, "c", "left").groupBy(F.coalesce("to", "c").alias("c")).agg(F.sum("d").alias("d"))
-        r1 = relabel.select(F.col("c").alias("c1"), F.col("to").alias("t1"))
-        r2 = relabel.select(F.col("c").alias("c2"), F.col("to").alias("t2"))
-        moved = cedges.join(r1, "c1", "left").join(r2, "c2", "left").select(
-            F.coalesce("t1", "c1").alias("x"), F.coalesce("t2", "c2").alias("y"), "w"
-        )
-        cedges = moved.filter(F.col("x") != F.col("y")).groupBy(
-            F.least("x", "y").alias("c1"), F.greatest("x", "y").alias("c2")
-        ).agg(F.sum("w").alias("w"))
-        # The community edge table is written every round (it is the large
-        # one, read by the next round's joins).  The degree and label tables
-        # grow their lineage by one small join per round, so they are written
-        # every few rounds only.
-        cedges = materialize(cedges, "cedges")
-        if rounds % small_every == 0:
-            deg, labels = materialize(deg, "deg"), materialize(labels, "labels")
-    assign = ids.select("Id", F.col("Id").alias("c"))
-    if labels is not None:
-        assign = assign.join(labels, assign["c"] == labels["c"], "left").select(
-            "Id", F.coalesce(labels["to"], assign["c"]).alias("c")
-        )
-    return _renumber(assign)
-
-
-def _hub_absorptions(best: DataFrame, mutual: DataFrame, deg: DataFrame, m: int) -> DataFrame:
-    """Movers ``(c, to)``: communities joining their best partner ``to`` (not
-    in a mutual pair, not itself a target) where the joint gain bound holds."""
-    part = best.select(
-        "c",
-        F.col("k.g").alias("g"),
-        F.when(-F.col("k.n1") == F.col("c"), -F.col("k.n2")).otherwise(-F.col("k.n1")).alias("to"),
-    ).filter(F.col("g") > 0)
-    in_mutual = mutual.select(F.explode(F.array("c1", "c2")).alias("c"))
-    cand = part.join(in_mutual, "c", "left_anti").join(in_mutual.withColumnRenamed("c", "to"), "to", "left_anti")
-    hubs = cand.select(F.col("to").alias("c")).distinct()
-    movers = cand.join(hubs, "c", "left_anti").join(deg.select("c", (F.col("d") / F.lit(2.0 * m)).alias("a")), "c")
-    ok = (
-        movers.groupBy("to")
-        .agg(F.sum("g").alias("sg"), F.sum("a").alias("sa"), F.sum(F.col("a") * F.col("a")).alias("sa2"))
-        .filter(F.col("sg") - F.col("sa") * F.col("sa") + F.col("sa2") > 0)
-        .select("to")
-    )
-    return movers.join(ok, "to", "left_semi").select("c", "to")
-
-
-def _renumber(assign: DataFrame) -> DataFrame:
-    from linkweave.operators.ids import assign_ids
-
-    sizes = assign.groupBy("c").agg((-F.count(F.lit(1))).alias("_negn"), F.min("Id").alias("_m"))
-    ranked = assign_ids(sizes, ["_negn", "_m"], id_col="_rank").select("c", (F.col("_rank") - 1).alias("community"))
-    return assign.join(ranked, "c").select("Id", "community")

@@ -1,11 +1,10 @@
 """Node numbering (I1) and edges by id.
 
 Ids are 1..n in a given order, computed without a single-partition window:
-range-partition and sort by the order columns, write that once as a
-checkpoint (so that the partition contents are fixed even if an executor is
-lost and a stage re-runs), count rows per partition, turn the counts into
-offsets (one row per partition), and add each row's position inside its
-partition.
+range-partition and sort by the order columns, and write that once with each
+row's partition number and place as columns (so that both stay what they are,
+whatever is read again later); the rows before a partition follow from the
+written table (one row per partition).
 """
 
 from __future__ import annotations
@@ -16,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from linkweave.functions.fixed import TYPE_DIRECTED, TYPE_UNDIRECTED
-from linkweave.session import ensure_checkpoint_dir
+from linkweave.session import materialize
 
 
 def assign_ids(
@@ -26,22 +25,21 @@ def assign_ids(
     num_partitions: int | None = None,
 ) -> DataFrame:
     """``df`` plus ``id_col`` = 1..n by ``order_cols`` (which should be unique)."""
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     # Without an explicit count the range exchange is sized by AQE to the data
     # (coalesced when small), so a small table is not spread over hundreds of
     # tasks and a large one still gets the session's full parallelism.
     ranged = df.repartitionByRange(num_partitions, *order_cols) if num_partitions else df.repartitionByRange(*order_cols)
-    ordered = ranged.sortWithinPartitions(*order_cols).checkpoint(eager=True)
-    tagged = ordered.withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id())
-    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_m0"))
+    pid = F.spark_partition_id()
+    place = F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)
+    placed = materialize(ranged.sortWithinPartitions(*order_cols).withColumns({"_pid": pid, "_place": place}), "placed")
+    counts = placed.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
     # One row per partition: a window over it is bounded by the partition count.
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", "_m0", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
+    offsets = counts.select("_pid", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
     return (
-        tagged.join(F.broadcast(offsets), "_pid")
-        .withColumn(id_col, (F.col("_off") + F.col("_mid") - F.col("_m0") + 1).cast("long"))
-        .drop("_pid", "_mid", "_m0", "_off")
+        placed.join(F.broadcast(offsets), "_pid")
+        .withColumn(id_col, (F.col("_off") + F.col("_place") + 1).cast("long"))
+        .drop("_pid", "_place", "_off")
     )
 
 

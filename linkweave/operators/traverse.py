@@ -5,23 +5,71 @@ Level by level: the links of the frontier, kept if the target has content
 per target with its smallest parent position, then ranked by
 ``(parent position, url)``.  That is the order a FIFO queue visits them when a
 page's links are taken in url order.  With ``max_articles`` the level is cut
-at the remaining quota (a top-k, not a sort of everything).  Each level is
-written as a table in the shared checkpoint folder, so the plan does not grow
-with the depth and a lost executor does not lose the visited set; the driver
-gets one count per level.  Links to pages without content are dropped once,
-before the first level, and the rest is hash-partitioned by source once, so
-each level shuffles only its frontier.
+at the remaining quota (a top-k, not a sort of everything).  Without a limit
+and with ``order=False`` nothing is ranked.  Each level is written as a table
+in the shared checkpoint folder, so the plan does not grow with the depth and
+a lost executor does not lose the visited set; the driver gets one count per
+level.
+
+Links to pages without content are dropped once, before the first level, and
+the rest is written once, bucketed by (source, part).  A page has one part for
+each ``links_per_part`` of its links, so a hub's links spread over as many
+buckets as they need and all other pages have one; a row of the frontier is
+repeated once per part of its own page.  A level's join reads the buckets where
+they are and shuffles only its frontier.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkweave.functions.fixed import DEFAULT_MAX_ARTICLES, DEFAULT_MAX_DEPTH
 from linkweave.operators.ids import assign_ids
-from linkweave.session import ensure_checkpoint_dir, materialize
+from linkweave.session import discard, ensure_checkpoint_dir, materialize, scratch_path
+
+#: Links of one page that stay together.
+LINKS_PER_PART = 100_000
+
+
+class Adjacency:
+    """Links ``(source, _part, target)`` in a bucketed table, and the parts of pages that have several (``hubs``)."""
+
+    def __init__(self, links: DataFrame, links_per_part: int = LINKS_PER_PART):
+        self.spark: SparkSession = links.sparkSession
+        written = materialize(links.select("source", "target"), "usable_links")
+        degrees = written.groupBy("source").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > links_per_part)
+        # At most one hub for every ``links_per_part`` links; Spark broadcasts the written table only if it is small.
+        self.hubs = materialize(degrees.select("source", F.ceil(F.col("n") / links_per_part).alias("parts")), "hubs")
+        parts = F.coalesce("parts", F.lit(1).cast("long"))
+        placed = written.join(self.hubs, "source", "left").select(
+            "source", F.pmod(F.xxhash64("target"), parts).cast("int").alias("_part"), "target"
+        )
+        buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        self.name = f"linkweave_links_{uuid.uuid4().hex}"
+        self.path = scratch_path(self.spark, f"tables/{self.name}")
+        (
+            placed.repartition(buckets, "source", "_part")
+            .write.bucketBy(buckets, "source", "_part")
+            .sortBy("source", "_part")
+            .option("path", self.path)
+            .saveAsTable(self.name)
+        )
+        self.table = self.spark.table(self.name)
+        self.table.written_path = self.path
+        discard(written)
+
+    def of(self, frontier: DataFrame) -> DataFrame:
+        """``(target, *columns)`` for every link of the pages in ``frontier(source, *columns)``."""
+        last = (F.coalesce("parts", F.lit(1).cast("long")) - 1).cast("int")
+        rows = frontier.join(self.hubs, "source", "left").withColumn("_part", F.explode(F.sequence(F.lit(0), last)))
+        return rows.join(self.table, ["source", "_part"]).drop("source", "_part", "parts")
+
+    def drop(self) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+        discard(self.table, self.hubs)
 
 
 def traverse(
@@ -30,41 +78,29 @@ def traverse(
     seed: str,
     max_depth: int | None = DEFAULT_MAX_DEPTH,
     max_articles: int | None = DEFAULT_MAX_ARTICLES,
-    salt_buckets: int = 8,
+    links_per_part: int = LINKS_PER_PART,
+    order: bool = True,
 ) -> DataFrame:
     """``(url, depth, ord)`` of the visited pages; ``ord`` 0-based visit order.
 
     ``links(source, target)``; ``available(url)`` are pages with content.
     Unavailable pages are neither visited nor counted; ``None`` means no limit.
+    ``order=False`` leaves ``ord`` null where no ``max_articles`` needs it.
     """
     spark = links.sparkSession
     ensure_checkpoint_dir(spark)
-    n_part = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # Only links to pages with content matter: filter them once (not per
-    # level), write the result once, then hash-partition it by source and keep
-    # it cached.  A cached table reports its partitioning, so each level's join
-    # shuffles only the frontier; a lost cached block is recomputed from the
-    # written table, deterministically.
     avail = available.select("url").distinct()
-    usable = materialize(
-        links.select("source", "target").join(avail.withColumnRenamed("url", "target"), "target", "left_semi"),
-        "usable_links",
-    )
-    # Salt: a hub page's links are spread over ``salt_buckets`` partitions by
-    # a hash of the target; each frontier row is repeated once per bucket, so
-    # the join still pairs it with every link of its page.
-    salted = usable.withColumn("_salt", F.pmod(F.xxhash64("target"), F.lit(salt_buckets)))
-    edges = _partitioned_cache(salted, n_part, ["source", "_salt"])
     seed_df = spark.createDataFrame([(seed,)], "url string").join(avail, "url", "left_semi")
     empty = spark.createDataFrame([], "url string, depth int, ord long")
     if max_articles is not None and max_articles <= 0:
-        edges.unpersist()
         return empty
-    level = materialize(seed_df.select("url", F.lit(0).alias("depth"), F.lit(0).cast("long").alias("ord")), "level")
+    ranked = order or max_articles is not None
+    level = materialize(seed_df.select("url", F.lit(0).alias("depth"), F.lit(0 if ranked else None).cast("long").alias("ord")), "level")
     n = level.count()
     if n == 0:
-        edges.unpersist()
         return empty
+    usable = links.join(avail.withColumnRenamed("url", "target"), "target", "left_semi")
+    adjacency = Adjacency(usable, links_per_part)
     levels = [level]
     visited_count = n
     depth = 0
@@ -74,60 +110,35 @@ def traverse(
         seen = levels[0].select("url")
         for lv in levels[1:]:
             seen = seen.unionByName(lv.select("url"))
-        front = level.select(F.col("url").alias("source"), F.col("ord").alias("parent_ord")).withColumn(
-            "_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1)).cast("array<bigint>"))
-        )
+        front = level.select(F.col("url").alias("source"), F.col("ord").alias("parent_ord"))
         cand = (
-            front.join(edges, ["source", "_salt"])
-            .select(F.col("target").alias("url"), "parent_ord")
-            .join(seen, "url", "left_anti")
+            adjacency.of(front)
+            .withColumnRenamed("target", "url")
             .groupBy("url")
             .agg(F.min("parent_ord").alias("parent_ord"))
+            .join(seen, "url", "left_anti")
         )
         if max_articles is not None:
             cand = cand.orderBy("parent_ord", "url").limit(max_articles - visited_count)
-        ranked = assign_ids(cand, ["parent_ord", "url"], id_col="_r")
-        level = materialize(
-            ranked.select(
-                "url",
-                F.lit(depth + 1).alias("depth"),
-                (F.col("_r") - 1 + F.lit(visited_count)).cast("long").alias("ord"),
-            ),
-            "level",
-        )
+        if ranked:
+            place = (F.col("_r") - 1 + F.lit(visited_count)).cast("long")
+            cand = assign_ids(cand, ["parent_ord", "url"], id_col="_r")
+        else:
+            place = F.lit(None).cast("long")
+        level = materialize(cand.select("url", F.lit(depth + 1).alias("depth"), place.alias("ord")), "level")
         n = level.count()
         if n == 0:
             break
         levels.append(level)
         visited_count += n
         depth += 1
-    edges.unpersist()
+    adjacency.drop()
     out = levels[0]
     for lv in levels[1:]:
         out = out.unionByName(lv)
     return out
 
 
-def _partitioned_cache(df: DataFrame, n: int, key) -> DataFrame:
-    """``df`` hash-partitioned by ``key`` and cached, with the partitioning
-    visible to later joins (AQE may otherwise re-plan a cached plan's output
-    partitioning, which hides it)."""
-    spark = df.sparkSession
-    conf = "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning"
-    before = spark.conf.get(conf, None)
-    spark.conf.set(conf, "false")
-    try:
-        keys = [key] if isinstance(key, str) else list(key)
-        out = df.repartition(n, *keys).persist(StorageLevel.MEMORY_AND_DISK)
-        out.count()
-    finally:
-        if before is None:
-            spark.conf.unset(conf)
-        else:
-            spark.conf.set(conf, before)
-    return out
-
-
 def visited_list(visited: DataFrame) -> DataFrame:
     """S7 content: visited URLs sorted ascending (code point order)."""
     return visited.select("url").orderBy("url")

@@ -14,7 +14,7 @@ joins the large tables only with sides whose size is bounded by ``top_n``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from linkweave.functions.fixed import (
@@ -31,6 +31,9 @@ from linkweave.functions.fixed import (
     TYPE_COOCCURS,
     TYPE_UNDIRECTED,
 )
+from linkweave.operators.ids import assign_ids, edges_with_ids
+from linkweave.operators.percentile import exact_percentile, interpolated, order_statistics, percentile_ranks
+from linkweave.session import materialize
 
 # Top bigram tables up to this many rows are broadcast (their size is bounded
 # by the top_n parameter, not by the data).
@@ -261,16 +264,25 @@ def prune_edges(
     min_weight: int = DEFAULT_MIN_EDGE_WEIGHT,
 ) -> DataFrame:
     """Drop edges lighter than the linear-interpolated ``percentile`` of all
-    edge weights, or lighter than ``min_weight``.  The threshold is an exact
-    ``percentile`` aggregate (a value -> count map, partial per task), used as a
-    scalar subquery."""
-    threshold = edges.select(F.percentile(F.col("Weight").cast("double"), F.lit(percentile / 100.0)).alias("t")).scalar()
-    return edges.filter((F.col("Weight") >= threshold) & (F.col("Weight") >= F.lit(min_weight)))
+    edge weights, or lighter than ``min_weight``.  ``edges`` is read once per pass
+    of the selection and once to filter: pass a written table."""
+    threshold = exact_percentile(edges, "Weight", percentile)
+    return edges.filter((F.col("Weight") >= F.lit(threshold)) & (F.col("Weight") >= F.lit(min_weight)))
 
 
 def edge_threshold(edges: DataFrame, percentile: float = DEFAULT_EDGE_PRUNE_PERCENTILE) -> DataFrame:
     """The G9 threshold as a one-row table ``(threshold)``."""
-    return edges.select(F.percentile(F.col("Weight").cast("double"), F.lit(percentile / 100.0)).alias("threshold"))
+    return _one_number(edges, exact_percentile(edges, "Weight", percentile))
+
+
+def node_threshold(nodes: DataFrame, percentile: float = DEFAULT_NODE_PRUNE_PERCENTILE) -> DataFrame:
+    """The G10 threshold as a one-row table ``(threshold)``."""
+    words = nodes.filter(F.col("Group") == F.lit(GROUP_WORD))
+    return _one_number(nodes, exact_percentile(words, "Attribute", percentile))
+
+
+def _one_number(df: DataFrame, value: float | None) -> DataFrame:
+    return df.sparkSession.createDataFrame([(value,)], "threshold double")
 
 
 def kept_nodes(
@@ -278,13 +290,9 @@ def kept_nodes(
     percentile: float = DEFAULT_NODE_PRUNE_PERCENTILE,
     min_freq: int = DEFAULT_MIN_NODE_FREQ,
 ) -> DataFrame:
-    """G10 on the node table alone (it does not depend on the edges)."""
+    """G10 on the node table alone (it does not depend on the edges); ``nodes`` is read like the edges of G9."""
     is_word = F.col("Group") == F.lit(GROUP_WORD)
-    threshold = (
-        nodes.filter(is_word)
-        .select(F.percentile(F.col("Attribute").cast("double"), F.lit(percentile / 100.0)).alias("t"))
-        .scalar()
-    )
+    threshold = F.lit(exact_percentile(nodes.filter(is_word), "Attribute", percentile))
     keep = (~is_word) | ((F.col("Attribute") >= threshold) & (F.col("Attribute") >= F.lit(min_freq)))
     return nodes.filter(keep)
 
@@ -316,8 +324,6 @@ def build_word_nodes(
 ) -> DataFrame:
     """The node table of G11 without computing any edge (G9 removes edges
     only, and G10 reads node attributes only)."""
-    from linkweave.session import materialize
-
     top_n = max(top_n_bigrams, 0)
     top = materialize(top_bigrams(doc_tokens, top_n), "top_bigrams")
     nodes = merge_nodes(word_frequencies(doc_tokens), top, top_n)
@@ -343,8 +349,6 @@ def build_word_graph(
     once to the shared checkpoint folder rather than recomputing the pair
     aggregation (a shuffle of ``window_size - 1`` rows per token) per reader."""
     words = word_frequencies(doc_tokens)
-    from linkweave.session import materialize
-
     top_n = max(top_n_bigrams, 0)
     top = top_bigrams(doc_tokens, top_n)
     if write_intermediate:
@@ -361,3 +365,73 @@ def build_word_graph(
         edges = prune_edges(edges, edge_prune_percentile, min_edge_weight)
         nodes, edges = prune_nodes(nodes, edges, node_prune_percentile, min_node_freq)
     return nodes, edges
+
+
+def word_key(word) -> Column:
+    """A 64-bit number that stands for a word (or bigram) where pairs are counted."""
+    return F.xxhash64(word)
+
+
+def build_word_network(
+    doc_tokens: DataFrame,
+    top_n_bigrams: int = DEFAULT_TOP_N_BIGRAMS,
+    window_size: int = DEFAULT_WINDOW_SIZE,
+    enable_pruning: bool = True,
+    edge_prune_percentile: float = DEFAULT_EDGE_PRUNE_PERCENTILE,
+    min_edge_weight: int = DEFAULT_MIN_EDGE_WEIGHT,
+    node_prune_percentile: float = DEFAULT_NODE_PRUNE_PERCENTILE,
+    min_node_freq: int = DEFAULT_MIN_NODE_FREQ,
+) -> tuple[DataFrame, DataFrame]:
+    """G11 with I1 and I2: nodes with ``Id``, and ``(Source, Target, Type, Weight)`` by id.
+
+    Pairs are counted, merged and pruned as two 64-bit word keys; strings come back with the ids of the kept nodes only,
+    and these two joins also drop the edges of removed nodes.  Keys are checked to be distinct over the whole vocabulary
+    (if two words ever shared one, the labelled graph is built instead).
+
+    Edges lighter than ``min_edge_weight`` go anyway: they are counted while the others are written, and the percentile is
+    selected from the written ones by the ranks left."""
+    top_n = max(top_n_bigrams, 0)
+    top = materialize(top_bigrams(doc_tokens, top_n), "top_bigrams")
+    merged = merge_nodes(word_frequencies(doc_tokens), top, top_n).withColumn("key", word_key("node"))
+    nodes = materialize(merged, "word_nodes")
+    kept = kept_nodes(nodes, node_prune_percentile, min_node_freq) if enable_pruning else nodes
+    ided = assign_ids(kept, ["k1", "k2", "k3"])
+    if nodes.count() != nodes.select("key").distinct().count():
+        edges = build_word_graph(
+            doc_tokens, top_n_bigrams, window_size, enable_pruning, edge_prune_percentile, min_edge_weight,
+            node_prune_percentile, min_node_freq,
+        )[1]
+        return ided, edges_with_ids(edges, ided, directed=False)
+
+    def by_key(edges: DataFrame) -> DataFrame:
+        a, b = word_key("a"), word_key("b")
+        return edges.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b"), "Type", "Weight")
+
+    keyed = doc_tokens.select(F.transform("tokens", word_key).alias("keys"))
+    overrides = [by_key(contains_edges(top, nodes, top_n)), by_key(bigram_edges(top))]
+    edges = merge_edges(word_edges(cooccurrence(keyed, window_size, "keys")), *overrides, top_n=top_n)
+    if enable_pruning:
+        edges = _heavy_edges(edges, edge_prune_percentile, min_edge_weight)
+    return ided, edges_with_ids(edges, ided, directed=False, label_col="key")
+
+
+def _heavy_edges(edges: DataFrame, percentile: float, min_weight: int) -> DataFrame:
+    """G9 in one pass over the merged edges and one over those of at least ``min_weight``."""
+    is_light = F.col("Weight") < F.lit(min_weight)
+    seen = Observation()
+    watched = edges.observe(
+        seen,
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(is_light).alias("light"),
+        F.max(F.when(is_light, F.col("Weight"))).alias("heaviest_light"),
+    )
+    heavy = materialize(watched.filter(~is_light), "word_edges")
+    n, light = seen.get["n"], seen.get["light"]
+    low, high, share = percentile_ranks(n, percentile)
+    if not n or high < light:
+        return heavy
+    ranks = [k - light for k in (low, high) if k >= light]
+    values = order_statistics(heavy, "Weight", ranks)
+    if low < light:
+        values.insert(0, seen.get["heaviest_light"])
+    return heavy.filter(F.col("Weight") >= F.lit(interpolated(*values, share)))

@@ -106,7 +106,7 @@ def build_networks(
     texts = extract_pages(vpages.select("url", "html")).select("url", "text").join(vpages.select("url", "ord"), "url")
     docs = texts.select(F.col("ord").alias("doc_id"), "text")
     tokens = materialize(text_pipeline(docs, stop_words=stop_words, lexicon=lexicon, entities=entities), "tokens")
-    nodes, edges = wg.build_word_graph(
+    wids, edges = wg.build_word_network(
         tokens,
         cfg.top_n_bigrams,
         cfg.window_size,
@@ -116,8 +116,7 @@ def build_networks(
         cfg.node_prune_percentile,
         cfg.min_node_freq,
     )
-    wids = assign_ids(nodes, ["k1", "k2", "k3"])
-    write_graph(export_nodes(wids), edges_with_ids(edges, wids, directed=False), f"{out_dir}/words/nodes", f"{out_dir}/words/edges")
+    write_graph(export_nodes(wids), edges, f"{out_dir}/words/nodes", f"{out_dir}/words/edges")
     vlinks = all_links.join(visited.select(F.col("url").alias("source"), F.col("ord").alias("src_ord")), "source")
     sources = None
     if cfg.enable_link_pruning:

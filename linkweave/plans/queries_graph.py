@@ -108,7 +108,7 @@ def _traversal_inputs(spark, sf_dir):
 
 def q_traversal_depth(spark, sf_dir):
     links, avail, seed = _traversal_inputs(spark, sf_dir)
-    return traverse(links, avail, seed, max_depth=100, max_articles=None).select("url", F.col("depth").cast("long"))
+    return traverse(links, avail, seed, max_depth=100, max_articles=None, order=False).select("url", F.col("depth").cast("long"))
 
 
 def q_traversal_order(spark, sf_dir):

@@ -89,22 +89,37 @@ def q_clean_labels(spark, sf_dir):
     return nodes.withColumn("Label", clean_label(F.col("Label"), url_root("Label"), MARKER))
 
 
-def q_greedy_communities(spark, sf_dir):
-    """C2 on the pruned link network (taken as undirected): ``(Id, community)``."""
+def _word_communities(spark, sf_dir):
+    """C1 and C2 of the pruned word network of ``documents``."""
+    from linkweave.plans.queries_text import word_graph
+
+    return _communities(*word_graph(spark, sf_dir))
+
+
+def _communities(nodes, edges):
     from linkweave.operators.community import as_simple_graph, greedy_communities
 
-    nodes, edges = link_graph(spark, sf_dir)
     n, e = as_simple_graph(nodes.select("Id"), edges, ["Source", "Target"])
-    return greedy_communities(n, e)
+    e = materialize(e, "simple")
+    return e, greedy_communities(n, e)
+
+
+def q_greedy_communities(spark, sf_dir):
+    """C2 on the pruned word network: ``(Id, community)``."""
+    return _word_communities(spark, sf_dir)[1]
 
 
 def q_greedy_modularity(spark, sf_dir):
-    """C3 of the C2 partition (unweighted graph, weighted score)."""
-    from linkweave.operators.community import as_simple_graph, greedy_communities, modularity
+    """C3 of the word network's communities (unweighted graph, weighted score)."""
+    from linkweave.operators.community import modularity
 
-    nodes, edges = link_graph(spark, sf_dir)
-    n, e = as_simple_graph(nodes.select("Id"), edges, ["Source", "Target"])
-    return modularity(e, greedy_communities(n, e), weight="w").select(F.round("modularity", 6).alias("modularity"))
+    e, parts = _word_communities(spark, sf_dir)
+    return modularity(e, parts, weight="w").select(F.round("modularity", 6).alias("modularity"))
+
+
+def q_link_communities(spark, sf_dir):
+    """C2 on the pruned link network (taken as undirected)."""
+    return _communities(*link_graph(spark, sf_dir))[1]
 
 
 def q_unprocessed_hosts(spark, sf_dir):
@@ -125,4 +140,5 @@ QUERIES = {
     "unprocessed_hosts": q_unprocessed_hosts,
     "greedy_communities": q_greedy_communities,
     "greedy_modularity": q_greedy_modularity,
+    "link_communities": q_link_communities,
 }

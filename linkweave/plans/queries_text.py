@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkweave.operators import wordgraph as wg
-from linkweave.operators.ids import assign_ids, edges_with_ids, export_nodes
+from linkweave.operators.ids import assign_ids, export_nodes
 from linkweave.session import materialize
 from linkweave.sources.tables import read_table
 from linkweave.operators.text import (
@@ -83,15 +83,13 @@ def q_merged_edges(spark, sf_dir):
 
 
 def q_edge_threshold(spark, sf_dir):
-    return wg.edge_threshold(_merged_edges(spark, sf_dir)[1]).select(F.round("threshold", 6).alias("threshold"))
+    edges = materialize(_merged_edges(spark, sf_dir)[1], "word_edges")
+    return wg.edge_threshold(edges).select(F.round("threshold", 6).alias("threshold"))
 
 
 def q_node_threshold(spark, sf_dir):
-    nodes = _unpruned(spark, sf_dir)[2]
-    return (
-        nodes.filter(F.col("Group") == "word")
-        .select(F.round(F.percentile(F.col("Attribute").cast("double"), F.lit(0.15)), 6).alias("threshold"))
-    )
+    nodes = materialize(_unpruned(spark, sf_dir)[2], "word_nodes")
+    return wg.node_threshold(nodes).select(F.round("threshold", 6).alias("threshold"))
 
 
 def q_word_graph_unpruned_nodes(spark, sf_dir):
@@ -103,9 +101,8 @@ def word_graph(spark, sf_dir):
     # The per-document table feeds five branches (words, pairs, bigrams and
     # both thresholds): write it once instead of re-tokenising for each.
     tokens = materialize(_tokens(spark, sf_dir).select("doc_ord", "tokens", "bigrams", "word_stats"), "tokens")
-    nodes, edges = wg.build_word_graph(tokens)
-    ided = assign_ids(nodes, ["k1", "k2", "k3"])
-    return export_nodes(ided), edges_with_ids(edges, ided, directed=False)
+    nodes, edges = wg.build_word_network(tokens)
+    return export_nodes(nodes), edges
 
 
 def q_word_graph_nodes(spark, sf_dir):

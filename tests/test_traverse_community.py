@@ -1,12 +1,15 @@
+import math
 import random
-from collections import deque
+from collections import Counter, deque
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from linkweave.operators import community as cm
+from linkweave.operators.agglomerate import agglomerated
 from linkweave.operators.links import unprocessed_hosts
-from linkweave.operators.traverse import traverse
+from linkweave.operators.traverse import Adjacency, traverse
 
 
 def _graph(spark, adj):
@@ -58,6 +61,46 @@ def test_traversal_equals_queue(spark, seed):
     assert [(r.url, r.depth) for r in got] == want
 
 
+def test_a_page_with_a_third_of_all_links(spark):
+    rnd = random.Random(8)
+    names = [f"n{i:03d}" for i in range(120)]
+    adj = {n: rnd.sample(names, rnd.randint(0, 3)) for n in names}
+    adj["n000"] = names[1:101]
+    assert len(adj["n000"]) > sum(map(len, adj.values())) / 3
+    want = queue_model(adj, set(names), "n000", None, None)
+    got = traverse(_graph(spark, adj), _avail(spark, names), "n000", None, None, links_per_part=9)
+    assert [(r.url, r.depth) for r in got.orderBy("ord").collect()] == want
+    unranked = traverse(_graph(spark, adj), _avail(spark, names), "n000", None, None, links_per_part=9, order=False)
+    assert sorted((r.url, r.depth, r.ord) for r in unranked.collect()) == sorted((u, d, None) for u, d in want)
+
+
+def test_links_are_not_moved_again(spark):
+    adj = {f"n{i}": [f"n{(i * 7 + k) % 90}" for k in range(4)] for i in range(90)}
+    adj["n0"] = [f"n{i}" for i in range(1, 80)]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        links = Adjacency(_graph(spark, adj), links_per_part=10)
+        hubs = {r.source: r.parts for r in links.hubs.collect()}
+        assert hubs == {"n0": 8}
+        # The hub's links lie in several buckets, every other page's in one.
+        spread = links.table.groupBy("source").agg(F.countDistinct("_part").alias("n")).collect()
+        assert {r.source: r.n for r in spread if r.n > 1} == {"n0": 8}
+        front = spark.createDataFrame([("n0", 0), ("n3", 1)], "source string, ord int")
+        found = links.of(front)
+        assert sorted(r.target for r in found.collect()) == sorted(adj["n0"] + adj["n3"])
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        lines = plan[: plan.index(links.name)].splitlines()
+        # From the scan of the links up to the join: the last branch of the plan.
+        own = lines[max(k for k, x in enumerate(lines) if x.lstrip().startswith(":")) + 1 :]
+        assert any("SortMergeJoin" in x for x in lines) and "FileScan" in own[-1]
+        assert not any("Exchange" in x for x in own), plan
+        links.drop()
+        assert not spark.catalog.tableExists(links.name)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def _simple(spark, edges):
     e = spark.createDataFrame(edges, "Source long, Target long, Weight double")
     return cm.as_simple_graph(None, e, ["Source", "Target"])
@@ -103,6 +146,71 @@ def test_greedy_invariants(spark, seed):
     assert cm.modularity(e, parts).first()[0] >= cm.modularity(e, single).first()[0] - 1e-12
 
 
+def planted_graph(seed, groups, size, inside, outside):
+    rnd = random.Random(seed)
+    n = groups * size
+    edges = {(i, j) for i in range(n) for j in range(i + 1, n) if rnd.random() < (inside if i // size == j // size else outside)}
+    return sorted(edges)
+
+
+def test_contraction_comes_close_to_one_pair_at_a_time(spark, caplog):
+    n, e = _simple(spark, [(a, b, 1.0) for a, b in planted_graph(3, 20, 20, 0.3, 0.01)])
+    n, e = n.cache(), e.cache()
+    exact = cm.modularity(e, cm.greedy_communities(n, e)).first()[0]
+    with caplog.at_level("INFO", logger="linkweave.operators.agglomerate"):
+        parts = cm.greedy_communities(n, e, finish=100)
+    assert sum("active communities" in r.getMessage() for r in caplog.records) >= 3
+    assert parts.count() == n.count() == parts.select("Id").distinct().count()
+    assert cm.modularity(e, parts).first()[0] >= exact - 0.02
+
+
+def one_pair_at_a_time(edges, n):
+    """Plain greedy rule on sets of nodes."""
+    m, groups = len(edges), [{k} for k in range(n)]
+    degree = Counter(x for pair in edges for x in pair)
+    while True:
+        best = None
+        for i, a in enumerate(groups):
+            for j in range(i + 1, len(groups)):
+                w = sum((u in a and v in groups[j]) or (v in a and u in groups[j]) for u, v in edges)
+                gain = round(w - sum(degree[x] for x in a) * sum(degree[x] for x in groups[j]) / (2 * m), 9)
+                if w and gain > 0 and (best is None or gain > best[0]):
+                    best = gain, i, j
+        if best is None:
+            return {frozenset(g) for g in groups}
+        groups[best[1]] |= groups.pop(best[2])
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_finish_is_the_greedy_rule(seed):
+    edges = planted_graph(seed, 3, 7, 0.6, 0.1)
+    a, b = np.array(edges).T
+    to = agglomerated(a, b, np.ones(len(edges)), np.bincount(np.concatenate((a, b)), minlength=21), len(edges))
+    groups = {}
+    for k, t in enumerate(to):
+        groups.setdefault(t, set()).add(k)
+    assert {frozenset(g) for g in groups.values()} == one_pair_at_a_time(edges, 21)
+
+
+def test_rounds_grow_with_the_logarithm(spark, caplog):
+    """A hub with most of the nodes, and chains: a constant share of communities merges in every round."""
+    star = [(0, k) for k in range(1, 400)] + [(k, 1000 + k) for k in range(1, 60)]
+    chain = [(2000 + k, 2001 + k) for k in range(300)]
+    n, e = _simple(spark, [(a, b, 1.0) for a, b in star + chain])
+    with caplog.at_level("INFO", logger="linkweave.operators.agglomerate"):
+        parts = cm.greedy_communities(n, e, finish=40)
+    rounds = sum("active communities" in r.getMessage() for r in caplog.records)
+    assert 3 <= rounds <= 2 * math.log2(n.count())
+    assert parts.count() == n.count()
+    assert cm.modularity(e, parts).first()[0] > 0.4
+
+
+def test_no_merge_lowers_the_modularity(spark):
+    n, e = _simple(spark, [(a, b, 1.0) for a, b in planted_graph(4, 5, 12, 0.4, 0.05)])
+    scores = [cm.modularity(e, cm.greedy_communities(n, e, finish=0, max_rounds=k)).first()[0] for k in (1, 2, 3)]
+    assert scores == sorted(scores)
+
+
 def test_summary_of_metrics(spark):
     m = spark.createDataFrame([(1, "alpha", 5, 0), (2, "beta", 3, 0), (3, "gamma", 7, 1)], "Id long, Label string, degree long, modularity_class long")
     top = cm.top_communities(m, 2).orderBy("rank").collect()
