@@ -16,8 +16,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from linkweave.functions.fixed import (
     DEFAULT_MIN_TOKEN_LENGTH,
@@ -33,6 +35,7 @@ from linkweave.functions.text import (
     split_tokens,
     vocabulary_stages,
 )
+from linkweave.session import materialize
 
 def normalised_text(docs: DataFrame, text_col: str = "text", doc_col: str = "doc_id") -> DataFrame:
     """N1 over a table: ``(doc_col, text)`` with the normalised text."""
@@ -99,7 +102,7 @@ def append_entities(words: DataFrame, entities: DataFrame | None = None) -> Data
 
 def phrase_entities(
     docs: DataFrame,
-    phrases: Sequence[str],
+    phrases: DataFrame | Sequence[str],
     text_col: str = "text",
     doc_col: str = "doc_id",
     max_len: int | None = None,
@@ -108,43 +111,55 @@ def phrase_entities(
     normalised token stream, longest match first, left to right, no overlap.
 
     Stands in for the entity model; phrases are lower-case, single-space
-    separated.  Matching is in-row: n-grams of the document's tokens are tested
-    against the phrase set (a hash-set literal); a fold keeps the leftmost,
-    longest non-overlapping matches.  Returns ``(doc_ord, entities)``.
+    separated.  The list is a table of any size (its first column; a sequence
+    becomes one).  Each token meets the lengths of the phrases that start with
+    it, and only n-grams of these lengths meet the phrases; Spark broadcasts
+    either side only if it is small.  Matches are chosen in one scan per
+    document.  Returns ``(doc_ord, entities)``.
     """
-    phrase_set = sorted({" ".join(p.split()) for p in phrases if p and p.split()})
-    if not phrase_set:
-        return docs.select(F.col(doc_col).cast("long").alias("doc_ord"), F.array().cast("array<string>").alias("entities"))
-    lengths = sorted({len(p.split()) for p in phrase_set}, reverse=True)
-    if max_len is not None:
-        lengths = [n for n in lengths if n <= max_len]
     base = docs.select(F.col(doc_col).cast("long").alias("doc_ord"), split_tokens(normalise_text(text_col)).alias("_tok"))
-    tok = F.col("_tok")
-    size = F.size(tok)
-
-    def match_at(i):
-        # Longest phrase starting at i, as struct(len, text); len 0 = none.
-        best = F.struct(F.lit(0).alias("len"), F.lit(None).cast("string").alias("text"))
-        for n in reversed(lengths):  # shortest first, so longer ones override
-            gram = F.array_join(F.slice(tok, i + 1, n), " ")
-            best = F.when((i + n <= size) & gram.isin(phrase_set), F.struct(F.lit(n).alias("len"), gram.alias("text"))).otherwise(best)
-        return best
-
-    candidates = F.filter(
-        F.transform(F.sequence(F.lit(0), F.greatest(size - 1, F.lit(0))), lambda i: F.struct(i.alias("pos"), match_at(i).alias("m"))),
-        lambda x: (x["m"]["len"] > 0) & (size > 0),
+    nothing = F.array().cast("array<string>")
+    table = phrases if isinstance(phrases, DataFrame) else docs.sparkSession.createDataFrame([(p,) for p in phrases], "phrase string")
+    words = table.select(split_tokens(F.col(table.columns[0])).alias("w"))
+    listed = words.select(F.array_join("w", " ").alias("phrase"), F.try_element_at("w", F.lit(1)).alias("first"), F.size("w").alias("n"))
+    listed = listed.filter(F.col("first").isNotNull()).distinct()
+    listed = materialize(listed.filter(F.col("n") <= max_len) if max_len is not None else listed, "phrases")
+    longest = listed.agg(F.max("n")).first()[0]
+    if longest is None:
+        return base.select("doc_ord", nothing.alias("entities"))
+    starts = F.transform("_tok", lambda t, i: F.slice(F.col("_tok"), i + 1, longest))
+    places = base.select("doc_ord", F.posexplode_outer(starts).alias("pos", "ahead")).filter(F.col("ahead").isNotNull())
+    lengths = listed.groupBy("first").agg(F.collect_set("n").alias("lengths"))
+    grams = (
+        places.withColumn("first", F.col("ahead")[0])
+        .join(lengths, "first")
+        .select("doc_ord", "pos", "ahead", F.explode("lengths").alias("n"))
+        .select("doc_ord", "pos", "n", F.array_join(F.slice("ahead", 1, F.col("n")), " ").alias("phrase"))
     )
-    # Greedy left-to-right selection: state = (next free position, chosen texts).
-    chosen = F.aggregate(
-        F.col("_cand"),
-        F.struct(F.lit(0).alias("free"), F.array().cast("array<string>").alias("out")),
-        lambda acc, x: F.when(
-            x["pos"] >= acc["free"],
-            F.struct((x["pos"] + x["m"]["len"]).alias("free"), F.concat(acc["out"], F.array(x["m"]["text"])).alias("out")),
-        ).otherwise(acc),
-        lambda acc: acc["out"],
+    # A slice cut short by the text's end is no phrase of n words.
+    found = grams.join(listed.select("phrase", "n"), ["phrase", "n"], "left_semi")
+    best = found.groupBy("doc_ord", "pos").agg(F.max("n").alias("n"), F.max_by("phrase", "n").alias("phrase"))
+    per_doc = best.groupBy("doc_ord").agg(F.sort_array(F.collect_list(F.struct("pos", "n", "phrase"))).alias("_m"))
+    picked = leftmost_matches(F.transform("_m", lambda x: x["pos"]), F.transform("_m", lambda x: x["n"]))
+    chosen = per_doc.select("doc_ord", "_m", picked.alias("_i")).select(
+        "doc_ord", F.transform("_i", lambda i: F.col("_m")[i]["phrase"]).alias("entities")
     )
-    return base.select("doc_ord", candidates.alias("_cand")).select("doc_ord", chosen.alias("entities"))
+    return base.select("doc_ord").join(chosen, "doc_ord", "left").select("doc_ord", F.coalesce("entities", nothing).alias("entities"))
+
+
+@F.pandas_udf(T.ArrayType(T.IntegerType()))
+def leftmost_matches(places: pd.Series, lengths: pd.Series) -> pd.Series:
+    """Of one match per place (ascending), the numbers of those taken from left to right without overlap."""
+
+    def taken(row: tuple) -> list[int]:
+        out, free = [], 0
+        for k, (place, length) in enumerate(zip(*row)):
+            if place >= free:
+                out.append(k)
+                free = place + length
+        return out
+
+    return pd.Series([taken(row) for row in zip(places, lengths)])
 
 
 def document_vocabulary(tokens: DataFrame, k: int = DEFAULT_VOCABULARY_SIZE) -> DataFrame:
@@ -171,11 +186,21 @@ def text_pipeline(
     stop_words: Sequence[str] | None = None,
     lexicon=None,
     entities: DataFrame | None = None,
+    annotations: DataFrame | None = None,
     k: int = DEFAULT_VOCABULARY_SIZE,
 ) -> DataFrame:
-    """N1-N6 per document: ``(doc_ord, words, tokens, vocab, bigrams)``."""
-    words = document_words(docs, text_col, doc_col, stop_words, lexicon)
-    return document_vocabulary(append_entities(words, entities), k)
+    """N1-N6 per document: ``(doc_ord, words, tokens, vocab, bigrams)``.
+
+    With ``annotations`` (see :mod:`linkweave.operators.annotate`) lemmas, tags and entities come from that table; else
+    from ``lexicon`` and ``entities``."""
+    if annotations is not None:
+        from linkweave.operators.annotate import annotated_documents
+
+        found = annotated_documents(docs, annotations, text_col, doc_col, stop_words)
+        tokens = found.select("doc_ord", "words", F.concat("words", "entities").alias("tokens"))
+    else:
+        tokens = append_entities(document_words(docs, text_col, doc_col, stop_words, lexicon), entities)
+    return document_vocabulary(tokens, k)
 
 
 # -- long-format views -------------------------------------------------------

@@ -7,6 +7,8 @@ that holds a pair, not by the closed form used in Spark.
 
 from __future__ import annotations
 
+import re
+
 from linkweave.functions.fixed import (
     DEFAULT_EDGE_PRUNE_PERCENTILE,
     DEFAULT_MIN_EDGE_WEIGHT,
@@ -44,7 +46,12 @@ cw AS (
          CAST(row_number() OVER (PARTITION BY doc_id ORDER BY p) - 1 AS BIGINT) AS pos
   FROM tok
   WHERE t <> '' AND length(t) >= 3 AND t NOT IN ({drop})
-),
+),{count_ctes(window, top_n)}"""
+
+
+def count_ctes(window: int = DEFAULT_WINDOW_SIZE, top_n: int = DEFAULT_TOP_N_BIGRAMS) -> str:
+    """What is counted over the tokens ``cw``."""
+    return f"""
 cnt AS (SELECT doc_id, word, count(*) AS n, min(pos) AS first FROM cw GROUP BY doc_id, word),
 top100 AS (
   SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, first) AS r0 FROM cnt
@@ -155,9 +162,51 @@ SELECT c.doc_id, CAST(coalesce(nw.n, 0) + c.k - 1 AS BIGINT) AS pos, c.g AS enti
 FROM chosen c LEFT JOIN nw USING (doc_id)"""
 
 
+def entity_graph_sql(body: str) -> str:
+    """The graph of words and entities: the counts once more, over words followed by entities."""
+    entities = ENTITY_BODY.lstrip(",").replace("\nSELECT c.doc_id,", ",\nents AS (SELECT c.doc_id,") + ")"
+    tokens = "cwe AS (SELECT doc_id, word, pos FROM cw UNION ALL SELECT doc_id, entity, pos FROM ents)"
+    again = count_ctes() + "," + graph_ctes()
+    for name in ("cw", "cnt", "top100", "voc", "big0", "big", "g1", "lens", "cwn", "pairwin", "cooc", "bc", "topb"):
+        again = re.sub(rf"\b{name}\b", f"{name}e", again)
+    return f"WITH {text_ctes()},{entities},\n{tokens},{again}\n{body}"
+
+
+def annotated_words_sql() -> str:
+    verbs = ", ".join(f"('{s}', '{x}')" for s, x, _ in default_lexicon())
+    return f"""WITH {text_ctes()},
+lex AS (SELECT surface, min(verb) AS verb FROM (VALUES {verbs}) AS v(surface, verb) GROUP BY surface),
+alltok AS (SELECT doc_id, t, row_number() OVER (PARTITION BY doc_id ORDER BY p) - 1 AS i FROM tok WHERE t <> ''),
+lemmas AS (
+  SELECT doc_id, i, CASE WHEN length(t) >= 6 AND t LIKE '%s' THEN t[:-2] ELSE t END AS word
+  FROM alltok WHERE length(t) >= 3 AND t NOT IN (SELECT surface FROM lex) AND t NOT IN ({_quote_list(default_stop_words())})
+),
+words AS (SELECT doc_id, word, row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS pos FROM lemmas),
+islands AS (SELECT doc_id, i, t, i - row_number() OVER (PARTITION BY doc_id ORDER BY i) AS run FROM alltok WHERE length(t) >= 7),
+named AS (
+  SELECT doc_id, min(i) AS i, string_agg(t, ' ' ORDER BY i) AS word FROM islands GROUP BY doc_id, run HAVING count(*) > 1
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM words GROUP BY doc_id),
+ents AS (
+  SELECT doc_id, word, coalesce(n, 0) + row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS pos
+  FROM named LEFT JOIN sizes USING (doc_id)
+)
+SELECT doc_id, CAST(pos AS BIGINT) AS pos, word FROM words UNION ALL SELECT doc_id, CAST(pos AS BIGINT), word FROM ents"""
+
+
+NODES = 'SELECT Id, node AS Label, grp AS "Group", Attribute FROM ids'
+EDGES = (
+    "SELECT least(s.Id, t.Id) AS Source, greatest(s.Id, t.Id) AS Target, e2.Type, e2.Weight "
+    "FROM e2 JOIN ids s ON e2.a = s.node JOIN ids t ON e2.b = t.node"
+)
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "entity_tokens": f"WITH {text_ctes()}{ENTITY_BODY}",
+        "entity_graph_nodes": entity_graph_sql(NODES),
+        "entity_graph_edges": entity_graph_sql(EDGES),
+        "annotated_words": annotated_words_sql(),
         "normalised_text": "SELECT doc_id, regexp_replace(lower(text), '[^a-zA-Z\\s]', '', 'g') AS text FROM documents",
         "content_words": with_ctes("SELECT doc_id, pos, word FROM cw"),
         "doc_vocabulary": with_ctes("SELECT doc_id, rank, word, CAST(n AS BIGINT) AS n FROM voc"),
@@ -176,10 +225,6 @@ def oracle_sql() -> dict[str, str]:
         "word_graph_unpruned_nodes": with_ctes(
             'SELECT Id, node AS Label, grp AS "Group", Attribute FROM ids0', graph=True
         ),
-        "word_graph_nodes": with_ctes('SELECT Id, node AS Label, grp AS "Group", Attribute FROM ids', graph=True),
-        "word_graph_edges": with_ctes(
-            "SELECT least(s.Id, t.Id) AS Source, greatest(s.Id, t.Id) AS Target, e2.Type, e2.Weight "
-            "FROM e2 JOIN ids s ON e2.a = s.node JOIN ids t ON e2.b = t.node",
-            graph=True,
-        ),
+        "word_graph_nodes": with_ctes(NODES, graph=True),
+        "word_graph_edges": with_ctes(EDGES, graph=True),
     }

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from linkweave.functions.fixed import default_lexicon
+from linkweave.functions.text import normalise_text, split_tokens
 from linkweave.operators import wordgraph as wg
 from linkweave.operators.ids import assign_ids, export_nodes
 from linkweave.session import materialize
@@ -115,20 +117,67 @@ def q_word_graph_edges(spark, sf_dir):
     return word_graph(spark, sf_dir)[1]
 
 
+def _entities(docs):
+    """N4 by phrases: the corpus's top bigrams, as a table."""
+    from linkweave.operators.text import phrase_entities
+
+    return phrase_entities(docs, wg.top_bigrams(text_pipeline(docs)).select("bigram"))
+
+
 def q_entity_tokens(spark, sf_dir):
-    """Entities found in each document from a phrase list (the corpus's
-    top bigrams, a table of at most top_n rows) appended after its words:
-    ``(doc_id, pos, entity)`` with ``pos`` counted after the last word."""
-    from linkweave.operators.text import append_entities, document_words, phrase_entities
+    """Entities found in each document from a phrase table (the corpus's
+    top bigrams) appended after its words: ``(doc_id, pos, entity)`` with
+    ``pos`` counted after the last word."""
+    from linkweave.operators.text import append_entities, document_words
 
     docs = _docs(spark, sf_dir)
-    top = wg.top_bigrams(text_pipeline(docs))
-    phrases = [r[0] for r in top.select("bigram").collect()]  # bounded by top_n
-    ents = phrase_entities(docs, phrases)
+    ents = materialize(_entities(docs), "entities")
     tok = append_entities(document_words(docs), ents)
     return _entity_rows(tok, ents)
 
 
+def entity_graph(spark, sf_dir):
+    """G11 of documents with entities: a bigram node may also be a word node (G4), vocabularies hold entities."""
+    docs = _docs(spark, sf_dir)
+    tokens = text_pipeline(docs, entities=_entities(docs)).select("doc_ord", "tokens", "bigrams", "word_stats")
+    nodes, edges = wg.build_word_network(materialize(tokens, "tokens"))
+    return export_nodes(nodes), edges
+
+
+def q_entity_graph_nodes(spark, sf_dir):
+    return entity_graph(spark, sf_dir)[0]
+
+
+def q_entity_graph_edges(spark, sf_dir):
+    return entity_graph(spark, sf_dir)[1]
+
+
+def annotation_table(docs: DataFrame) -> DataFrame:
+    """Stand-in annotations by fixed rules, as the tables have none: verbs from the default lexicon, the plural's s off
+    long words, neighbouring words of seven letters or more as one entity, and a misplaced row at every tenth word."""
+    lexicon = docs.sparkSession.createDataFrame(default_lexicon(), "surface string, verb string, tag string").groupBy("surface").agg(F.min("verb").alias("verb"))
+    words = docs.select("doc_id", F.posexplode_outer(split_tokens(normalise_text("text"))).alias("pos", "surface")).filter(F.col("surface").isNotNull())
+    long = F.length("surface") >= 7
+    rank = F.row_number().over(Window.partitionBy("doc_id", long).orderBy("pos"))
+    runs = words.withColumn("run", F.when(long, F.col("pos") - rank))
+    of_run = Window.partitionBy("doc_id", "run")
+    entity = F.when(F.col("run").isNotNull() & (F.count(F.lit(1)).over(of_run) > 1), F.min("pos").over(of_run))
+    stem = F.when((F.length("surface") >= 6) & F.col("surface").endswith("s"), F.expr("left(surface, length(surface) - 1)")).otherwise(F.col("surface"))
+    noted = runs.withColumn("entity", entity.cast("long")).join(lexicon, "surface", "left").select(
+        "doc_id", "pos", "surface", F.coalesce("verb", stem).alias("lemma"), F.when(F.col("verb").isNotNull(), "VERB").otherwise("NOUN").alias("pos_tag"), "entity"
+    )
+    astray = words.filter(F.col("pos") % 10 == 0).select(
+        "doc_id", "pos", F.lit("aaa").alias("surface"), F.lit("wrong").alias("lemma"), F.lit("VERB").alias("pos_tag"), F.lit(1).cast("long").alias("entity")
+    )
+    return noted.unionByName(astray)
+
+
+def q_annotated_words(spark, sf_dir):
+    """N2-N4 by an annotation table: ``(doc_id, pos, word)``, entities after the words."""
+    docs = _docs(spark, sf_dir)
+    return content_words_long(text_pipeline(docs, annotations=annotation_table(docs))).withColumnRenamed("doc_ord", "doc_id")
+
+
 def _entity_rows(tok, ents):
     joined = tok.select("doc_ord", F.size("words").alias("_nw")).join(ents, "doc_ord")
     return (
@@ -155,4 +204,7 @@ QUERIES = {
     "word_graph_nodes": q_word_graph_nodes,
     "word_graph_edges": q_word_graph_edges,
     "entity_tokens": q_entity_tokens,
+    "entity_graph_nodes": q_entity_graph_nodes,
+    "entity_graph_edges": q_entity_graph_edges,
+    "annotated_words": q_annotated_words,
 }

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from linkweave.session import materialize
+
 SOURCE_MODES = ("auto", "api", "html")
 
 
@@ -24,31 +26,33 @@ def accept_api_payloads(payloads: DataFrame, title_key: str = "*") -> DataFrame:
     items that are objects with a string under ``title_key`` give titles.
     """
     key = title_key.replace('"', '\\"')
-    v = F.expr("try_parse_json(body)")
-    parse = F.expr("try_variant_get(try_parse_json(body), '$.parse', 'variant')")
+    answered = payloads.filter((F.col("status") == 200) & F.lower(F.coalesce(F.col("content_type"), F.lit(""))).contains("json"))
+    # The body is parsed once: filters stay above a generator's output, so none of them is pushed below it with the parse
+    # in place of the column's name.
+    row = F.struct("url", F.col("endpoint_rank").cast("long").alias("endpoint_rank"), F.expr("try_parse_json(body)").alias("v"))
+    parsed = answered.select(F.explode_outer(F.array(row)).alias("r")).select("r.*")
+    parsed = parsed.withColumn("parse", F.expr("try_variant_get(v, '$.parse', 'variant')"))
     ok = (
-        (F.col("status") == 200)
-        & F.lower(F.coalesce(F.col("content_type"), F.lit(""))).contains("json")
-        & F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
-        & F.expr("try_variant_get(try_parse_json(body), '$.error', 'variant') IS NULL")
-        & F.coalesce(F.schema_of_variant(parse).startswith("OBJECT"), F.lit(False))
+        F.coalesce(F.schema_of_variant("v").startswith("OBJECT"), F.lit(False))
+        & F.expr("try_variant_get(v, '$.error', 'variant') IS NULL")
+        & F.coalesce(F.schema_of_variant("parse").startswith("OBJECT"), F.lit(False))
     )
     text = F.expr(
-        "CASE WHEN schema_of_variant(try_variant_get(try_parse_json(body), '$.parse.text', 'variant')) = 'STRING' "
-        "THEN variant_get(try_parse_json(body), '$.parse.text', 'string') ELSE '' END"
+        "CASE WHEN schema_of_variant(try_variant_get(parse, '$.text', 'variant')) = 'STRING' "
+        "THEN variant_get(parse, '$.text', 'string') ELSE '' END"
     )
     titles = F.expr(
-        "filter(transform(coalesce(try_variant_get(try_parse_json(body), '$.parse.links', 'array<variant>'), array()), "
+        "filter(transform(coalesce(try_variant_get(parse, '$.links', 'array<variant>'), array()), "
         f"x -> CASE WHEN schema_of_variant(try_variant_get(x, '$[\"{key}\"]', 'variant')) = 'STRING' "
         f"THEN variant_get(x, '$[\"{key}\"]', 'string') END), t -> t IS NOT NULL)"
     )
-    accepted = payloads.filter(ok).select(
-        "url", F.col("endpoint_rank").cast("long").alias("endpoint_rank"), text.alias("html"), titles.alias("link_titles")
-    )
-    first = accepted.groupBy("url").agg(
-        F.min_by(F.struct("endpoint_rank", "html", "link_titles"), F.col("endpoint_rank")).alias("_a")
+    rows = parsed.filter(ok).select(
+        "url", "endpoint_rank", text.alias("html"), titles.alias("link_titles"), F.monotonically_increasing_id().alias("_row")
     )
-    return first.select("url", "_a.endpoint_rank", "_a.html", "_a.link_titles")
+    # The first endpoint is chosen by keys alone; texts are written once and not carried through an aggregate.
+    rows = materialize(rows, "accepted")
+    first = rows.groupBy("url").agg(F.min(F.struct("endpoint_rank", "_row")).alias("_k")).select("url", "_k._row")
+    return rows.join(first, ["url", "_row"], "left_semi").drop("_row")
 
 
 def normalise_mode(mode: str | None) -> str:

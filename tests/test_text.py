@@ -6,6 +6,7 @@ from hypothesis import strategies as st
 import brute
 from brute import docs_df
 from linkweave.functions.text import normalise_text
+from linkweave.operators.annotate import annotated_documents
 from linkweave.operators.text import (
     content_words_long,
     document_vocabulary,
@@ -89,3 +90,60 @@ def test_lexicon_list_and_table_agree(spark):
 def test_separators_are_white_space(spark):
     df = spark.createDataFrame([("oak\x1celm\x1f ash",)], "t string")
     assert df.select(normalise_text("t")).first()[0].split() == ["oak", "elm", "ash"]
+
+
+def leftmost_longest(tokens, phrases):
+    out, i, sizes = [], 0, sorted({len(p.split()) for p in phrases}, reverse=True)
+    while i < len(tokens):
+        hit = next((n for n in sizes if " ".join(tokens[i : i + n]) in phrases and i + n <= len(tokens)), 0)
+        if hit:
+            out.append(" ".join(tokens[i : i + hit]))
+        i += hit or 1
+    return out
+
+
+def test_a_hundred_thousand_phrases(spark):
+    rnd = random.Random(6)
+    words = [a + b + c for a in "abcde" for b in "fghij" for c in "klmno"]
+    # A third of the phrases, and of the tokens, start with one word.
+    phrases = set()
+    while len(phrases) < 100_000:
+        phrases.add(" ".join([words[0] if rnd.random() < 0.3 else rnd.choice(words), *rnd.choices(words, k=rnd.randrange(0, 4))]))
+    texts = [" ".join(words[0] if rnd.random() < 0.3 else rnd.choice(words) for _ in range(rnd.choice((0, 1, 40, 400)))) for _ in range(30)]
+    table = spark.createDataFrame([(p,) for p in [*sorted(phrases), "  ", None, words[1] + "   " + words[2]]], "phrase string")
+    got = {r.doc_ord: list(r.entities) for r in phrase_entities(docs_df(spark, [*texts, None]), table).collect()}
+    phrases.add(f"{words[1]} {words[2]}")
+    assert got == {i: leftmost_longest((t or "").split(), phrases) for i, t in enumerate([*texts, None])}
+
+
+def test_no_phrases(spark):
+    assert [list(r.entities) for r in phrase_entities(docs_df(spark, ["one two"]), []).collect()] == [[]]
+
+
+NOTES = "doc_id long, pos int, surface string, lemma string, pos_tag string, entity long"
+
+
+def test_annotations_are_merged_by_place(spark):
+    docs = docs_df(spark, ["The Heart-rate studies used new hearts; new york city.", "plain words only", None])
+    # Tokens of the first text: the heartrate studies used new hearts new york city
+    notes = [
+        (0, 1, "heartrate", "heartrate", "NOUN", 1), (0, 2, "studies", "study", "NOUN", 1),
+        (0, 3, "used", "use", "VERB", None), (0, 5, "hearts", "heart", "NOUN", None),
+        (0, 6, "new", "new", "PROPN", 2), (0, 7, "york", "york", "PROPN", 2), (0, 8, "city", "city", "NOUN", 3),
+        # No such place, document or surface; a second row for a token; rows without a place or surface.
+        (0, 99, "studies", "wrong", "NOUN", 9), (7, 0, "the", "wrong", "NOUN", 9), (0, 5, "heart", "wrong", "VERB", 9),
+        (0, 7, "york", "zork", "PROPN", 2), (0, None, "york", "wrong", "X", 9), (0, 4, None, "wrong", "X", 9), (0, -1, "the", "wrong", "X", 9),
+        (1, 0, "plain", None, None, None),
+    ]
+    got = {r.doc_ord: r for r in annotated_documents(docs, spark.createDataFrame(notes, NOTES)).collect()}
+    assert list(got[0].words) == ["heartrate", "study", "new", "heart", "new", "york", "city"]
+    assert list(got[0].entities) == ["heartrate studies", "new york", "city"]
+    assert (list(got[1].words), list(got[1].entities)) == (["plain", "words"], [])
+    assert (list(got[2].words), list(got[2].entities)) == ([], [])
+    tokens = {r.doc_ord: list(r.tokens) for r in text_pipeline(docs, annotations=spark.createDataFrame(notes, NOTES)).collect()}
+    assert tokens[0] == [*got[0].words, *got[0].entities]
+
+
+def test_no_annotations(spark):
+    got = annotated_documents(docs_df(spark, ["red green", ""]), spark.createDataFrame([], NOTES)).collect()
+    assert sorted((r.doc_ord, list(r.words), list(r.entities)) for r in got) == [(0, ["red", "green"], []), (1, [], [])]
