@@ -142,8 +142,9 @@ def _spans(df: DataFrame, kind: Kind, number: int) -> DataFrame:
 def _confirmed(m: str) -> str:
     """SQL: a base kind's whole pattern and test hold for ``m`` (the base spans have it already)."""
     plain = (
-        (r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+([.][A-Za-z0-9-]+)+$", BASE[0].test),
-        (r"^[0-9]+([.][0-9]+){3}$", BASE[1].test),
+        # Possessive: a greedy group takes a level of the stack for each repetition.
+        (r"^[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:[.][A-Za-z0-9-]++)++$", BASE[0].test),
+        (r"^[0-9]++(?:[.][0-9]++){3}$", BASE[1].test),
         (r"^[0-9](?:[ -]?+[0-9])++$", BASE[2].test),
         (r"^[+][0-9][ ().0-9-]+[0-9]$", BASE[3].test),
     )

@@ -264,3 +264,16 @@ def test_empty_tables(no_docs):
     assert pii.train(no_docs) is None and pii.find(no_docs).count() == 0
     assert licenses.scan(no_docs).count() == 0
     assert bpe.encode_documents(no_docs, queries.tokenizer_path()).count() == 0
+
+
+def test_long_repetitions_of_every_kind(spark):
+    """A greedy group in a pattern would overflow the stack."""
+    n = 5_000
+    texts = [
+        "mail x@" + "b." * n + "c now", "mail " + "x." * n + "@b.cc", "1." * n + "1", "4111 " * n, "+1 " + "2-" * n + "3", "7" * n,
+        "key=" + "a1" * n, "ab:" * n, "1:" * n + ":1", "x [at] " + "y." * n + "zz", "GB82 WEST " + "1234 " * n, "token: " + "q1!" * n, "@" * n, "::" * n,
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, _text string")
+    got = {r["doc_id"]: (r["b"], r["c"]) for r in pii._with_spans(docs).selectExpr("doc_id", "size(_base) AS b", "size(_candidates) AS c").collect()}
+    assert len(got) == len(texts)
+    assert got[0][0] == 1 and got[1][0] == 1
