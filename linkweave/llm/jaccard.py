@@ -10,6 +10,8 @@ regions are only formed where distances can be below 1:
    a region.
 3. A region picks pivots among the points that do not have its most frequent label (equal labels: known to be connected) and
    measures its points against them, which finds the pivots' links.  With no more such points than pivots, that closes the region.
+   Else the most central of them is one, whose shingles the most other points have: in a group of near copies that
+   is what the others are copies of, and one measurement connects most of the group.
 4. Another region parts around one pivot into the ball within 2r and what is beyond r.  By the triangle inequality linked points
    lie in the same part; those in the window between r and 2r are replicated into both (a region mostly in the window stays
    whole).  Parts are joined in the same way, without the pivots, as long as they hold points of different labels.
@@ -141,20 +143,22 @@ def _may_link(docs: DataFrame, rows: DataFrame, width: int, percent: int) -> tup
 
 
 def _regions(sets: DataFrame, percent: int) -> DataFrame:
-    """``(cell, node)``: the rarest shared shingles of each point, so many that linked points have one in common.
+    """``(cell, node, score)``: the rarest shared shingles of each point, so many that linked points have one in common.
 
     A point with fewer than ``least_common`` shared shingles has no link.  Of the others, those that no other point has
-    come first in the order, then the rarest; what is left of the first n - least_common + 1 are its regions."""
+    come first in the order, then the rarest; what is left of the first n - least_common + 1 are its regions.  ``score``, how
+    many points have a shingle of the point, on average, is largest for what is in the middle of a group of near copies."""
     every = sets.select("node", "n", F.explode("set").alias("cell"))
     counts = every.groupBy("cell").count().filter("count > 1")
     shared = every.join(counts, "cell")
     of_point = Window.partitionBy("node")
     ranked = shared.select(
-        "node", "cell", "n", F.count(F.lit(1)).over(of_point).alias("common"), F.row_number().over(of_point.orderBy("count", "cell")).alias("place")
+        "node", "cell", "n", F.count(F.lit(1)).over(of_point).alias("common"), F.row_number().over(of_point.orderBy("count", "cell")).alias("place"),
+        (F.sum("count").over(of_point) / F.col("n")).alias("score"),
     )
     least = F.expr(f"(n * {percent} + 99) div 100")
     quota = F.col("n") - least + 1 - (F.col("n") - F.col("common"))
-    cells = ranked.filter((F.col("common") >= least) & (F.col("place") <= quota)).select("cell", "node")
+    cells = ranked.filter((F.col("common") >= least) & (F.col("place") <= quota)).select("cell", "node", "score")
     return materialize(cells, "jaccard-cells")
 
 
@@ -184,39 +188,43 @@ def _may_reach(percent: int) -> Column:
 
 
 def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
-    """Labels after one star step along the links ``(node, pivot)``: what is around a pivot takes the smallest label there.
-    Equal labels always mean linked points; that not all linked points have equal labels yet costs work, never a link."""
+    """Labels after one star step along the links ``(node, pivot)``, in both directions: what is around a point takes the smallest
+    label there.  Equal labels always mean linked points; that not all linked points have equal labels yet costs work, never a link."""
     one = labels.select("node", F.col("label").alias("u"))
     two = labels.select(F.col("node").alias("pivot"), F.col("label").alias("p"))
-    arcs = links.join(one, "node").join(two, "pivot").filter("u != p").select("u", "p").distinct()
+    ends = links.join(one, "node").join(two, "pivot").filter("u != p").select("u", "p").distinct()
+    arcs = materialize(ends.union(ends.select(F.col("p").alias("u"), F.col("u").alias("p"))), "jaccard-arcs")
     least = arcs.groupBy("p").agg(F.min("u").alias("_u")).select("p", F.least("p", "_u").alias("m"))
     told = arcs.join(least, "p").select("u", "m").union(least.select("p", "m")).groupBy("u").agg(F.min("m").alias("_m"))
     joined = labels.join(told.withColumnRenamed("u", "label"), "label", "left")
-    return materialize(joined.select("node", "n", "sketch", F.least("label", F.coalesce("_m", "label")).alias("label")), "jaccard-labels")
+    out = materialize(joined.select("node", "n", "sketch", F.least("label", F.coalesce("_m", "label")).alias("label")), "jaccard-labels")
+    discard(arcs)
+    return out
 
 
 def _open_regions(state: DataFrame, turn: int) -> DataFrame:
     """``(cell, major, first, size, rest)`` of the regions with more than one label: the label of most points, a pivot to part
-    the region by and its size, the region's points, those without the major label."""
-    order = unit_hash("node", seed=turn)
-    of_label = state.groupBy("cell", "label").agg(
-        F.count(F.lit(1)).alias("c"), F.min_by("node", order).alias("f"), F.min(order).alias("o")
-    )
+    the region by and its size, the region's points, those without the major label.  The pivot is the most central of these."""
+    order = F.struct((-F.col("score")).alias("s"), unit_hash("node", seed=turn).alias("h"))
+    of_label = state.groupBy("cell", "label").agg(F.count(F.lit(1)).alias("c"), F.min_by("node", order).alias("f"), F.min(order).alias("o"))
+    of_label = materialize(of_label, "jaccard-cell-labels")
     regions = of_label.groupBy("cell").agg(
-        F.max_by("label", F.col("c") + unit_hash("label")).alias("major"), F.min_by("f", "o").alias("first"),
+        F.max_by("label", F.col("c") + unit_hash("label")).alias("major"),
         F.sum("c").alias("size"), F.max("c").alias("most"), F.count(F.lit(1)).alias("labels"),
     )
-    return materialize(regions.filter("labels > 1").select("cell", "major", "first", "size", (F.col("size") - F.col("most")).alias("rest")), "jaccard-open")
+    regions = regions.filter("labels > 1").select("cell", "major", "size", (F.col("size") - F.col("most")).alias("rest"))
+    others = of_label.join(regions, "cell").filter("label != major").groupBy("cell", "major", "size", "rest")
+    return materialize(others.agg(F.min_by("f", "o").alias("first")), "jaccard-open")
 
 
 def _parted(state: DataFrame, parting: DataFrame, measured: DataFrame, few: int, turn: int) -> DataFrame:
-    """``(cell, node)`` of what large regions leave open: their points but the pivots, parted into ball and rest where the window
+    """``(cell, node, score)`` of what large regions leave open: their points but the pivots, parted into ball and rest where the window
     between them is at most a quarter of the region (else both parts would be nearly as large as the whole)."""
     inside = state.join(parting.select("cell", F.col("pivot").alias("first"), "major", "rest", "size"), "cell").filter("node != first")
     inside = inside.filter((F.col("label") == F.col("major")) | ~_is_pivot(few, turn))
     pair = [F.least("node", "first").alias("node"), F.greatest("node", "first").alias("pivot")]
-    known = inside.select("cell", "size", F.col("node").alias("point"), *pair).join(measured, ["node", "pivot"], "left")
-    known = known.select("cell", "size", "point", F.coalesce("near", F.lit(False)).alias("near"), F.coalesce("ring", F.lit(False)).alias("ring"))
+    known = inside.select("cell", "size", "score", F.col("node").alias("point"), *pair).join(measured, ["node", "pivot"], "left")
+    known = known.select("cell", "size", "score", "point", F.coalesce("near", F.lit(False)).alias("near"), F.coalesce("ring", F.lit(False)).alias("ring"))
     # A pair that was not measured is farther apart than 2r by sizes or sketches.
     windows = known.groupBy("cell").agg(F.count_if(F.col("ring") & ~F.col("near")).alias("window"))
     parts = (
@@ -225,24 +233,25 @@ def _parted(state: DataFrame, parting: DataFrame, measured: DataFrame, few: int,
         .when(F.col("ring"), F.array(F.lit(0), F.lit(1)))
         .otherwise(F.array(F.lit(1)))
     )
-    split = known.join(windows, "cell").select(F.col("point").alias("node"), "cell", F.explode(parts).alias("part"))
-    return split.select(F.xxhash64("cell", "part").alias("cell"), "node")
+    split = known.join(windows, "cell").select(F.col("point").alias("node"), "cell", "score", F.explode(parts).alias("part"))
+    return split.select(F.xxhash64("cell", "part").alias("cell"), "node", "score")
 
 
 def _is_pivot(few: int, turn: int) -> Column:
-    """True for about ``few`` of the ``rest`` points without the major label of a region, and for all if they are no more."""
-    return unit_hash("node", seed=turn) * F.col("rest") <= F.lit(few)
+    """True for all of the ``rest`` points without the major label of a region if they are no more than ``few``, else for about a
+    quarter as many."""
+    return unit_hash("node", seed=turn) * F.col("rest") <= F.when(F.col("rest") <= few, few).otherwise(few / 4)
 
 
 def _links(sets: DataFrame, cells: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """Links ``(u, v)`` between labels and ``(node, label)``, which connect all points that linked pairs connect, from regions
-    ``(cell, node)``."""
+    ``(cell, node, score)``."""
     labels = materialize(sets.select("node", "n", "sketch", F.col("node").alias("label")), "jaccard-labels")
     found, turn = [], 0
     while True:
         turn += 1
         few = FEW << (2 * (turn - 1))
-        state = materialize(cells.join(labels, "node").select("cell", "node", "n", "sketch", "label"), "jaccard-state")
+        state = materialize(cells.join(labels, "node").select("cell", "node", "score", "n", "sketch", "label"), "jaccard-state")
         open_cells = _open_regions(state, turn)
         large = F.col("rest") > few
         some = state.join(open_cells, "cell").filter("label != major").filter(_is_pivot(few, turn))
