@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from linkweave.plans import oracle_api, oracle_graph, queries_api, oracle_links, oracle_text, queries_graph, queries_links, queries_text
+from linkweave.plans import oracle_api, oracle_graph, oracle_io, oracle_links, oracle_text
+from linkweave.plans import queries_api, queries_graph, queries_io, queries_links, queries_text
 
 
 def queries():
@@ -11,6 +12,7 @@ def queries():
     out.update(queries_links.QUERIES)
     out.update(queries_graph.QUERIES)
     out.update(queries_api.QUERIES)
+    out.update(queries_io.QUERIES)
     return out
 
 
@@ -20,4 +22,5 @@ def oracle_sql():
     out.update(oracle_links.oracle_sql())
     out.update(oracle_graph.oracle_sql())
     out.update(oracle_api.oracle_sql())
+    out.update(oracle_io.oracle_sql())
     return out
