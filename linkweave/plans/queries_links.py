@@ -10,9 +10,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkweave.functions.urls import article_name, clean_label, decode_title, url_path, url_root, with_title_validity
+from linkweave.functions.urls import (
+    article_name,
+    clean_label,
+    decode_title,
+    resolve_links,
+    url_netloc,
+    url_path,
+    url_root,
+    with_title_validity,
+    with_url_validity,
+)
 from linkweave.operators import links as lk
-from linkweave.operators.html import extract_pages, paragraph_text
+from linkweave.operators.html import extract_pages, paragraph_text, regex_hrefs
 from linkweave.operators.ids import assign_ids, edges_with_ids, export_nodes
 from linkweave.session import materialize
 from linkweave.sources.tables import read_table
@@ -62,6 +72,47 @@ def q_link_titles(spark, sf_dir):
     return with_title_validity(named, "title", "valid").select("target", "name", "title", "valid")
 
 
+def varied_pages(spark, sf_dir):
+    """Stand-in pages whose hrefs take every form that U2, U3, U5 and U6 tell apart, by fixed rules on the page's id and the
+    href's place; the tables' own hrefs are all plain root-relative paths."""
+    pages = _pages(spark, sf_dir)
+    host = url_netloc("url")
+
+    def form(href, i):
+        name = F.regexp_extract(href, "([^/]*)$", 1)
+        forms = [
+            F.concat(F.lit("/wiki/"), name),
+            F.concat(F.lit("/wiki/Help:"), name),
+            F.concat(F.lit("/wiki/"), name, F.lit("?action=edit")),
+            F.concat(F.lit("/wiki/"), name, F.lit("#History")),
+            F.concat(F.lit("https://other.example/wiki/"), name),
+            F.concat(F.lit("/wiki/Caf%C3%A9_"), name),
+            F.concat(F.lit("/a/../wiki/"), name),
+            F.concat(F.lit("//"), host, F.lit("/wiki/"), name),
+            F.lit("/wiki/Main_Page"),
+            F.concat(F.lit("/WIKI/Zzz:"), name),
+        ]
+        return F.element_at(F.array(*forms), ((F.col("page_id") + i) % 10 + 1).cast("int"))
+
+    anchors = F.transform(regex_hrefs("html"), lambda h, i: F.concat(F.lit('<a href="'), form(h, i), F.lit('">x</a>')))
+    return pages.select("page_id", "url", F.concat(F.lit("<p>"), F.array_join(anchors, " ")).alias("html"))
+
+
+def q_varied_links(spark, sf_dir):
+    """H2 with U5 and U3 on hrefs of every form."""
+    return lk.page_links(varied_pages(spark, sf_dir), base_url=None, marker="/wiki/")
+
+
+def q_varied_titles(spark, sf_dir):
+    """U5, U1, U6, U2 and U3 of every href."""
+    parsed = extract_pages(varied_pages(spark, sf_dir))
+    hrefs = parsed.select(F.col("url").alias("source"), F.explode_outer("hrefs").alias("href")).filter(F.col("href").isNotNull())
+    found = resolve_links(hrefs, "source", "href").select("source", "target").distinct()
+    named = found.withColumn("name", article_name(url_path("target"))).withColumn("title", decode_title("name"))
+    checked = with_url_validity(with_title_validity(named, "title", "title_valid"), "target", url_root("source"), out_col="valid")
+    return checked.select("source", "target", "name", "title", "title_valid", "valid")
+
+
 def q_pruned_links(spark, sf_dir):
     return lk.prune_links(materialize(_links(spark, sf_dir), "links"), MIN_LINK_FREQ)
 
@@ -133,6 +184,8 @@ QUERIES = {
     "page_hrefs": q_page_hrefs,
     "page_links": q_page_links,
     "link_titles": q_link_titles,
+    "varied_links": q_varied_links,
+    "varied_titles": q_varied_titles,
     "pruned_links": q_pruned_links,
     "link_nodes": q_link_nodes,
     "link_edges": q_link_edges,
