@@ -16,6 +16,13 @@ SELECT CAST(modularity_class AS VARCHAR) AS modularity_class, rank, size, pct, n
 FROM ranked JOIN tops USING (modularity_class)"""
 
 
+NETWORKS = """, vl AS (SELECT source, target FROM links WHERE source IN (SELECT url FROM visited)),
+kept AS (SELECT target FROM vl GROUP BY target HAVING count(*) >= 3)
+SELECT 'visited' AS kind, 'https://w.test/wiki/' || url AS a, NULL AS b, NULL AS Type, CAST(NULL AS DOUBLE) AS Weight FROM visited
+UNION ALL
+SELECT 'link', 'https://w.test/wiki/' || source, 'https://w.test/wiki/' || target, 'Directed', 1.0 FROM vl WHERE target IN (SELECT target FROM kept)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "usable_pages": "SELECT page_id, url FROM pages WHERE page_id % 4 <> 0 AND page_id % 7 <> 0 AND page_id % 3 <> 0 AND page_id % 5 <> 0",
@@ -28,5 +35,6 @@ def oracle_sql() -> dict[str, str]:
         "label_csv": f"SELECT CAST(Id AS VARCHAR) AS Id, Label, \"Group\", CAST(Attribute AS VARCHAR) AS Attribute FROM ({oracle_links.oracle_sql()['clean_labels']})",
         "visited_file": oracle_graph.oracle_sql()["visited_list"],
         "metrics_csv": f"WITH {oracle_graph.GRAPH_CTES}\nSELECT Id, Label, CAST(degree AS DOUBLE) AS degree, CAST(modularity_class AS VARCHAR) AS modularity_class FROM met",
+        "job_networks": oracle_graph._ordered() + NETWORKS,
         "job_summary": f"WITH {oracle_graph.GRAPH_CTES}{SUMMARY}",
     }

@@ -59,14 +59,30 @@ def q_api_links(spark, sf_dir):
     return api_links(accept_api_payloads(payload_table(spark, sf_dir)), base_url=None, marker="/wiki/")
 
 
-def q_resolved_content(spark, sf_dir):
+def _resolved(spark, sf_dir, mode):
     api = accept_api_payloads(payload_table(spark, sf_dir))
     html = read_table(spark, sf_dir, "pages", ["url", "html"])
-    return resolve_content(api, html, "auto").select("url", "via")
+    return resolve_content(api, html, mode)
+
+
+def q_resolved_content(spark, sf_dir):
+    return _resolved(spark, sf_dir, "auto").select("url", "via")
+
+
+def q_resolved_api(spark, sf_dir):
+    """S3, API answers only."""
+    return _resolved(spark, sf_dir, " API ")
+
+
+def q_resolved_html(spark, sf_dir):
+    """S3, fetched pages only."""
+    return _resolved(spark, sf_dir, "html")
 
 
 QUERIES = {
     "api_accepted": q_api_accepted,
     "api_links": q_api_links,
     "resolved_content": q_resolved_content,
+    "resolved_api": q_resolved_api,
+    "resolved_html": q_resolved_html,
 }

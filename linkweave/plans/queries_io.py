@@ -1,4 +1,4 @@
-"""Registered queries that write files and read them back: S1, S4-S8 and J3.
+"""Registered queries that write files and read them back: S1, S4-S8, J1 and J3.
 
 Files go to the session's shared folder.  What is written comes from the other queries; the stand-in for page responses gives
 every page a status and content type by fixed rules on its id.
@@ -88,6 +88,33 @@ def q_community_metrics(spark, sf_dir):
     return jobs.community_summary(spark, f"{path}/metrics")
 
 
+SITE = "https://w.test"
+
+
+def linked_pages(spark, sf_dir):
+    """Stand-in pages that link each other, and the first one's url: a page for each part and supplier of ``lineitem``, with its
+    links and its name as text (the tables' own pages never link each other)."""
+    links, available, seed = queries_graph._traversal_inputs(spark, sf_dir)
+    anchors = F.array_join(F.transform("targets", lambda t: F.concat(F.lit('<a href="/wiki/'), t, F.lit('">'), t, F.lit("</a>"))), " ")
+    grouped = links.groupBy(F.col("source").alias("url")).agg(F.sort_array(F.collect_list("target")).alias("targets"))
+    pages = available.distinct().join(grouped, "url", "left").select(
+        F.concat(F.lit(f"{SITE}/wiki/"), "url").alias("url"), F.concat(F.lit("<p>"), "url", F.lit(" of the catalogue</p>"), F.coalesce(anchors, F.lit(""))).alias("html")
+    )
+    return pages, f"{SITE}/wiki/{seed}"
+
+
+def q_job_networks(spark, sf_dir):
+    """J1 on pages that link each other: ``(kind, a, b, Type, Weight)`` of the visited list and the link network as J1 wrote them."""
+    pages, seed = linked_pages(spark, sf_dir)
+    out = _folder(spark, "networks")
+    jobs.build_networks(pages, None, out, seed, SITE)
+    none = F.lit(None)
+    visited = spark.read.text(f"{out}/visited").select(F.lit("visited").alias("kind"), F.col("value").alias("a"), none.cast("string").alias("b"), none.cast("string").alias("Type"), none.cast("double").alias("Weight"))
+    nodes, edges = readers.read_graph(spark, f"{out}/links/nodes", f"{out}/links/edges")
+    one, two = (nodes.select(F.col("Id").alias(k), F.col("Label").alias(n)) for k, n in (("Source", "a"), ("Target", "b")))
+    return visited.unionByName(edges.join(one, "Source").join(two, "Target").select(F.lit("link").alias("kind"), "a", "b", "Type", "Weight"))
+
+
 QUERIES = {
     "usable_pages": q_usable_pages,
     "graph_csv": q_graph_csv,
@@ -95,5 +122,6 @@ QUERIES = {
     "visited_file": q_visited_file,
     "metrics_csv": q_metrics_csv,
     "job_summary": q_job_summary,
+    "job_networks": q_job_networks,
     "community_metrics": q_community_metrics,
 }
