@@ -2,6 +2,7 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 import brute
 from brute import tokens_df
@@ -103,3 +104,33 @@ def test_whole_graph_matches_plain_python(spark, seed):
     assert [r.Label for r in ided] == list(want_nodes)
     assert {r.Label: (r.Group, r.Attribute) for r in ided} == want_nodes
     assert _edges(edges) == want_edges
+
+
+@pytest.mark.parametrize(("edge_pct", "min_w"), [(0, 1), (30, 2), (60, 3), (95, 2), (100, 9)])
+def test_network_by_keys_matches_plain_python(spark, edge_pct, min_w, monkeypatch):
+    rnd = random.Random(edge_pct)
+    vocab = [f"w{i}" for i in range(12)] + ["w1 w2"]
+    docs = [[rnd.choice(vocab) for _ in range(rnd.randint(0, 40))] for _ in range(6)]
+    bigr = [brute.rank_bigrams(brute.vocabulary(d)) for d in docs]
+    want_nodes, want_edges = brute.word_graph(docs, bigr, top_n=8, edge_pct=edge_pct, min_w=min_w, node_pct=20, min_f=2)
+
+    def check():
+        nodes, edges = wg.build_word_network(
+            tokens_df(spark, docs, bigr), top_n_bigrams=8, edge_prune_percentile=edge_pct, min_edge_weight=min_w,
+            node_prune_percentile=20, min_node_freq=2,
+        )
+        label = {r.Id: r.Label for r in export_nodes(nodes).collect()}
+        assert [label[k] for k in sorted(label)] == list(want_nodes)
+        got = {tuple(sorted((label[r.Source], label[r.Target]))): (r.Type, r.Weight) for r in edges.collect()}
+        assert got == want_edges
+
+    check()
+    if edge_pct == 30:
+        # Two words with one key: the graph is built by label.
+        monkeypatch.setattr(wg, "word_key", lambda word: F.length(word).cast("long"))
+        check()
+
+
+def test_network_without_documents(spark):
+    nodes, edges = wg.build_word_network(tokens_df(spark, []))
+    assert nodes.count() == 0 and edges.count() == 0
