@@ -373,29 +373,3 @@ def test_odd_vectors(spark):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, rank string")
     got = ann.search(df).orderBy("query_id", "rank").collect()
     assert [(r["query_id"], r["rank"], r["vec_id"]) for r in got] == [(0, n, n) for n in range(1, 21)] + [(20, n + 1, n) for n in range(20)]
-
-
-def test_measured_pairs_grow_with_the_group(spark, monkeypatch):
-    """One group of near copies, many of them linked with its middle only and some with none."""
-    counts, measure = [], jaccard._measured
-
-    def counted(pairs, sets, percent):
-        out = measure(pairs, sets, percent)
-        counts[-1] += out.count()
-        return out
-
-    monkeypatch.setattr(jaccard, "_measured", counted)
-    rng = random.Random(12)
-    base = [f"w{i}" for i in range(200)]
-    for size in (60, 480):
-        rows = [(0, " ".join(base))]
-        for i in range(1, size):
-            words = list(base)
-            for k in rng.sample(range(200), rng.choice((1, 2, 3, 9))):
-                words[k] = f"e{rng.randrange(10**6)}"
-            rows.append((i, " ".join(words)))
-        counts.append(0)
-        docs = spark.createDataFrame(rows, "doc_id long, text string")
-        got = Counter(tuple(r) for r in jaccard.join_components(docs, 80, 5).collect())
-        assert got == brute_components(rows, 80, 5)
-    assert counts[1] <= 12 * counts[0]
