@@ -6,12 +6,17 @@ siblings are like, and the density of text, links and sentences in its subtree.
 that the node belongs to the article.  Decoding then picks the most probable consistent labelling: below a
 rejected node nothing is accepted, and once a node is rejected inside the article all below it is.
 
-There are no labelled pages, so the trees learn from pages whose markup tells (``article``, ``main`` and the like, less
-what is named as menu, header, advert, form, comment, ...), on a bounded sample; scripts, styles and heads never are text.
+There are no labelled pages, so labels come from cues of three kinds, the first that a page has (``weak_labels``): elements that say
+they are the article (``article``, ``main``), class tokens that do, and else the innermost container that holds nearly all prose;
+less what is named as menu, header, advert, form, comment, ...  The trees learn from a bounded sample, each page in four guises: as
+it is, with the article's element renamed, without that element, and without any telling tag or token.  So they don't depend on
+the cues, and a page is read by its densities and depths where its markup says nothing.  Scripts, styles and heads never are text.
+
+Parsing takes time in proportion to the page, whatever its markup: one forward scan, with the places of open elements by kind.
 
 Defined results: a null or blank page has no text; text without any element around it belongs to the page's root; unclosed
-and misnested elements are closed as browsers do it, roughly; repeated rows each get their row; an empty table gives no
-rows; other columns are ignored.
+and misnested elements are closed as browsers do it, roughly; a tag that never ends is text; repeated rows each get their row;
+an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,10 +31,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linkweave.llm import trees
+from linkweave.llm.common import unit_hash
 
-#: Pages the trees are trained on, at most, and the longest of them.
+#: Pages the trees are trained on, at most, the longest of them, and their nodes in all.
 TRAIN_PAGES = 600
 TRAIN_CHARS = 200_000
+TRAIN_NODES = 200_000
+#: Nodes whose features are held at once (the page with more is taken alone).
+HELD_NODES = 20_000
+#: Depth of the trees.
+DEPTH = 4
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template textarea title iframe svg object select option button head".split())
@@ -54,8 +65,19 @@ GROUPS = {
 _TOKEN = {t: n for n, tokens in enumerate(GROUPS.values()) for t in tokens}
 _BAD = frozenset(n for n, g in enumerate(GROUPS) if g in ("menu", "frame", "side", "advert", "notice", "comment", "form"))
 _BAD_TAGS = frozenset("nav footer aside form".split())
-
-_MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*|[^>]*)>|<[!?][^>]*>", re.S)
+_ARTICLE = _TOKEN["article"]
+_ARTICLE_TAGS = frozenset(("article", "main"))
+#: Tags that say what they hold; without them all these are ``div``.
+_TELLING = _BAD_TAGS | _ARTICLE_TAGS | frozenset(("header", "section"))
+#: Elements that may hold a whole article.
+_CONTAINERS = frozenset("html body div section article main center table tbody tr td".split())
+#: Share of its parent's prose that a container has when it holds "nearly all".
+_NEARLY_ALL = 0.8
+
+_NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+#: What comes before a tag's end; a quoted value may hold the sign that ends it.
+_REST = re.compile(r"(?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+'|))*+")
+_DECIMAL = re.compile(r"&#0*([0-9]{8,})")
 _ATTRIBUTE = re.compile(r"(?:^|[\s\"'/])(class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _SPACE = re.compile(r"\s+")
 _ENDS = re.compile(r"[.!?](?:\s|$)")
@@ -85,10 +107,18 @@ def attribute_groups(attributes: str) -> frozenset[int]:
     return frozenset(found)
 
 
+def unescaped(text: str) -> str:
+    """Character references decoded; numbers beyond all code points, however long, give the replacement character."""
+    if "&" not in text:
+        return text
+    return entities.unescape(_DECIMAL.sub("&#9999999", text) if "&#" in text else text)
+
+
 def parse(page: str) -> list[Node]:
     """Nodes of a page in order of their start; the first is the root.  Blocks hang on the node right around them."""
     root = Node("#root", None, frozenset())
     nodes, open_nodes, text, at, order, link = [root], [root], [], 0, 0, 0
+    places: dict[str, list[int]] = {}  # of the open elements of a kind, in ``open_nodes``
 
     def flush() -> None:
         nonlocal order, text
@@ -99,35 +129,55 @@ def parse(page: str) -> list[Node]:
                 order += 1
             text = []
 
-    def close(kinds, stop=SCOPE) -> None:
+    def innermost(kinds) -> int:
+        return max((places[k][-1] for k in kinds if places.get(k)), default=0)
+
+    def close(kinds, stop) -> None:
         """Ends the innermost open element of these kinds, and what it holds, unless ``stop`` is in between."""
-        for n in range(len(open_nodes) - 1, 0, -1):
-            if open_nodes[n].tag in kinds:
-                flush()
-                del open_nodes[n:]
-                return
-            if open_nodes[n].tag in stop:
-                return
-
-    skip_to = 0
-    for m in _MARKUP.finditer(page):
-        if m.start() < skip_to:
+        place = innermost(kinds)
+        if place and place >= innermost(stop):
+            flush()
+            for x in open_nodes[place:]:
+                places[x.tag].pop()
+            del open_nodes[place:]
+
+    last_end, quotes, unclosed, pos = page.rfind(">"), True, set(), 0
+    while (pos := page.find("<", pos)) >= 0:
+        ends, tag, attributes = False, "", ""
+        if page.startswith("<!--", pos):
+            end = page.find("-->", pos + 2)
+            end = end + 3 if end >= 0 else len(page)
+        elif pos > last_end:
+            break
+        elif page[pos + 1] in "!?":
+            end = page.find(">", pos) + 1
+        elif m := _NAME.match(page, pos):
+            ends, tag = bool(m[1]), m[2].lower()
+            end = _REST.match(page, m.end()).end() if quotes else page.find(">", m.end())
+            if end == len(page):
+                # Quotes hide the end of this tag, so they don't count from here on: no second scan reaches the page's end in vain.
+                quotes, end = False, page.find(">", m.end())
+            attributes = page[m.end() : end]
+            end += 1
+        else:
+            pos += 1
             continue
-        if m.start() > at:
-            piece = page[at : m.start()]
-            piece = entities.unescape(piece) if "&" in piece else piece
+        if pos > at:
+            piece = unescaped(page[at:pos])
             text.append(piece)
             if link:
                 open_nodes[-1].links += len(piece)
-        at = m.end()
-        tag = (m[2] or "").lower()
+        at = pos = end
         if not tag:
             continue  # a comment, a declaration
-        ends = bool(m[1])
         if tag in RAW:
-            if not ends and not m[3].endswith("/"):
-                stop = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-                at = skip_to = stop.end() if stop else len(page) if tag in ("script", "style") else at
+            if not ends and not attributes.endswith("/"):
+                stop = None if tag in unclosed else re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
+                if stop:
+                    at = pos = stop.end()
+                else:
+                    unclosed.add(tag)
+                    at = pos = len(page) if tag in ("script", "style") else at
             if tag not in ("button", "option", "select"):
                 flush()
             continue
@@ -141,20 +191,25 @@ def parse(page: str) -> list[Node]:
         if tag in VOID:
             continue
         if ends:
-            close((tag,), SCOPE - {tag} if tag in ("p", "li", "dt", "dd") else frozenset(("html",)))
+            close((tag,), SCOPE - {tag} if tag in ("p", "li", "dt", "dd") else ("html",))
             continue
-        close(("p",))
+        close(("p",), SCOPE)
         if tag in CLOSES:
-            close(CLOSES[tag], frozenset(("ul", "ol", "dl", "table")))
-        node = Node(tag, open_nodes[-1], attribute_groups(m[3]) if m[3] else frozenset())
+            close(CLOSES[tag], ("ul", "ol", "dl", "table"))
+        node = Node(tag, open_nodes[-1], attribute_groups(attributes) if attributes else frozenset())
+        places.setdefault(tag, []).append(len(open_nodes))
         nodes.append(node)
         open_nodes.append(node)
     if at < len(page):
-        text.append(entities.unescape(page[at:]))
+        text.append(unescaped(page[at:]))
     flush()
     return nodes
 
 
+def _is_named_bad(x: Node) -> bool:
+    return x.tag in _BAD_TAGS or (_ARTICLE not in x.tokens and bool(x.tokens & _BAD))
+
+
 def features(nodes: list[Node]) -> np.ndarray:
     """One row a node."""
     n, groups = len(nodes), len(GROUPS)
@@ -163,6 +218,8 @@ def features(nodes: list[Node]) -> np.ndarray:
     own = np.zeros((n, 6))  # chars, words, blocks, link chars, sentence ends, nodes
     flags, around = np.zeros((n, groups)), np.zeros((n, groups + 2))
     tags = np.zeros((n, len(TAGS)))
+    said = np.zeros((n, 3))  # named as no part of the article: itself, something around it; the page says where its article is
+    said[:, 2] = any(x.tag in _ARTICLE_TAGS or _ARTICLE in x.tokens for x in nodes)
     for i, x in enumerate(nodes):
         if x.blocks:
             joined = " ".join(b for _, b in x.blocks)
@@ -172,12 +229,14 @@ def features(nodes: list[Node]) -> np.ndarray:
             flags[i, g] = 1
         if x.tag in TAGS:
             tags[i, TAGS.index(x.tag)] = 1
+        said[i, 0] = _is_named_bad(x)
         if x.parent:
             p = parent[i]
+            said[i, 1] = max(said[p, 0], said[p, 1])
             around[i] = around[p]
             around[i, :groups] = np.maximum(around[i, :groups], flags[p])
             around[i, groups] = max(around[i, groups], x.parent.tag in _BAD_TAGS)
-            around[i, groups + 1] = max(around[i, groups + 1], x.parent.tag in ("article", "main"))
+            around[i, groups + 1] = max(around[i, groups + 1], x.parent.tag in _ARTICLE_TAGS)
     below = own.copy()
     for i in range(n - 1, 0, -1):
         below[parent[i]] += below[i]
@@ -193,21 +252,64 @@ def features(nodes: list[Node]) -> np.ndarray:
         ],
         1,
     )
-    return np.concatenate([numeric, flags, around, tags], 1).astype(np.float64)
+    return np.concatenate([said, numeric, flags, around, tags], 1)
 
 
 def weak_labels(nodes: list[Node]) -> np.ndarray | None:
-    """1 in the article by markup, 0 outside; None for a page without such markup."""
-    state = {}
-    for x in nodes:
-        inside, bad = state[id(x.parent)] if x.parent else (False, False)
-        inside = inside or x.tag in ("article", "main")
-        named = _TOKEN["article"] not in x.tokens and bool(x.tokens & _BAD)
-        bad = bad or x.tag in _BAD_TAGS or (x.tag == "header" and not inside) or named
-        state[id(x)] = (inside, bad)
-    if not any(inside for inside, _ in state.values()):
+    """1 in the article, by the first cue that the page has, 0 outside; None for a page without any prose."""
+    place = {id(x): i for i, x in enumerate(nodes)}
+    parent = [place[id(x.parent)] if x.parent else -1 for x in nodes]
+    bad = np.zeros(len(nodes), bool)
+    prose = np.array([float(max(0, sum(len(b) for _, b in x.blocks) - x.links)) for x in nodes])
+    marked = [i for i, x in enumerate(nodes) if x.tag in _ARTICLE_TAGS]
+    for i, x in enumerate(nodes):
+        bad[i] = _is_named_bad(x) or (i > 0 and bad[parent[i]])
+    prose[bad] = 0
+    for i in range(len(nodes) - 1, 0, -1):
+        prose[parent[i]] += prose[i]
+    named = [i for i, x in enumerate(nodes) if not bad[i] and _ARTICLE in x.tokens and prose[i] * 2 >= prose[0]]
+    if not marked and not prose[0]:
         return None
-    return np.array([float(inside and not bad) for inside, bad in (state[id(x)] for x in nodes)])
+    regions = set(marked or named[-1:] or [_densest(nodes, place, prose, bad)])
+    out = np.zeros(len(nodes))
+    inside = np.zeros(len(nodes), bool)
+    for i, x in enumerate(nodes):
+        inside[i] = i in regions or (i > 0 and inside[parent[i]])
+        out[i] = inside[i] and not bad[i]
+        if x.tag == "header" and not inside[i]:
+            bad[i] = True
+    return out
+
+
+def _densest(nodes: list[Node], place: dict[int, int], prose: np.ndarray, bad: np.ndarray) -> int:
+    """The innermost container on the way down that holds nearly all prose of the one around it."""
+    at = 0
+    while True:
+        inner = [place[id(c)] for c in nodes[at].children if c.tag in _CONTAINERS]
+        inner = [i for i in inner if not bad[i] and prose[i] >= _NEARLY_ALL * prose[at]]
+        if not inner:
+            return at
+        at = inner[0]
+
+
+def disguised(nodes: list[Node], labels: np.ndarray, unwrap: bool, plain: bool) -> tuple[list[Node], np.ndarray]:
+    """The page with what says "article" taken out: its elements renamed or (``unwrap``) left out; ``plain``: without any
+    telling tag or token."""
+    new: dict[int, Node] = {}
+    out, kept = [], []
+    for i, x in enumerate(nodes):
+        up = new[id(x.parent)] if x.parent else None
+        if unwrap and up and (x.tag in _ARTICLE_TAGS or _ARTICLE in x.tokens) and labels[i]:
+            new[id(x)] = up
+            up.blocks += x.blocks
+            up.links += x.links
+            continue
+        tag = "div" if x.tag in (_TELLING if plain else _ARTICLE_TAGS) else x.tag
+        y = new[id(x)] = Node(tag, up, frozenset() if plain else x.tokens - {_ARTICLE})
+        y.blocks, y.links = list(x.blocks), x.links
+        out.append(y)
+        kept.append(labels[i])
+    return out, np.array(kept)
 
 
 OUT, IN, REJECTED = 0, 1, 2
@@ -251,34 +353,51 @@ def texts(pages: list[list[Node]], model: trees.Boosted) -> list[str]:
     return out
 
 
-def train(pages: DataFrame, key: str = "page_id", html: str = "html", limit: int = TRAIN_PAGES, chars: int = TRAIN_CHARS) -> trees.Boosted:
-    """Trees from at most ``limit`` pages of at most ``chars`` characters, taken by hash of their key."""
-    usable = pages.select(F.col(key).alias("id"), F.col(html).alias("html")).filter(F.length("html").between(1, chars))
-    step = max(1, usable.count() // limit)
-    sample = usable.filter(F.pmod(F.xxhash64("id"), F.lit(step)) == 0).select("html").limit(limit).collect()
-    xs, ys = [], []
-    for row in sample:
+def train(pages: DataFrame, html: str = "html", limit: int = TRAIN_PAGES, chars: int = TRAIN_CHARS) -> trees.Boosted:
+    """Trees from at most ``limit`` pages of at most ``chars`` characters, taken by hash."""
+    usable = pages.select(F.col(html).alias("html")).filter(F.length("html").between(1, chars))
+    share = min(1.0, 2 * limit / max(1, usable.count()))
+    # By hash: first a share that holds enough, then its smallest hashes.
+    sample = usable.withColumn("u", unit_hash("html")).filter(F.col("u") <= share).orderBy("u", "html").limit(limit)
+    xs, ys, held = [], [], 0
+    for row in sample.select("html").collect():
         nodes = parse(row["html"])
-        if (y := weak_labels(nodes)) is not None:
-            xs.append(features(nodes))
-            ys.append(y)
+        if (y := weak_labels(nodes)) is None or held + len(nodes) > TRAIN_NODES:
+            continue
+        held += len(nodes)
+        for part, labels in ((nodes, y), disguised(nodes, y, False, False), disguised(nodes, y, True, False), disguised(nodes, y, False, True)):
+            xs.append(features(part))
+            ys.append(labels)
     if not xs:
         return trees.fit(np.empty((0, 1)), np.empty(0))
-    return trees.fit(np.concatenate(xs), np.concatenate(ys))
+    return trees.fit(np.concatenate(xs), np.concatenate(ys), depth=DEPTH)
+
+
+def _groups(pages: Iterator[list[Node]]) -> Iterator[list[list[Node]]]:
+    """Pages in groups of about ``HELD_NODES`` nodes."""
+    group, held = [], 0
+    for nodes in pages:
+        if group and held + len(nodes) > HELD_NODES:
+            yield group
+            group, held = [], 0
+        group.append(nodes)
+        held += len(nodes)
+    yield group
 
 
 def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html", model: trees.Boosted | None = None) -> DataFrame:
     """``(key, url, text)`` for every row."""
-    model = model or train(pages, key, html)
+    model = model or train(pages, html)
     slim = pages.select(F.col(key), F.col(url), F.coalesce(F.col(html), F.lit("")).alias("_html"))
     told = pages.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                found = texts([parse(x.as_py()) for x in part.column(2)], told.value)
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(found, pa.string())], [key, url, "text"])
+            at = 0
+            for group in _groups(parse(x.as_py()) for x in batch.column(2)):
+                part = batch.slice(at, len(group))
+                at += len(group)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts(group, told.value), pa.string())], [key, url, "text"])
 
     kinds = [f.dataType.simpleString() for f in slim.schema]
     return slim.mapInArrow(run, f"`{key}` {kinds[0]}, `{url}` {kinds[1]}, text string")

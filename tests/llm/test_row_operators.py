@@ -36,6 +36,14 @@ def test_quality_counts(spark, sf_dir, odd_docs):
         assert not quality.score(docs).filter("kept and base_failed").count()
 
 
+@pytest.mark.parametrize("window_hash", ["shiftleft(pmod(xxhash64({a}, {b}, {c}), 3), 61)", "0L * length({a})"])
+def test_quality_counts_when_hashes_collide(spark, odd_docs, window_hash):
+    words = [(100, "a b c x y z a b c x y z q r s"), (101, "a b a b a b c"), (102, " ".join("abcdefg"[i * i % 7] for i in range(300)))]
+    docs = odd_docs.select("doc_id", "text").union(spark.createDataFrame(words, "doc_id long, text string"))
+    got = Counter((r["doc_id"], r["n_repeat_words"]) for r in quality.with_counts(docs, window_hash=window_hash).collect())
+    assert got == Counter((r["doc_id"], base_counts(r["text"])[4]) for r in docs.collect())
+
+
 def test_quality_rules_reject_and_keep(spark):
     prose = " ".join(f"the {w} of" for w in "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
     symbols = " ".join(f"w{i} ### the" for i in range(60))

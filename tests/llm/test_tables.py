@@ -1,8 +1,10 @@
 """Sharding, mixing, Jaccard join, language model, page text, neighbours and the pipeline against plain Python."""
 
+import itertools
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -83,6 +85,20 @@ def test_mixing(spark, sf_dir, odd_docs):
         assert again == Counter(map(tuple, rows))
 
 
+def test_mixing_parts_rows_alike(spark):
+    """A third of the rows are equal: their sums go on without gaps, whatever partition they are in."""
+    rows = [(None, "same old words", "a")] * 300 + [(i, "w " * (i % 9 + 1), "ab"[i % 2]) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(6)
+    got = mixing.mix(docs, weights=(1.0, 5.0)).collect()
+    assert len(got) == 900
+    for s in "ab":
+        of = [r for r in got if r["source"] == s]
+        assert abs(sum(r["taken"] for r in of) - of[0]["target"]) <= max(r["size"] for r in of) / 2
+    first = mixing.mix(docs, weights=(1.0, 5.0)).groupBy("doc_id", "source").agg({"taken": "sum"}).collect()
+    again = mixing.mix(docs.coalesce(1), weights=(1.0, 5.0)).groupBy("doc_id", "source").agg({"taken": "sum"}).collect()
+    assert Counter(map(tuple, first)) == Counter(map(tuple, again))
+
+
 def test_mixed_documents(spark, odd_docs):
     out = mixing.mixed_documents(odd_docs)
     assert out.columns == odd_docs.columns
@@ -321,6 +337,92 @@ def test_odd_pages(spark, sf_dir):
     assert "no" not in got[7].split() and "menu" not in got[5]
 
 
+FORMS = {
+    "div": lambda p: p.replace("<article>", "<div>").replace("</article>", "</div>"),
+    "named": lambda p: p.replace("<article>", '<div class="post">').replace("</article>", "</div>"),
+    "stripped": lambda p: p.replace("<article>", "").replace("</article>", ""),
+    "no names": lambda p: re.sub(r"<(/?)(?:article|nav|footer)>", r"<\1div>", p).replace(' class="ad"', ""),
+}
+
+
+@pytest.mark.parametrize("form", FORMS)
+@pytest.mark.parametrize("own", [True, False])
+def test_page_text_without_article_markup(spark, sf_dir, form, own):
+    """Trained on the pages as they are, and (where anything is named) on the changed pages themselves."""
+    if own and form == "no names":
+        pytest.skip("nothing on such pages tells the article")
+    pages = [r["html"] for r in table(spark, "/root/testdata/sf0.01", "pages").collect()]
+    changed = spark.createDataFrame([(i, "u", FORMS[form](p)) for i, p in enumerate(pages)], "page_id long, url string, html string")
+    model = html_extract.train(changed if own else table(spark, sf_dir, "pages"))
+    got = {r["page_id"]: r["text"] for r in html_extract.extract(changed, model=model).collect()}
+    right = found = other = every = 0
+    for i, page in enumerate(pages):
+        want, lines = Counter(article(page).split("\n")), Counter(got[i].split("\n"))
+        blocks = Counter(b for x in html_extract.parse(page) for _, b in x.blocks)
+        size = lambda c: sum(len(x) * n for x, n in c.items())
+        right += size(want)
+        found += size(want & lines)
+        other += size(lines - want)
+        every += size(blocks - want)
+    assert found >= 0.9 * right and other <= 0.1 * every
+
+
+@pytest.mark.parametrize(
+    "page",
+    ["<a " * 300_000, '<a "' * 250_000, "<center>" * 120_000, "<a ='>'" * 140_000, "<textarea>" * 100_000, "<!-- " * 200_000, "<li><section>" + "<center>" * 50_000 + "</li>" * 50_000, "<" * 10**6, '<a ="' * 200_000 + ">"],
+    ids=range(9),
+)
+def test_parsing_is_linear(page):
+    start = time.process_time()
+    html_extract.parse(page)
+    assert time.process_time() - start < 10
+
+
+def test_character_references():
+    assert html_extract.unescaped("&eacute;&#33;&#x21;&amp;lt;") == "é!!&lt;"
+    assert html_extract.unescaped("a&#" + "0" * 9000 + "65;" + "&#" + "9" * 9000 + ";") == "aA\ufffd"
+
+
+def test_quoted_values_hide_the_end_of_a_tag():
+    blocks = lambda page: [b for x in html_extract.parse(page) for _, b in x.blocks]
+    assert blocks('<p title="a>b">c</p>') == ["c"]
+    assert blocks("<p it's>c</p>") == ["c"]
+    assert blocks('<p title="a>b c') == ['b c']
+
+
+def test_labels_by_each_cue():
+    prose = "<p>" + "Some words of an article. " * 9 + "</p>"
+    frame = "<body><nav><a href=x>menu</a></nav>{}<div class=ad>buy now</div><footer>small print</footer></body>"
+    for inside in ("<article>{}</article>", "<div class=post>{}</div>", "<div>{}</div>", "{}"):
+        nodes = html_extract.parse(frame.format(inside.format(prose * 2)))
+        labels = html_extract.weak_labels(nodes)
+        assert {x.tag for x, y in zip(nodes, labels, strict=True) if y and x.blocks} == {"p"}
+        assert not any(y for x, y in zip(nodes, labels, strict=True) if x.blocks and x.tag != "p")
+    assert html_extract.weak_labels(html_extract.parse("<nav><a href=x>menu</a></nav>")) is None
+
+
+def test_decoding_equals_the_best_of_all_labellings():
+    """Every labelling where what is below an article's rejected node is rejected, too."""
+    rng = random.Random(5)
+    for _ in range(40):
+        nodes = [html_extract.Node("#root", None, frozenset())]
+        for n in range(rng.randrange(1, 7)):
+            nodes.append(html_extract.Node("div", rng.choice(nodes), frozenset()))
+            nodes[-1].blocks = [(n, "x" * rng.randrange(1, 50))] * rng.randrange(2)
+        order = {id(x): i for i, x in enumerate(nodes)}
+        up = [order[id(x.parent)] if x.parent else -1 for x in nodes]
+        p = np.array([rng.uniform(0.02, 0.98) for _ in nodes])
+        weight = [0.25 + math.log1p(sum(len(b) for _, b in x.blocks)) for x in nodes]
+        best = (-math.inf, None)
+        for states in itertools.product((0, 1, 2), repeat=len(nodes)):  # outside, inside, rejected
+            if any(u < 0 and s == 2 or u >= 0 and (s != 2 and states[u] == 2 or s == 0 and states[u] == 1) for s, u in zip(states, up, strict=True)):
+                continue
+            total = sum(w * math.log(q if s == 1 else 1 - q) for s, w, q in zip(states, weight, p, strict=True))
+            best = max(best, (total, tuple(s == 1 for s in states)))
+        kept = html_extract.decode(nodes, p)
+        assert sum(w * math.log(q if k else 1 - q) for k, w, q in zip(kept, weight, p, strict=True)) == pytest.approx(best[0])
+
+
 def test_decoding_is_consistent():
     nodes = html_extract.parse("<div><article><p>a</p><div class=ad><p>b</p></div></article></div>")
     names = [x.tag for x in nodes]
