@@ -2,7 +2,8 @@
 
 Counts are array functions inside the document row: no shuffle, no user functions.  For repeated three-word
 windows, each window's hash and position are packed into one long, sorted as plain longs, and equal neighbours
-are confirmed word by word, so a hash never decides alone.
+are confirmed word by word.  Where neighbours have equal hashes but different words, that text's windows are sorted by
+their words instead, so a hash never decides alone.
 
 Defined results: a null text is empty: all counts 0, failed; repeated rows each get their row; an empty table
 gives no rows; other columns pass through ``with_counts`` untouched and are ignored by ``score``.
@@ -61,11 +62,17 @@ RULES = (
 )
 
 
-def with_counts(docs: DataFrame, text: str = "text") -> DataFrame:
+#: Hash of the window of words {a}, {b}, {c}.
+WINDOW_HASH = "xxhash64({a}, {b}, {c})"
+
+
+def with_counts(docs: DataFrame, text: str = "text", window_hash: str = WINDOW_HASH) -> DataFrame:
     """``docs`` plus ``n_words, n_chars_all, word_chars, n_symbols, n_stop_words, n_lines, n_dup_lines, n_repeat_words``
     (long).  The helper columns ``_q_*`` are staged, so that each is computed once."""
     body = F.coalesce(F.col(text), F.lit(""))
     stops = ",".join(f"'{w}'" for w in sorted(set(STOP_WORDS)))
+    hashed = window_hash.format(a="w", b="get(_q_words, i + 1)", c="get(_q_words, i + 2)")
+    windows = "slice(_q_words, 1, greatest(size(_q_words) - 2, 0))"
     staged = (
         docs.withColumn("_q_words", word_array(F.col(text)))
         .withColumn("_q_lines", F.filter(F.split(body, "\n", -1), lambda line: line.rlike(f"[^{SPACE}]")))
@@ -74,20 +81,31 @@ def with_counts(docs: DataFrame, text: str = "text") -> DataFrame:
         .withColumn(
             "_q_windows",
             F.expr(
-                "sort_array(transform(slice(_q_words, 1, greatest(size(_q_words) - 2, 0)), (w, i) -> "
-                "shiftleft(shiftright(xxhash64(w, get(_q_words, i + 1), get(_q_words, i + 2)), _q_bits), _q_bits) | cast(i as bigint)))"
+                f"sort_array(transform({windows}, (w, i) -> shiftleft(shiftright({hashed}, _q_bits), _q_bits) | cast(i as bigint)))"
             ),
         )
         .withColumn("_q_mask", F.expr("shiftleft(1L, _q_bits) - 1"))
     )
 
-    def same(other: str) -> str:
-        words = " and ".join(f"get(_q_words, cast(v & _q_mask as int) + {k}) = get(_q_words, cast({other} & _q_mask as int) + {k})" for k in range(3))
-        return f"(shiftright(v, _q_bits) = shiftright({other}, _q_bits) and {words})"
+    def alike(other: str) -> str:
+        return f"shiftright(v, _q_bits) = shiftright({other}, _q_bits)"
+
+    def same_words(other: str) -> str:
+        return " and ".join(f"get(_q_words, cast(v & _q_mask as int) + {k}) = get(_q_words, cast({other} & _q_mask as int) + {k})" for k in range(3))
+
+    def neighbour(test: str) -> str:
+        return " or ".join("(" + test.format(f"get(_q_sorted, i {d} 1)") + ")" for d in "-+")
 
-    staged = staged.withColumn(
-        "_q_repeats",
-        F.expr(f"transform(filter(_q_windows, (v, i) -> {same('get(_q_windows, i - 1)')} or {same('get(_q_windows, i + 1)')}), v -> v & _q_mask)"),
+    after, before = "get(_q_windows, i + 1)", "get(_q_windows, i - 1)"
+    by_hash = f"filter(_q_windows, (v, i) -> ({alike(before)} and {same_words(before)}) or ({alike(after)} and {same_words(after)}))"
+    by_words = f"filter(_q_sorted, (x, i) -> {neighbour('x.a = {0}.a and x.b = {0}.b and x.c = {0}.c')})"
+    staged = (
+        staged.withColumn("_q_mixed", F.expr(f"exists(transform(_q_windows, (v, i) -> {alike(after)} and not ({same_words(after)})), x -> x)"))
+        .withColumn(
+            "_q_sorted",
+            F.expr(f"if(_q_mixed, sort_array(transform({windows}, (w, i) -> named_struct('a', w, 'b', get(_q_words, i + 1), 'c', get(_q_words, i + 2), 'at', cast(i as bigint)))), array())"),
+        )
+        .withColumn("_q_repeats", F.expr(f"if(_q_mixed, transform({by_words}, x -> x.at), transform({by_hash}, v -> v & _q_mask))"))
     )
     covered = F.expr("size(array_union(array_union(_q_repeats, transform(_q_repeats, p -> p + 1)), transform(_q_repeats, p -> p + 2)))")
     squeezed = F.length(F.translate(body, SPACE_CHARS, ""))
@@ -101,7 +119,7 @@ def with_counts(docs: DataFrame, text: str = "text") -> DataFrame:
             "n_dup_lines": (F.size("_q_lines") - F.size(F.array_distinct("_q_lines"))).cast("long"),
             "n_repeat_words": F.when(F.size("_q_repeats") > 0, covered).otherwise(0).cast("long"),
         }
-    ).drop("_q_words", "_q_lines", "_q_n", "_q_bits", "_q_windows", "_q_mask", "_q_repeats")
+    ).drop("_q_words", "_q_lines", "_q_n", "_q_bits", "_q_windows", "_q_mask", "_q_mixed", "_q_sorted", "_q_repeats")
 
 
 def verdict(rules=RULES) -> tuple[Column, Column]:
