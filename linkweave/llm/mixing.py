@@ -6,7 +6,8 @@ the target is drawn without replacement: each document gets the key -ln(u) / w (
 budget.  Small keys come first, which is the same order as u ** (1 / w), largest first.
 
 Defined results: a null source is a source of its own, after all others; a null or blank text has size 0 and
-quality 0 and takes nothing; documents with equal keys (repeated ids) go by size and check sum; a source
+quality 0 and takes nothing; documents with equal keys (repeated ids) go by size and check sum, equal ones of these are
+summed by written partition first (they may be a third of all rows) and numbered within it; a source
 without words has target 0; an empty table gives no rows; other columns are ignored.
 """
 
@@ -14,7 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from linkweave.llm.common import running_total, unit_hash, word_count
@@ -85,6 +86,8 @@ def mix(
             word_count(F.col(text)).alias("size"),
             F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary")).alias("_crc"),
             (-F.log(unit_hash(F.col(key), seed=seed)) / quality_weight(F.col(text))).alias("_key"),
+            F.spark_partition_id().alias("_part"),
+            F.monotonically_increasing_id().alias("_place"),
             *([F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("document")] if keep_rows else []),
         ),
         "mix-keys",
@@ -97,7 +100,11 @@ def mix(
         .withColumn("_rest", F.col("target") - F.col("epochs") * F.col("source_size"))
         .withColumn("_bucket", F.floor((F.lit(1.0) - F.exp(-F.col("_key"))) * KEY_BUCKETS))
     )
-    summed = running_total(planned, ["source_rank"], "_bucket", ["_key", "size", "_crc"], "size", "_before")
+    alike = ["source_rank", "_bucket", "_key", "size", "_crc", "_part"]
+    words = planned.groupBy(*alike).agg(F.sum("size").alias("_words"))
+    before = running_total(words, ["source_rank"], "_bucket", ["_key", "size", "_crc", "_part"], "_words", "_earlier").select(*alike, "_earlier")
+    nth = F.row_number().over(Window.partitionBy(*alike).orderBy("_place")) - 1
+    summed = planned.withColumn("_nth", nth).join(before, alike).withColumn("_before", F.col("_earlier") + F.col("_nth") * F.col("size"))
     picked = (F.col("epochs") < max_epochs) & (F.col("_before") + F.col("size") / 2 < F.col("_rest"))
     return summed.withColumn("picked", picked).select(
         F.col("key").alias(key),
