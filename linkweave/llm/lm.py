@@ -211,8 +211,10 @@ def learn_weights(sums: list[tuple[int, int, int, int]], v: int) -> np.ndarray:
 
 
 def _dealt(docs: DataFrame, blocks: int) -> DataFrame:
-    """``docs`` written once, one bucket a block on average: grouping by block needs no further exchange."""
+    """``docs`` written once, one bucket a block on average (as long as the session allows so many): grouping by block
+    needs no further exchange."""
     spark = docs.sparkSession
+    blocks = min(blocks, int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets", "100000")))
     name = f"lm_blocks_{uuid.uuid4().hex}"
     writer = docs.repartition(blocks, "block").write.bucketBy(blocks, "block").option("compression", "zstd")
     writer.option("path", scratch_path(spark, f"tables/{name}")).saveAsTable(name)
@@ -225,7 +227,8 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", block_bytes:
     size = docs.agg(F.coalesce(F.sum(F.octet_length(body)), F.lit(0)), F.coalesce(F.sum((~held_out(F.col(key))).cast("long")), F.lit(0))).first()
     blocks = max(1, math.ceil(size[0] / block_bytes))
     n_texts = int(size[1])
-    block = F.pmod(F.xxhash64(key, F.crc32(body.cast("binary"))), F.lit(blocks)).cast("int")
+    # The partition parts rows with one id and text, which may be a third of all.
+    block = F.pmod(F.xxhash64(key, F.crc32(body.cast("binary")), F.spark_partition_id()), F.lit(blocks)).cast("int")
     slim = _dealt(docs.select(F.col(key).alias("id"), body.alias("text"), held_out(F.col(key)).alias("held_out"), block.alias("block")), blocks)
     counted = slim.groupBy("block").applyInArrow(_block_counts(blocks), COUNTS)
     totals = materialize(counted.groupBy("range").applyInArrow(_range_totals, TOTALS), "lm-totals")
