@@ -77,7 +77,7 @@ _NEARLY_ALL = 0.8
 _NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
 #: What comes before a tag's end; a quoted value may hold the sign that ends it.
 _REST = re.compile(r"(?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+'|))*+")
-_DECIMAL = re.compile(r"&#0*([0-9]{8,})")
+_DECIMAL = re.compile(r"&#0*+([0-9]*+)")
 _ATTRIBUTE = re.compile(r"(?:^|[\s\"'/])(class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _SPACE = re.compile(r"\s+")
 _ENDS = re.compile(r"[.!?](?:\s|$)")
@@ -111,7 +111,9 @@ def unescaped(text: str) -> str:
     """Character references decoded; numbers beyond all code points, however long, give the replacement character."""
     if "&" not in text:
         return text
-    return entities.unescape(_DECIMAL.sub("&#9999999", text) if "&#" in text else text)
+    if "&#" in text:
+        text = _DECIMAL.sub(lambda m: m[0] if len(m[0]) < 12 else "&#" + ((m[1] or "0") if len(m[1]) < 8 else "9999999"), text)
+    return entities.unescape(text)
 
 
 def parse(page: str) -> list[Node]:
