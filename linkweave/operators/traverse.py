@@ -12,7 +12,8 @@ a lost executor does not lose the visited set; the driver gets one count per
 level.
 
 Links to pages without content are dropped once, before the first level, and
-the rest is written once, bucketed by (source, part).  A page has one part for
+the rest is written once, bucketed by (source, part), with a bucket for so many links
+that its sort fits a task however many links there are.  A page has one part for
 each ``links_per_part`` of its links, so a hub's links spread over as many
 buckets as they need and all other pages have one; a row of the frontier is
 repeated once per part of its own page.  A level's join reads the buckets where
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 
 from linkweave.functions.fixed import DEFAULT_MAX_ARTICLES, DEFAULT_MAX_DEPTH
 from linkweave.operators.ids import assign_ids
-from linkweave.session import discard, ensure_checkpoint_dir, materialize, scratch_path
+from linkweave.session import discard, ensure_checkpoint_dir, materialize, scratch_path, wide_shuffles
 
 #: Links of one page that stay together.
 LINKS_PER_PART = 100_000
@@ -99,10 +100,23 @@ def traverse(
     n = level.count()
     if n == 0:
         return empty
-    usable = links.join(avail.withColumnRenamed("url", "target"), "target", "left_semi")
-    adjacency = Adjacency(usable, links_per_part)
+    written = materialize(links.select("source", "target"), "links")
+    with wide_shuffles(spark, written.count()):
+        usable = written.join(avail.withColumnRenamed("url", "target"), "target", "left_semi")
+        adjacency = Adjacency(usable, links_per_part)
+        discard(written)
+        levels = _levels(adjacency, level, max_depth, max_articles, ranked)
+    adjacency.drop()
+    out = levels[0]
+    for lv in levels[1:]:
+        out = out.unionByName(lv)
+    return out
+
+
+def _levels(adjacency: Adjacency, level: DataFrame, max_depth: int | None, max_articles: int | None, ranked: bool) -> list[DataFrame]:
+    """The written levels ``(url, depth, ord)`` of the walk from ``level`` on."""
     levels = [level]
-    visited_count = n
+    visited_count = level.count()
     depth = 0
     while max_depth is None or depth < max_depth:
         if max_articles is not None and visited_count >= max_articles:
@@ -132,11 +146,7 @@ def traverse(
         levels.append(level)
         visited_count += n
         depth += 1
-    adjacency.drop()
-    out = levels[0]
-    for lv in levels[1:]:
-        out = out.unionByName(lv)
-    return out
+    return levels
 
 
 def visited_list(visited: DataFrame) -> DataFrame:

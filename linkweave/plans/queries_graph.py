@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from linkweave.operators import community as cm
 from linkweave.operators.traverse import traverse, visited_list
+from linkweave.session import wide_shuffles
 from linkweave.sources.tables import read_table
 
 PART_CLASSES = 25
@@ -92,10 +93,11 @@ def q_top_nodes(spark, sf_dir):
 
 def _traversal_inputs(spark, sf_dir):
     li = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"])
-    pairs = li.select(
+    # Distinct as numbers, which take a third of the memory that the labels would.
+    pairs = li.select("l_partkey", "l_suppkey").distinct().select(
         F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("p"),
         F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("s"),
-    ).distinct()
+    )
     links = pairs.select(F.col("p").alias("source"), F.col("s").alias("target")).unionByName(
         pairs.select(F.col("s").alias("source"), F.col("p").alias("target"))
     )
@@ -106,19 +108,22 @@ def _traversal_inputs(spark, sf_dir):
     return links, parts.unionByName(sups), seed
 
 
-def q_traversal_depth(spark, sf_dir):
+def _traversed(spark, sf_dir, **limits):
     links, avail, seed = _traversal_inputs(spark, sf_dir)
-    return traverse(links, avail, seed, max_depth=100, max_articles=None, order=False).select("url", F.col("depth").cast("long"))
+    with wide_shuffles(spark, read_table(spark, sf_dir, "lineitem", ["l_partkey"]).count()):
+        return traverse(links, avail, seed, max_depth=100, **limits)
+
+
+def q_traversal_depth(spark, sf_dir):
+    return _traversed(spark, sf_dir, max_articles=None, order=False).select("url", F.col("depth").cast("long"))
 
 
 def q_traversal_order(spark, sf_dir):
-    links, avail, seed = _traversal_inputs(spark, sf_dir)
-    return traverse(links, avail, seed, max_depth=100, max_articles=100)
+    return _traversed(spark, sf_dir, max_articles=100)
 
 
 def q_visited_list(spark, sf_dir):
-    links, avail, seed = _traversal_inputs(spark, sf_dir)
-    return visited_list(traverse(links, avail, seed, max_depth=100, max_articles=100))
+    return visited_list(_traversed(spark, sf_dir, max_articles=100))
 
 
 QUERIES = {

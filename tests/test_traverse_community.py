@@ -217,3 +217,42 @@ def test_summary_of_metrics(spark):
     assert [(r.modularity_class, r.size, r.pct) for r in top] == [(0, 2, 66.67), (1, 1, 33.33)]
     nodes = cm.top_nodes(m, cm.top_communities(m, 2)).orderBy("modularity_class", "node_rank").collect()
     assert [(r.modularity_class, r.Label) for r in nodes] == [(0, "alpha"), (0, "beta"), (1, "gamma")]
+
+
+def test_rounds_in_arrays_are_the_same_rounds(spark, monkeypatch):
+    """Star rounds held as arrays give Spark's own rounds' communities, with a job or two in place of a dozen a round."""
+    from linkweave.operators import agglomerate as ag
+
+    rnd = random.Random(1)
+    edges = {(1, k) for k in range(2, 60)}
+    for _ in range(400):
+        u, v = rnd.randint(1, 160), rnd.randint(1, 160)
+        if rnd.random() < 0.3 or u % 10 == v % 10:
+            edges.add((min(u, v), max(u, v)))
+    n, e = _simple(spark, [(u, v, 1.0) for u, v in sorted(edges) if u != v])
+    rounds, found = [], {}
+    stars, near = ag.star_merges, ag.NEAR
+    monkeypatch.setattr(ag, "star_merges", lambda *x: rounds.append(1) or stars(*x))
+    for limit in (0, near):
+        monkeypatch.setattr(ag, "NEAR", limit)
+        rounds.clear()
+        found[limit] = ({(r.Id, r.community) for r in cm.greedy_communities(n, e, finish=24, moves=0).collect()}, len(rounds))
+    assert found[0][0] == found[near][0]
+    assert found[0][1] >= 2 and found[near][1] == 0
+
+
+def test_traversal_deals_its_links_by_their_number(spark, monkeypatch):
+    """A task's part of the links stays what it is when the table grows; the session's setting is put back."""
+    from linkweave import session
+    from linkweave.operators import traverse as tr
+
+    monkeypatch.setattr(session, "ROWS_PER_TASK", 10)
+    before, buckets = spark.conf.get("spark.sql.shuffle.partitions"), []
+    place = tr.Adjacency.of
+    monkeypatch.setattr(tr.Adjacency, "of", lambda self, f: buckets.append(spark.sql(f"DESCRIBE EXTENDED {self.name}").filter("col_name = 'Num Buckets'").first()[1]) or place(self, f))
+    pairs = [(f"n{k}", f"n{k * 2 + j}") for k in range(1, 200) for j in (0, 1)]
+    links = spark.createDataFrame(pairs, "source string, target string")
+    pages = spark.createDataFrame([(f"n{k}",) for k in range(1, 400)], "url string")
+    found = tr.traverse(links, pages, "n1", max_depth=2, max_articles=None)
+    assert sorted((r.url, r.depth) for r in found.collect()) == [("n1", 0), ("n2", 1), ("n3", 1), ("n4", 2), ("n5", 2), ("n6", 2), ("n7", 2)]
+    assert set(buckets) == {"40"} and spark.conf.get("spark.sql.shuffle.partitions") == before
