@@ -135,3 +135,16 @@ def test_hub_target_is_split_by_the_pruning_join(spark):
 )
 def test_declarations_and_broken_markup(html, text):
     assert parse_page(html)[0] == text
+
+
+def test_parser_holds_a_bounded_number_of_pages(spark):
+    """Pages reach Python by the hundred, not by the Arrow batch (ten thousand of any size), and each is parsed once."""
+    from linkweave.operators.html import paragraph_text
+
+    pages = spark.createDataFrame([(f"https://h.test/{k}", f'<p>t{k}</p><a href="/w{k}">x</a>') for k in range(50)] + [("https://h.test/none", None)], "url string, html string")
+    plans = {}
+    for name, df in (("text", paragraph_text(pages)), ("links", page_links(pages, base_url=None, marker="/"))):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        assert plans[name].count("BatchEvalPython") == 1 and "InPandas" not in plans[name] and "Arrow" not in plans[name]
+    assert {r.url: r.text for r in paragraph_text(pages).collect()} == {f"https://h.test/{k}": f"t{k}" for k in range(50)} | {"https://h.test/none": ""}
+    assert {(r.source, r.target) for r in page_links(pages, base_url=None, marker="/").collect()} == {(f"https://h.test/{k}", f"https://h.test/w{k}") for k in range(50)}
