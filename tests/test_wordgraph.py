@@ -134,3 +134,30 @@ def test_network_by_keys_matches_plain_python(spark, edge_pct, min_w, monkeypatc
 def test_network_without_documents(spark):
     nodes, edges = wg.build_word_network(tokens_df(spark, []))
     assert nodes.count() == 0 and edges.count() == 0
+
+
+def test_unpruned_tables_are_made_from_written_tokens(spark, tmp_path):
+    """Words, bigrams and pairs read the written tokens: no branch splits the texts again."""
+    from linkweave.plans import queries_text
+
+    rows = [(k, "river stone bridge lantern river meadow stone orchard bridge harvest") for k in range(4)] + [(9, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    for query in (queries_text.q_merged_edges, queries_text.q_word_graph_unpruned_nodes):
+        plan = query(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+        assert "documents.parquet" not in plan and "regexp_replace" not in plan
+    assert queries_text.q_node_threshold(spark, str(tmp_path)).first()[0] is not None
+
+
+def test_pairs_read_the_second_end_in_place(spark):
+    """A document of n words gives its pairs without an array of shifted copies a position."""
+    tokens = spark.createDataFrame([(["a", "b", "a", "c", "d", "b"],), ([],), (["x", "y"],), (None,)], "tokens array<string>")
+    pairs = wg.cooccurrence_pairs(tokens, 3)
+    assert "arrays_zip" not in pairs._jdf.queryExecution().executedPlan().toString()
+    got = {(r.w1, r.w2): r.Weight for r in wg.cooccurrence(tokens, 3).collect()}
+    words, want = ["a", "b", "a", "c", "d", "b"], {}
+    for s in range(len(words) - 2):
+        for i in range(s, s + 3):
+            for j in range(i + 1, s + 3):
+                key = tuple(sorted((words[i], words[j])))
+                want[key] = want.get(key, 0) + 1
+    assert got == want
