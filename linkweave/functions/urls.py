@@ -10,6 +10,7 @@ would still be evaluated for every row).
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -127,6 +128,19 @@ def clean_label(label: Column | str, base_url: str | Column, marker: str = DEFAU
 
 # -- Python URL library, vectorised -----------------------------------------
 
+# An href that urljoin puts behind the base's root as it is: segments that are neither empty nor dots, and no query, fragment,
+# parameters, white space or control characters.
+_ROOTED = re.compile(r"(?:/(?!\.{1,2}(?:/|\Z))[^/?#;\s\x00-\x20\x7f]+)+")
+
+
+@lru_cache(maxsize=1024)
+def _joined_root(base: str) -> str | None:
+    """What urljoin puts before a rooted path; null unless ``base`` is an http(s) URL."""
+    from urllib.parse import urljoin
+
+    return urljoin(base, "/x")[:-2] if re.match(r"https?://[^/?#\s]", base) else None
+
+
 def join_url(base: str | None, href: str | None) -> str | None:
     """U5 for one href; null when it cannot be parsed (say, an unclosed IPv6 host)."""
     from urllib.parse import urljoin
@@ -134,7 +148,8 @@ def join_url(base: str | None, href: str | None) -> str | None:
     if base is None or href is None:
         return None
     try:
-        return urljoin(base, href)
+        root = _joined_root(base)
+        return root + href if root and _ROOTED.fullmatch(href) else urljoin(base, href)
     except ValueError:
         return None
 
@@ -181,7 +196,9 @@ def resolve_links(df: DataFrame, base_col: str, href_col: str, out_col: str = "t
 # URL split, and U2 refers to its input three times.  Over a table, the staged
 # forms below compute each part once as its own column (the optimizer keeps
 # them apart because each is read more than once), which keeps generated code
-# small and evaluates every regular expression once per row.
+# small and evaluates every regular expression once per row.  The verdict comes
+# out of a generator: a filter on a plain column would be pushed below the
+# stages, with every one written out in its condition, dozens of times over.
 
 
 def with_title_validity(df: DataFrame, title_col: str, out_col: str = "valid") -> DataFrame:
@@ -197,7 +214,13 @@ def with_title_validity(df: DataFrame, title_col: str, out_col: str = "valid") -
         & ~F.coalesce(F.col("_tns").isin(list(EXCLUDED_NAMESPACES)), F.lit(False)),
         F.lit(False),
     )
-    return staged.withColumn(out_col, valid).drop("_ts", "_tns")
+    return _with_verdict(staged, out_col, valid).drop("_ts", "_tns")
+
+
+def _with_verdict(df: DataFrame, out_col: str, verdict: Column) -> DataFrame:
+    """``out_col`` = ``verdict``, made where it is and not where a filter on it could go."""
+    kept = [c for c in df.columns if c != out_col]
+    return df.select(*kept, F.explode_outer(F.array(verdict)).alias(out_col))
 
 
 def with_url_validity(
@@ -222,4 +245,4 @@ def with_url_validity(
         & F.col("_tvalid"),
         F.lit(False),
     )
-    return staged.withColumn(out_col, ok).drop("_net", "_path", "_qf", "_name", "_title", "_tvalid")
+    return _with_verdict(staged, out_col, ok).drop("_net", "_path", "_qf", "_name", "_title", "_tvalid")

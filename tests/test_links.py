@@ -148,3 +148,22 @@ def test_parser_holds_a_bounded_number_of_pages(spark):
         assert plans[name].count("BatchEvalPython") == 1 and "InPandas" not in plans[name] and "Arrow" not in plans[name]
     assert {r.url: r.text for r in paragraph_text(pages).collect()} == {f"https://h.test/{k}": f"t{k}" for k in range(50)} | {"https://h.test/none": ""}
     assert {(r.source, r.target) for r in page_links(pages, base_url=None, marker="/").collect()} == {(f"https://h.test/{k}", f"https://h.test/w{k}") for k in range(50)}
+
+
+def test_joined_as_the_library_does():
+    from urllib.parse import urljoin
+
+    hrefs = ["/wiki/Heron", "/wiki/a/b", "/wiki/", "/", "", "//fish.example.org/x", "/a//b", "/a/./b", "/a/../b", "/..", "/a/..", "/.a/..b/...", "/a;p", "/a/b;p/c"]
+    hrefs += ["/a?", "/a?x=1", "/a#", "/a#f", "/a b", " /a", "/a ", "/a\tb", "/a\n", "/a\xa0b", "/Help:X", "/[x]", "/a\\b", "/K\u00f6hler", "/\x00a", "/a%20b", "http:/a", "/a:80", "b/c", "mailto:a@b.c"]
+    for base in (SITE, SITE + "/", SITE + "/de/wiki/Start?x#y", "HTTP://Birds.test/a", "http://u:p@h.test:80", "http:///x", "http:a", "ftp://h.test/a", "https://h.test;p", "mailto:a@b.c", "", "/a/b"):
+        assert [join_url(base, h) for h in hrefs] == [urljoin(base, h) for h in hrefs], base
+    assert join_url("http://[bad/x", "/wiki/Wren") is None
+
+
+def test_url_checks_are_run_once_per_link(spark):
+    pages = spark.createDataFrame([(SITE + "/p", '<a href="/wiki/Heron">h</a>')], "url string, html string")
+    titles = spark.createDataFrame([(SITE + "/p", ["Heron"])], "url string, link_titles array<string>")
+    for links in (page_links(pages, SITE), page_links(pages), api_links(titles, SITE)):
+        plan = links._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("regexp_") <= 16
+        assert not any("regexp_" in line for line in plan.splitlines() if "Filter" in line)
