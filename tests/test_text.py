@@ -147,3 +147,33 @@ def test_annotations_are_merged_by_place(spark):
 def test_no_annotations(spark):
     got = annotated_documents(docs_df(spark, ["red green", ""]), spark.createDataFrame([], NOTES)).collect()
     assert sorted((r.doc_ord, list(r.words), list(r.entities)) for r in got) == [(0, ["red", "green"], []), (1, [], [])]
+
+
+def test_counted_tokens_by_count_and_place(spark):
+    from linkweave.functions.text import counted_tokens
+
+    rows = [(0, ["b", "two words", "b", "a", "ä", "a", "c"]), (1, None), (2, []), (3, ["c", "b"]), (4, ["z"] * 3)]
+    df = spark.createDataFrame(rows, "doc_ord long, tokens array<string>").coalesce(1)
+    got = {r.doc_ord: r.c for r in df.select("doc_ord", counted_tokens("tokens", 3).alias("c")).collect()}
+    assert got[0].runs == [(-2, 3, "a"), (-2, 0, "b"), (-1, 6, "c"), (-1, 1, "two words"), (-1, 4, "ä")]
+    assert got[0].top == [(-2, 0, "b"), (-2, 3, "a"), (-1, 1, "two words")]
+    assert got[1].runs is None and got[1].top is None and got[2].runs == [] and got[2].top == []
+    assert got[3].top == [(-1, 0, "c"), (-1, 1, "b")] and got[4].runs == got[4].top == [(-3, 0, "z")]
+
+
+def test_entity_graph_splits_texts_once(spark, tmp_path, monkeypatch):
+    from linkweave.operators import text as ops
+    from linkweave.plans import queries_text
+
+    rows = [(i, "Pain relief with dose control, pain relief and heart rate.") for i in range(6)] + [(6, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    calls = []
+    monkeypatch.setattr(ops, "split_tokens", lambda c, real=ops.split_tokens: calls.append(1) or real(c))
+    nodes, edges = queries_text.entity_graph(spark, str(tmp_path))
+    assert {"pain relief", "heart rate"} & {r.Label for r in nodes.collect()} and edges.count()
+    # The texts, and the phrase list.
+    assert len(calls) == 2
+    # One call to Python counts a document's tokens, whatever its readers.
+    words = spark.createDataFrame([(0, ["a", "b"])], "doc_ord long, tokens array<string>")
+    plan = ops.document_vocabulary(words)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("counted(") == 1
