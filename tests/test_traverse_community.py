@@ -256,3 +256,64 @@ def test_traversal_deals_its_links_by_their_number(spark, monkeypatch):
     found = tr.traverse(links, pages, "n1", max_depth=2, max_articles=None)
     assert sorted((r.url, r.depth) for r in found.collect()) == [("n1", 0), ("n2", 1), ("n3", 1), ("n4", 2), ("n5", 2), ("n6", 2), ("n7", 2)]
     assert set(buckets) == {"40"} and spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def _mixed_edges(seed, nodes, edges):
+    rnd = random.Random(seed)
+    found = {(1, k) for k in range(2, 60)}
+    for _ in range(edges):
+        u, v = sorted((rnd.randint(1, nodes), rnd.randint(1, nodes)))
+        if u != v and (rnd.random() < 0.3 or u % 10 == v % 10):
+            found.add((u, v))
+    return [(u, v, 1.0) for u, v in sorted(found)]
+
+
+def test_rounds_with_edges_as_tables_are_the_same_rounds(spark, monkeypatch):
+    """Rounds that hold the communities as arrays and leave the edges in tables give Spark's own rounds' communities."""
+    from linkweave.operators import agglomerate as ag
+
+    n, e = _simple(spark, _mixed_edges(2, 160, 400))
+    rounds, found = [], []
+    stars, near = ag.star_merges, ag.NEAR
+    monkeypatch.setattr(ag, "star_merges", lambda *x: rounds.append(1) or stars(*x))
+    monkeypatch.setattr(ag, "NEAR_EDGES", 0)
+    for limit in (0, near):
+        monkeypatch.setattr(ag, "NEAR", limit)
+        rounds.clear()
+        found.append(({(r.Id, r.community) for r in cm.greedy_communities(n, e, finish=24, moves=0).collect()}, len(rounds)))
+    assert found[0][0] == found[1][0]
+    assert found[0][1] >= 2 and found[1][1] == 0
+
+
+def test_edges_around_nodes_follow_those_that_go_over(spark):
+    from linkweave.operators.agglomerate import _around_after
+
+    edges = [(u, v) for u, v, _ in _mixed_edges(3, 80, 200)]
+    before = {x: x % 5 for x in range(1, 81)}
+    gone = [(x, before[x], (before[x] + 1) % 5) for x in range(1, 81, 7)]
+    after = before | {x: to for x, _, to in gone}
+
+    def counted(place):
+        return Counter(x for u, v in edges for x in ((u, place[v]), (v, place[u])))
+
+    ends = spark.createDataFrame([x for u, v in edges for x in ((u, v), (v, u))], "Id long, near long")
+    around = spark.createDataFrame([(i, c, w) for (i, c), w in counted(before).items()], "Id long, c long, w long")
+    found = _around_after(around, ends, spark.createDataFrame(gone, "near long, own long, to long"))
+    assert {(r.Id, r.c): r.w for r in found.collect()} == counted(after)
+
+
+def test_moving_is_sparks_hash(spark):
+    from linkweave.operators.agglomerate import moving
+
+    names = [k * 7919 * 104729 - 10**9 for k in range(300)]
+    rows = spark.createDataFrame([(x,) for x in names], "c long").select("c", *[(F.xxhash64("c", F.lit(t)) % 2 == 0).alias(f"m{t}") for t in (1, 50)]).collect()
+    for t in (1, 50):
+        assert dict(zip(names, moving(np.array(names), t).tolist())) == {r.c: r[f"m{t}"] for r in rows}
+
+
+def test_later_of_two_directions_by_a_plain_value(spark):
+    """The order of (Source, Target) among the rows of a pair as one value: Spark aggregates it by hash, not by sorting."""
+    e = spark.createDataFrame([(1, 2, 5.0), (2, 1, 7.0), (3, 4, 1.0), (6, 5, 2.0), (2, 2, 3.0)], "Source long, Target long, Weight double")
+    graphs = [cm.as_simple_graph(None, e, order)[1] for order in (["Source", "Target"], F.col("Source") > F.col("Target"))]
+    assert sorted(map(tuple, graphs[0].collect())) == sorted(map(tuple, graphs[1].collect())) == [(1, 2, 7.0), (2, 2, 3.0), (3, 4, 1.0), (5, 6, 2.0)]
+    assert "SortAggregate" not in graphs[1]._jdf.queryExecution().executedPlan().toString()
