@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkweave.functions.fixed import default_lexicon
 from linkweave.functions.text import normalise_text, split_tokens
 from linkweave.operators import wordgraph as wg
 from linkweave.operators.ids import assign_ids, export_nodes
-from linkweave.session import materialize
+from linkweave.session import MOST_TASKS, discard, materialize
 from linkweave.sources.tables import read_table
 from linkweave.operators.text import (
     bigrams_long,
@@ -20,6 +20,10 @@ from linkweave.operators.text import (
 )
 
 
+#: Documents of a task that holds their tokens as rows.
+DOCS_PER_TASK = 2_000
+
+
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "documents", ["doc_id", "text"], spread_rows=True)
 
@@ -162,27 +166,49 @@ def q_entity_graph_edges(spark, sf_dir):
 
 def annotation_table(docs: DataFrame) -> DataFrame:
     """Stand-in annotations by fixed rules, as the tables have none: verbs from the default lexicon, the plural's s off
-    long words, neighbouring words of seven letters or more as one entity, and a misplaced row at every tenth word."""
+    long words, neighbouring words of seven letters or more as one entity, and a misplaced row at every tenth word.
+
+    The words of a ``doc_id`` stay in one row until they are rows of the table; nothing is shuffled if ``docs`` are dealt by it."""
     lexicon = docs.sparkSession.createDataFrame(default_lexicon(), "surface string, verb string, tag string").groupBy("surface").agg(F.min("verb").alias("verb"))
-    words = docs.select("doc_id", F.posexplode_outer(split_tokens(normalise_text("text"))).alias("pos", "surface")).filter(F.col("surface").isNotNull())
-    long = F.length("surface") >= 7
-    rank = F.row_number().over(Window.partitionBy("doc_id", long).orderBy("pos"))
-    runs = words.withColumn("run", F.when(long, F.col("pos") - rank))
-    of_run = Window.partitionBy("doc_id", "run")
-    entity = F.when(F.col("run").isNotNull() & (F.count(F.lit(1)).over(of_run) > 1), F.min("pos").over(of_run))
+    words = docs.select("doc_id", split_tokens(normalise_text("text")).alias("t")).groupBy("doc_id").agg(F.collect_list("t").alias("t"))
+    placed = F.flatten(F.transform("t", lambda t: F.transform(t, lambda x, i: F.struct(i.alias("pos"), x.alias("surface")))))
+    rows = _with_entities(words.select("doc_id", placed.alias("w")))
+    words = rows.join(F.broadcast(lexicon), "surface", "left")
     stem = F.when((F.length("surface") >= 6) & F.col("surface").endswith("s"), F.expr("left(surface, length(surface) - 1)")).otherwise(F.col("surface"))
-    noted = runs.withColumn("entity", entity.cast("long")).join(lexicon, "surface", "left").select(
-        "doc_id", "pos", "surface", F.coalesce("verb", stem).alias("lemma"), F.when(F.col("verb").isNotNull(), "VERB").otherwise("NOUN").alias("pos_tag"), "entity"
-    )
-    astray = words.filter(F.col("pos") % 10 == 0).select(
-        "doc_id", "pos", F.lit("aaa").alias("surface"), F.lit("wrong").alias("lemma"), F.lit("VERB").alias("pos_tag"), F.lit(1).cast("long").alias("entity")
-    )
-    return noted.unionByName(astray)
+    noted = F.struct("surface", F.coalesce("verb", stem).alias("lemma"), F.when(F.col("verb").isNotNull(), "VERB").otherwise("NOUN").alias("pos_tag"), "entity")
+    astray = F.struct(F.lit("aaa").alias("surface"), F.lit("wrong").alias("lemma"), F.lit("VERB").alias("pos_tag"), F.lit(1).cast("long").alias("entity"))
+    rows = words.select("doc_id", "pos", F.explode(F.array(noted, F.when(F.col("pos") % 10 == 0, astray))).alias("x")).filter(F.col("x").isNotNull())
+    return rows.select("doc_id", "pos", "x.surface", "x.lemma", "x.pos_tag", "x.entity")
+
+
+def _with_entities(words: DataFrame) -> DataFrame:
+    """``(doc_id, pos, surface, entity)`` of ``words(doc_id, w array<struct<pos, surface>>)``: the number of a long word's run is its
+    first place; short words and those on their own have none.  Array expressions keep the rows where their documents are."""
+    is_long = lambda x: F.length(x["surface"]) >= 7
+    long = F.sort_array(F.filter("w", is_long))
+    # Neighbours have one difference of place and rank.
+    ranked = F.transform(long, lambda x, j: F.struct((x["pos"] - j).alias("run"), x["pos"].alias("pos"), x["surface"].alias("surface")))
+    staged = words.select("doc_id", "w", F.sort_array(ranked).alias("_r"))
+    r, n = F.col("_r"), F.size("_r")
+    begins = F.filter(F.sequence(F.lit(0), n), lambda i: (i < n) & ((i == 0) | (r[i]["run"] != r[i - 1]["run"])))
+    staged = staged.select("doc_id", "w", "_r", begins.alias("_b"))
+
+    def of_run(b, k):
+        size = F.coalesce(F.try_element_at(F.col("_b"), k + 2), n) - b
+        entity = F.when(size > 1, r[b]["pos"].cast("long"))
+        return F.transform(F.slice(r, b + 1, size), lambda x: F.struct(x["pos"].alias("pos"), x["surface"].alias("surface"), entity.alias("entity")))
+
+    short = F.transform(F.filter("w", lambda x: ~is_long(x)), lambda x: F.struct(x["pos"].alias("pos"), x["surface"].alias("surface"), F.lit(None).cast("long").alias("entity")))
+    rows = staged.select("doc_id", F.explode_outer(F.concat(short, F.flatten(F.transform("_b", of_run)))).alias("x"))
+    return rows.filter(F.col("x").isNotNull()).select("doc_id", "x.*")
 
 
 def q_annotated_words(spark, sf_dir):
     """N2-N4 by an annotation table: ``(doc_id, pos, word)``, entities after the words."""
-    docs = _docs(spark, sf_dir)
+    # Documents are dealt by their key once, as texts: their annotations are made, collected and joined where they are.
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    tasks = min(-(-docs.count() // DOCS_PER_TASK), MOST_TASKS)
+    docs = docs.repartition(max(tasks, int(spark.conf.get("spark.sql.shuffle.partitions"))), "doc_id")
     return content_words_long(text_pipeline(docs, annotations=annotation_table(docs))).withColumnRenamed("doc_ord", "doc_id")
 
 

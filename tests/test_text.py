@@ -177,3 +177,24 @@ def test_entity_graph_splits_texts_once(spark, tmp_path, monkeypatch):
     words = spark.createDataFrame([(0, ["a", "b"])], "doc_ord long, tokens array<string>")
     plan = ops.document_vocabulary(words)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("counted(") == 1
+
+
+def test_annotated_words_are_dealt_as_texts(spark, tmp_path):
+    """Documents are shuffled by their key as texts; their token rows are made, collected and joined without another exchange."""
+    from linkweave.plans import queries_text as qt
+
+    texts = ["Elephants wandering beside quiet waterfalls make notes", "short words only", None, "lonely elephant walks; mountains rivers"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    rows = {(r.doc_id, r.pos, r.surface): r.entity for r in qt.annotation_table(docs).collect()}
+    assert rows[0, 0, "elephants"] == rows[0, 1, "wandering"] == 0 and rows[0, 4, "waterfalls"] is None and rows[0, 0, "aaa"] == 1
+    assert rows[3, 1, "elephant"] is None and rows[3, 3, "mountains"] is None and len(rows) == 7 + 3 + 5 + 3
+    found = qt.q_annotated_words(spark, str(tmp_path))
+    words = {}
+    for r in sorted(found.collect()):
+        words.setdefault(r.doc_id, []).append(r.word)
+    assert words[0][-1] == "elephants wandering" and words[3] == ["lonely", "elephant", "walks", "mountain", "river"]
+    plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    assert "Window" not in plan
+    dealt = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x and "surface" not in x]
+    assert dealt and all("REPARTITION_BY_NUM" in x for x in dealt)
