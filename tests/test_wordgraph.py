@@ -1,3 +1,4 @@
+import os
 import random
 from collections import Counter
 
@@ -161,3 +162,42 @@ def test_pairs_read_the_second_end_in_place(spark):
                 key = tuple(sorted((words[i], words[j])))
                 want[key] = want.get(key, 0) + 1
     assert got == want
+
+
+def test_pairs_counted_in_blocks_are_the_same_pairs(spark, monkeypatch):
+    """Keys' pairs counted in arrays, for any cut into blocks: documents shorter than the window, empty, null and repeated ones included."""
+    rnd = random.Random(5)
+    rows = [([rnd.randint(-4, 4) * 10**17 for _ in range(rnd.choice((0, 1, 3, 4, 5, 6, 30)))],) for _ in range(60)] + [(None,), ([7] * 12,), ([7] * 12,)]
+    keyed = spark.createDataFrame(rows, "keys array<bigint>").coalesce(2)
+    for window in (1, 2, 5):
+        plain = {tuple(map(int, r)) for r in wg.cooccurrence(keyed, window, "keys").collect()}
+        for tokens in (1, 40, 10**6):
+            batches = [b for b in keyed.toArrow().to_batches(max_chunksize=9)]
+            monkeypatch.setattr(wg, "TOKENS_AT_A_TIME", tokens)
+            found = Counter()
+            for b in wg._counted_blocks(batches, window):
+                for w1, w2, n in zip(*(c.to_pylist() for c in b.columns)):
+                    found[w1, w2] += n
+            assert {(*k, n) for k, n in found.items()} == plain
+        assert {tuple(r) for r in wg.key_cooccurrence(keyed, window).collect()} == plain
+
+
+def test_tables_of_the_way_are_gone_before_pairs_and_after(spark, tmp_path, monkeypatch):
+    """Texts' tokens and words are deleted before pairs are counted, the tokens once the network is written."""
+
+    from linkweave.plans import queries_text as qt
+    from linkweave.session import scratch_path
+
+    rnd = random.Random(6)
+    words = ["wood", "stone", "river", "cloud", "light", "grass", "water", "plant"]
+    rows = [(k, " ".join(rnd.choice(words) for _ in range(60))) for k in range(20)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    folder = scratch_path(spark, "tables").removeprefix("file:")
+    known = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    left = lambda: {x.rsplit("-", 5)[0] for x in set(os.listdir(folder)) - known}
+    seen, count = [], wg.key_cooccurrence
+    monkeypatch.setattr(wg, "key_cooccurrence", lambda *x: seen.append(left()) or count(*x))
+    edges = qt.q_entity_graph_edges(spark, str(tmp_path))
+    assert "tokens" in seen[0] and not {"split", "words"} & seen[0]
+    assert not {"split", "words", "tokens"} & left()
+    assert edges.count() > 0
