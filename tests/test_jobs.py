@@ -98,3 +98,23 @@ def test_urls_taken_up_stop_after_the_last_visited_page(spark):
     assert told(every[:4], 1, 99) == ["a", "gone1", "m", "s", "z"]
     assert told(every, None, None) == ["a", "gone0", "gone1", "m", "n", "s", "z"]
     assert told([], 9, 9) == ["s"]
+
+
+def test_communities_read_their_edges_once(spark, tmp_path, monkeypatch):
+    """J2 aggregates the file's edges once; communities, score and sizes read what it wrote."""
+    from pyspark.sql import functions as F
+
+    from linkweave.plans import jobs
+
+    nodes = spark.createDataFrame([(k, f"w{k}", "Word", 1) for k in range(1, 7)], "Id long, Label string, Group string, Attribute long")
+    pairs = [(1, 2), (2, 3), (1, 3), (4, 5), (5, 6), (4, 6), (3, 4)]
+    edges = spark.createDataFrame([(a, b, "Undirected", 1) for a, b in pairs], "Source long, Target long, Type string, Weight long")
+    nodes.write.parquet(f"{tmp_path}/nodes")
+    edges.write.parquet(f"{tmp_path}/edges")
+    read = spark.sparkContext.accumulator(0)
+    counted = F.udf(lambda w: read.add(1) or w, "bigint")
+    found = spark.read.parquet(f"{tmp_path}/edges").withColumn("Weight", counted("Weight"))
+    monkeypatch.setattr(jobs, "read_graph", lambda *_: (spark.read.parquet(f"{tmp_path}/nodes"), found))
+    result = jobs.communities_job(spark, "", "")
+    assert result["communities"] == 2 and abs(result["modularity"] - 5 / 14) < 1e-9
+    assert read.value == len(pairs)
